@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Aggregates over many columns are cut into groups of this many columns, so
-# that one generated aggregate stays within what the JVM compiles well.
-COLUMNS_PER_AGG = 40
+# that one generated aggregate stays within what the JVM compiles well. A
+# group reads only its own columns from a columnar file.
+COLUMNS_PER_AGG = 16
 
 
 def col(name: str) -> Column:

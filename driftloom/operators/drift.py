@@ -26,6 +26,10 @@ DEFAULT_THRESHOLD = 0.25
 DEFAULT_BINS = 10
 EMPTY_BIN_SHARE = 0.0001  # stands in for a zero share in PSI
 
+# Up to so many features get an aggregate of their own; more are unpivoted to
+# (feature, value) rows, which keeps the generated code small and needs one pass.
+WIDE_FEATURES = 8
+
 KS_DIRECT_ROWS = 5_000_000  # rows per feature that one window task may rank
 KS_BUCKET_ROWS = 1_000_000
 KS_MAX_BUCKETS = 2_000
@@ -95,30 +99,43 @@ def _both(reference: DataFrame, production: DataFrame, columns: Sequence[str]) -
     return side(reference, 0).unionAll(side(production, 1))
 
 
+def _tall(both: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (__side, feature, value) of the known values."""
+    tall = both.unpivot("__side", [col(c) for c in columns], "feature", "value")
+    return tall.where(F.col("value").isNotNull())
+
+
+_PROFILE = {
+    "n": F.count,
+    "mean": F.avg,
+    "std": F.stddev_pop,
+    "low": F.min,
+    "high": F.max,
+}
+
+
 def profile_sides(both: DataFrame, columns: Sequence[str]) -> dict[str, FeatureProfile]:
-    """Two rows per group of columns come back to the driver."""
-    out: dict[str, FeatureProfile] = {}
-    for group in chunks(columns):
-        aggs = []
-        for i, c in enumerate(group):
-            x = col(c)
-            aggs += [
-                F.count(x).alias(f"n{i}"),
-                F.avg(x).alias(f"m{i}"),
-                F.stddev_pop(x).alias(f"s{i}"),
-                F.min(x).alias(f"a{i}"),
-                F.max(x).alias(f"b{i}"),
-            ]
-        rows = {r["__side"]: r for r in both.groupBy("__side").agg(*aggs).collect()}
-
-        def get(name: str, empty=None):
-            return tuple(rows[s][name] if s in rows else empty for s in (0, 1))
-
-        for i, c in enumerate(group):
-            out[c] = FeatureProfile(
-                get(f"n{i}", 0), get(f"m{i}"), get(f"s{i}"), get(f"a{i}"), get(f"b{i}")
-            )
-    return out
+    """Five scalars per feature and side come back to the driver."""
+    found: dict[tuple[str, int], dict] = {}
+    if len(columns) <= WIDE_FEATURES:
+        aggs = [
+            fn(col(c)).alias(f"{m}{i}") for i, c in enumerate(columns) for m, fn in _PROFILE.items()
+        ]
+        for r in both.groupBy("__side").agg(*aggs).collect():
+            for i, c in enumerate(columns):
+                found[c, r["__side"]] = {m: r[f"{m}{i}"] for m in _PROFILE}
+    else:
+        aggs = [fn("value").alias(m) for m, fn in _PROFILE.items()]
+        for r in _tall(both, columns).groupBy("__side", "feature").agg(*aggs).collect():
+            found[r["feature"], r["__side"]] = r.asDict()
+
+    def both_sides(c: str, m: str, empty=None) -> tuple:
+        return tuple(found.get((c, side), {}).get(m, empty) for side in (0, 1))
+
+    return {
+        c: FeatureProfile(both_sides(c, "n", 0), *[both_sides(c, m) for m in list(_PROFILE)[1:]])
+        for c in columns
+    }
 
 
 def _profile_frame(spark, profiles: dict[str, FeatureProfile]) -> DataFrame:
@@ -140,14 +157,26 @@ def _shares(both: DataFrame, profiles: dict[str, FeatureProfile], bins: int) ->
     )
     if not varying:
         return grid.select("feature", "bin", F.lit(0.0).alias("e"), F.lit(0.0).alias("a"))
-    numbered = []
-    for c in varying:
-        lo, hi = profiles[c].span
-        numbered.append(unit_bin((col(c) - F.lit(lo)) / F.lit(hi - lo), bins).alias(c))
+    if len(varying) <= WIDE_FEATURES:
+        numbered = []
+        for c in varying:
+            lo, hi = profiles[c].span
+            numbered.append(unit_bin((col(c) - F.lit(lo)) / F.lit(hi - lo), bins).alias(c))
+        binned = both.select("__side", *numbered).unpivot(
+            "__side", [col(c) for c in varying], "feature", "bin"
+        )
+    else:
+        spans = [(c, profiles[c].span[0], profiles[c].span[1] - profiles[c].span[0]) for c in varying]
+        table = local_frame(spark, spans, "feature string, lo double, width double")
+        share = (F.col("value") - F.col("lo")) / F.col("width")
+        # one row per feature is broadcast
+        binned = (
+            _tall(both, varying)
+            .join(F.broadcast(table), "feature")
+            .select("__side", "feature", unit_bin(share, bins).alias("bin"))
+        )
     counts = (
-        both.select("__side", *numbered)
-        .unpivot("__side", [col(c) for c in varying], "feature", "bin")
-        .where(F.col("bin").isNotNull())
+        binned.where(F.col("bin").isNotNull())
         .groupBy("feature", "bin")
         .agg(F.count_if(F.col("__side") == 0).alias("r"), F.count_if(F.col("__side") == 1).alias("p"))
     )
@@ -229,10 +258,7 @@ def _value_counts(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _ks_direct(both: DataFrame, columns: Sequence[str], sizes: DataFrame) -> DataFrame:
-    cells = both.unpivot("__side", [col(c) for c in columns], "feature", "value").where(
-        F.col("value").isNotNull()
-    )
-    counted = _value_counts(cells, ["feature"])
+    counted = _value_counts(_tall(both, columns), ["feature"])
     w = Window.partitionBy("feature").orderBy("value")
     running = counted.select(
         "feature", F.sum("r").over(w).alias("r"), F.sum("p").over(w).alias("p")

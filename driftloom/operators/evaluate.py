@@ -13,17 +13,20 @@ from ..functions.columns import col, local_frame, require_columns
 TOTALS = ("accuracy", "macro avg", "weighted avg")
 
 
-def pair_counts(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    """(true_label, pred_label, n) of the pairs that occur. A missing label is an error."""
-    require_columns(df, [truth, pred])
+def pair_counts(df: DataFrame, truth: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
+    """(true_label, pred_label, n) of the pairs that occur. A missing label is an error.
+
+    With ``by`` columns, such as a run id, many evaluations share one scan.
+    """
+    require_columns(df, [truth, pred, *by])
 
     def known(name: str) -> Column:
         c = col(name)
         return F.when(c.isNull(), F.raise_error(F.lit(f"missing value in {name}"))).otherwise(c)
 
-    return df.groupBy(known(truth).alias("true_label"), known(pred).alias("pred_label")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return df.groupBy(
+        *[col(b) for b in by], known(truth).alias("true_label"), known(pred).alias("pred_label")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion(df: DataFrame, truth: str, pred: str, labels: Sequence | None = None) -> DataFrame:
@@ -76,7 +79,7 @@ def normalize_matrix(matrix: DataFrame) -> DataFrame:
     return matrix.withColumn("share", F.when(total > 0, F.col("n") / total))
 
 
-def class_metrics(counts: DataFrame) -> DataFrame:
+def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(label, tp, predicted, support, precision, recall, f1), 0 for 0/0."""
     hit = F.col("true_label") == F.col("pred_label")
     zero = F.lit(0).cast("long")
@@ -95,8 +98,8 @@ def class_metrics(counts: DataFrame) -> DataFrame:
         ),
     )
     sums = (
-        counts.select(F.inline(parts))
-        .groupBy("label")
+        counts.select(*[col(b) for b in by], F.inline(parts))
+        .groupBy(*[col(b) for b in by], "label")
         .agg(F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"), F.sum("support").alias("support"))
     )
 
@@ -104,6 +107,7 @@ def class_metrics(counts: DataFrame) -> DataFrame:
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
     return sums.select(
+        *[col(b) for b in by],
         "label",
         "tp",
         "predicted",
@@ -125,12 +129,13 @@ def _averages() -> list[Column]:
     return out
 
 
-def metrics(counts: DataFrame) -> DataFrame:
-    """One row: n, accuracy, macro and weighted precision/recall/f1, micro f1.
+def metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row (one per ``by`` group): n, accuracy, macro and weighted precision/recall/f1, micro f1.
 
     With one label per row, micro f1 equals accuracy.
     """
-    return class_metrics(counts).agg(*_averages()).withColumn("f1_micro", F.col("accuracy"))
+    grouped = class_metrics(counts, by).groupBy(*[col(b) for b in by])
+    return grouped.agg(*_averages()).withColumn("f1_micro", F.col("accuracy"))
 
 
 def report(counts: DataFrame) -> DataFrame:
