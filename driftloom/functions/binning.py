@@ -23,7 +23,8 @@ def unit_bin(x: Column, bins: int) -> Column:
     """
     step = F.lit(1.0 / bins)
     guess = F.least(F.floor(x * F.lit(float(bins))), F.lit(bins - 1))
-    return F.greatest(F.lit(0), _settle(x, guess, lambda k: k * step, bins)).cast("int")
+    # a missing value has no bin (``least`` alone would pass over the null)
+    return F.when(x.isNotNull(), _settle(x, guess, lambda k: k * step, bins)).cast("int")
 
 
 def span_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
@@ -31,7 +32,8 @@ def span_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
     step = (hi - lo) / bins
     guess = F.floor((x - F.lit(lo)) / F.lit(step))
     guess = F.greatest(F.lit(0), F.least(guess, F.lit(bins - 1)))
-    return _settle(x, guess, lambda k: k * F.lit(step) + F.lit(lo), bins).cast("int")
+    settled = _settle(x, guess, lambda k: k * F.lit(step) + F.lit(lo), bins)
+    return F.when(x.isNotNull(), settled).cast("int")
 
 
 def span_edges(lo: float, hi: float, bins: int) -> list[float]:

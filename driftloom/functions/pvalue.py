@@ -1,7 +1,7 @@
 """Two-sided p-value of the two-sample Kolmogorov-Smirnov statistic.
 
-Works on one (D, n, m) triple per compared column, after Spark has reduced the
-data to it. Up to ``EXACT_LIMIT`` rows per sample the exact distribution is
+Works on the driver on one (D, n, m) triple per compared column, after Spark has
+reduced the data to it. Up to ``EXACT_LIMIT`` rows per sample the exact distribution is
 used (lattice-path count, Hodges 1957), beyond it Kolmogorov's limit law.
 """
 
@@ -10,9 +10,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 EXACT_LIMIT = 10_000
 _SWITCH = 1.18  # both series converge fast on their side of this point
@@ -66,21 +63,9 @@ def exact_law(d: float, n: int, m: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - inside)))
 
 
-def ks_p(d: float, n: int, m: int) -> float:
+def ks_pvalue(d: float | None, n: int, m: int) -> float | None:
+    if d is None or min(n, m) == 0:
+        return None
     if max(n, m) <= EXACT_LIMIT:
         return exact_law(d, n, m)
     return limit_law(d, n, m)
-
-
-def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    @F.pandas_udf("double")
-    def apply(ds: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if pd.isna(x) or a == 0 or b == 0 else ks_p(float(x), int(a), int(b))
-                for x, a, b in zip(ds, ns, ms)
-            ],
-            dtype="float64",
-        )
-
-    return apply(d, n, m)

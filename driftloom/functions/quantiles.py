@@ -15,13 +15,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import as_number, chunks
 
-EXACT_ROWS = 2_000_000
+EXACT_ROWS = 100_000  # up to so many rows ``percentile`` is the cheaper way
+RANK_ROWS = 1_000_000  # values one task may rank at the end of a search
 _SPLITS = 256
 _ACCURACY = 1000
 
@@ -38,13 +40,9 @@ class _Search:
     below: int = 0
     value: float | None = None
 
-    def range(self, x: Column) -> Column:
-        cond = x.isNotNull()
-        if self.low is not None:
-            cond &= x > F.lit(self.low)
-        if self.high is not None:
-            cond &= x < F.lit(self.high)
-        return F.when(cond, x)
+    @property
+    def range(self) -> tuple:
+        return self.column, self.low, self.high
 
 
 def quantiles(
@@ -72,20 +70,24 @@ def quantiles(
                 out[c] = list(values) if values is not None else [None] * len(probs)
         return out
     for group in chunks(columns, 8):
-        out.update(_by_search(df, group, probs, exact_rows))
+        out.update(_by_search(df, group, probs, min(exact_rows, RANK_ROWS)))
     return out
 
 
-def _by_search(df, columns, probs, exact_rows) -> dict[str, list[float | None]]:
-    totals = df.agg(*[F.count(as_number(df, c)).alias(f"n{i}") for i, c in enumerate(columns)])
-    n = dict(zip(columns, totals.first()))
+def _by_search(df, columns, probs, rank_rows) -> dict[str, list[float | None]]:
+    found = _digests(df, [(c, None, None) for c in columns])
+    n = {c: found[c, None, None][0] for c in columns}
     searches: dict[tuple[str, int], _Search] = {}
     for c in columns:
         for p in probs if n[c] else ():
             for rank in (math.floor((n[c] - 1) * p), math.ceil((n[c] - 1) * p)):
                 searches.setdefault((c, rank), _Search(c, rank, inside=n[c]))
-    while wide := [s for s in searches.values() if s.value is None and s.inside > exact_rows]:
-        _split(df, wide)
+    open_ = list(searches.values())
+    while open_:
+        _narrow(df, open_, found)
+        open_ = [s for s in open_ if s.value is None and s.inside > rank_rows]
+        if open_:
+            found = _digests(df, sorted({s.range for s in open_}, key=repr))
     _rank(df, [s for s in searches.values() if s.value is None])
 
     out: dict[str, list[float | None]] = {}
@@ -102,31 +104,50 @@ def _by_search(df, columns, probs, exact_rows) -> dict[str, list[float | None]]:
     return out
 
 
-def _split(df: DataFrame, searches: list[_Search]) -> None:
+def _in_range(df: DataFrame, column: str, low: float | None, high: float | None) -> Column:
+    """The value where it lies strictly inside the range, else null."""
+    x = as_number(df, column)
+    cond = x.isNotNull()
+    if low is not None:
+        cond &= x > F.lit(low)
+    if high is not None:
+        cond &= x < F.lit(high)
+    return F.when(cond, x)
+
+
+def _digests(df: DataFrame, ranges: list[tuple]) -> dict[tuple, tuple[int, list[float]]]:
+    """Row count and approximate splits per range, in one pass."""
     splits = [i / _SPLITS for i in range(_SPLITS + 1)]
-    approx = df.agg(
-        *[
-            F.percentile_approx(s.range(as_number(df, s.column)), splits, _ACCURACY).alias(f"s{i}")
-            for i, s in enumerate(searches)
-        ]
-    ).first()
-    edges = []
-    for s, values in zip(searches, approx):
+    aggs = []
+    for i, r in enumerate(ranges):
+        x = _in_range(df, *r)
+        aggs.append(F.count(x).alias(f"n{i}"))
+        aggs.append(F.percentile_approx(x, splits, _ACCURACY).alias(f"s{i}"))
+    row = df.agg(*aggs).first()
+    return {r: (row[f"n{i}"], row[f"s{i}"] or []) for i, r in enumerate(ranges)}
+
+
+def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> None:
+    """Count rows below and at the splits next to each rank, in one pass."""
+    edges: dict[int, list[float]] = {}
+    wanted: dict[tuple[str, float], int] = {}
+    for i, s in enumerate(searches):
         at = (s.rank - s.below) / max(s.inside - 1, 1) * _SPLITS
         near = range(max(math.floor(at) - 1, 0), min(math.ceil(at) + 1, _SPLITS) + 1)
-        edges.append(sorted({float(values[k]) for k in near}))
-
+        edges[i] = sorted({float(found[s.range][1][k]) for k in near})
+        for e in edges[i]:
+            wanted.setdefault((s.column, e), len(wanted))
     aggs = []
-    for i, (s, values) in enumerate(zip(searches, edges)):
-        x = as_number(df, s.column)
-        for j, e in enumerate(values):
-            aggs.append(F.count(F.when(x < F.lit(e), 1)).alias(f"lt{i}_{j}"))
-            aggs.append(F.count(F.when(x <= F.lit(e), 1)).alias(f"le{i}_{j}"))
+    for (c, e), j in wanted.items():
+        x = as_number(df, c)
+        aggs.append(F.count(F.when(x < F.lit(e), 1)).alias(f"lt{j}"))
+        aggs.append(F.count(F.when(x <= F.lit(e), 1)).alias(f"le{j}"))
     counts = df.agg(*aggs).first()
-    for i, (s, values) in enumerate(zip(searches, edges)):
+    for i, s in enumerate(searches):
         past = s.below + s.inside
-        for j, e in enumerate(values):
-            less, upto = counts[f"lt{i}_{j}"], counts[f"le{i}_{j}"]
+        for e in edges[i]:
+            j = wanted[s.column, e]
+            less, upto = counts[f"lt{j}"], counts[f"le{j}"]
             if s.rank < less:
                 s.high, past = e, less
                 break
@@ -138,26 +159,37 @@ def _split(df: DataFrame, searches: list[_Search]) -> None:
 
 
 def _rank(df: DataFrame, searches: list[_Search]) -> None:
-    """Rank the few values left in each search; one window partition per search."""
+    """Rank the few values left in each range; one window partition per range."""
     if not searches:
         return
+    ranges = sorted({s.range for s in searches}, key=repr)
+    values = [_in_range(df, *r) for r in ranges]
+    any_inside = reduce(lambda a, b: a | b, [v.isNotNull() for v in values])
     cells = [
-        F.struct(F.lit(i).alias("search"), s.range(as_number(df, s.column)).alias("value"))
-        for i, s in enumerate(searches)
+        F.struct(F.lit(i).alias("range"), v.alias("value")) for i, v in enumerate(values)
     ]
     counted = (
-        df.select(F.inline(F.array(*cells)))
+        df.where(any_inside)
+        .select(F.inline(F.array(*cells)))
         .where("value is not null")
-        .groupBy("search", "value")
+        .groupBy("range", "value")
         .count()
     )
-    w = Window.partitionBy("search").orderBy("value")
+    w = Window.partitionBy("range").orderBy("value")
     ranked = counted.withColumn("past", F.sum("count").over(w))
     hit = F.lit(False)
-    for i, s in enumerate(searches):
+    for s in searches:
         at = s.rank - s.below
         hit |= (
-            (F.col("search") == i) & (F.col("past") > at) & (F.col("past") - F.col("count") <= at)
+            (F.col("range") == ranges.index(s.range))
+            & (F.col("past") > at)
+            & (F.col("past") - F.col("count") <= at)
+        )
+    rows = ranked.where(hit).collect()
+    for s in searches:
+        at = s.rank - s.below
+        s.value = next(
+            r["value"]
+            for r in rows
+            if ranges[r["range"]] == s.range and r["past"] - r["count"] <= at < r["past"]
         )
-    for r in ranked.where(hit).collect():
-        searches[r["search"]].value = r["value"]

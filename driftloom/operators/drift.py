@@ -13,11 +13,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binning import unit_bin
-from ..functions.columns import as_number, chunks, col, local_frame, require_columns, resolve_numeric
+from ..functions.columns import (
+    as_number,
+    chunks,
+    col,
+    local_frame,
+    require_columns,
+    resolve_numeric,
+    union_all,
+)
 from ..functions.pvalue import ks_pvalue
 from .profile import per_column
 
@@ -90,18 +99,33 @@ def reference_profile(
     return per_column(df, columns, measures, name="feature")
 
 
+VALUES = "__values"
+
+
 def _both(reference: DataFrame, production: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (__side, __values): one array entry per feature, NaN as null."""
+
     def side(df: DataFrame, flag: int) -> DataFrame:
-        return df.select(
-            F.lit(flag).alias("__side"), *[as_number(df, c).alias(c) for c in columns]
-        )
+        values = F.array(*[as_number(df, c) for c in columns])
+        return df.select(F.lit(flag).alias("__side"), values.alias(VALUES))
+
+    return side(reference, 0).unionAll(side(production, 1))
+
+
+def _both_transformed(reference: DataFrame, production: DataFrame, model) -> DataFrame:
+    """The same rows from the output vector of a fitted preprocessor."""
+    from .features import FEATURES
+
+    def side(df: DataFrame, flag: int) -> DataFrame:
+        values = F.transform(vector_to_array(FEATURES), lambda v: F.when(~F.isnan(v), v))
+        return model.transform(df).select(F.lit(flag).alias("__side"), values.alias(VALUES))
 
     return side(reference, 0).unionAll(side(production, 1))
 
 
-def _tall(both: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (__side, feature, value) of the known values."""
-    tall = both.unpivot("__side", [col(c) for c in columns], "feature", "value")
+def _tall(both: DataFrame) -> DataFrame:
+    """Rows (__side, f, value) of the known values; f is the feature number."""
+    tall = both.select("__side", F.posexplode(VALUES).alias("f", "value"))
     return tall.where(F.col("value").isNotNull())
 
 
@@ -116,25 +140,27 @@ _PROFILE = {
 
 def profile_sides(both: DataFrame, columns: Sequence[str]) -> dict[str, FeatureProfile]:
     """Five scalars per feature and side come back to the driver."""
-    found: dict[tuple[str, int], dict] = {}
+    found: dict[tuple[int, int], dict] = {}
     if len(columns) <= WIDE_FEATURES:
         aggs = [
-            fn(col(c)).alias(f"{m}{i}") for i, c in enumerate(columns) for m, fn in _PROFILE.items()
+            fn(F.col(VALUES)[i]).alias(f"{m}{i}")
+            for i in range(len(columns))
+            for m, fn in _PROFILE.items()
         ]
         for r in both.groupBy("__side").agg(*aggs).collect():
-            for i, c in enumerate(columns):
-                found[c, r["__side"]] = {m: r[f"{m}{i}"] for m in _PROFILE}
+            for i in range(len(columns)):
+                found[i, r["__side"]] = {m: r[f"{m}{i}"] for m in _PROFILE}
     else:
         aggs = [fn("value").alias(m) for m, fn in _PROFILE.items()]
-        for r in _tall(both, columns).groupBy("__side", "feature").agg(*aggs).collect():
-            found[r["feature"], r["__side"]] = r.asDict()
+        for r in _tall(both).groupBy("__side", "f").agg(*aggs).collect():
+            found[r["f"], r["__side"]] = r.asDict()
 
-    def both_sides(c: str, m: str, empty=None) -> tuple:
-        return tuple(found.get((c, side), {}).get(m, empty) for side in (0, 1))
+    def both_sides(i: int, m: str, empty=None) -> tuple:
+        return tuple(found.get((i, side), {}).get(m, empty) for side in (0, 1))
 
     return {
-        c: FeatureProfile(both_sides(c, "n", 0), *[both_sides(c, m) for m in list(_PROFILE)[1:]])
-        for c in columns
+        c: FeatureProfile(both_sides(i, "n", 0), *[both_sides(i, m) for m in list(_PROFILE)[1:]])
+        for i, c in enumerate(columns)
     }
 
 
@@ -147,44 +173,44 @@ def _profile_frame(spark, profiles: dict[str, FeatureProfile]) -> DataFrame:
 
 
 def _shares(both: DataFrame, profiles: dict[str, FeatureProfile], bins: int) -> DataFrame:
-    """(feature, bin, e, a): shares of reference and production, full grid."""
-    varying = [c for c, p in profiles.items() if p.span is not None]
-    spark = both.sparkSession
+    """(feature, e, a): shares of reference and production per bin, full grid."""
+    spans = {i: (c, p) for i, (c, p) in enumerate(profiles.items()) if p.span is not None}
     grid = local_frame(
-        spark,
-        [(c, b, *profiles[c].n) for c in varying for b in range(bins)],
-        "feature string, bin int, n_ref long, n_prod long",
+        both.sparkSession,
+        [(c, i, b, *p.n) for i, (c, p) in spans.items() for b in range(bins)],
+        "feature string, f int, bin int, n_ref long, n_prod long",
     )
-    if not varying:
-        return grid.select("feature", "bin", F.lit(0.0).alias("e"), F.lit(0.0).alias("a"))
-    if len(varying) <= WIDE_FEATURES:
-        numbered = []
-        for c in varying:
-            lo, hi = profiles[c].span
-            numbered.append(unit_bin((col(c) - F.lit(lo)) / F.lit(hi - lo), bins).alias(c))
-        binned = both.select("__side", *numbered).unpivot(
-            "__side", [col(c) for c in varying], "feature", "bin"
-        )
+    if not spans:
+        return grid.select("feature", F.lit(0.0).alias("e"), F.lit(0.0).alias("a"))
+    if len(spans) <= WIDE_FEATURES:
+        cells = []
+        for i, (_, p) in spans.items():
+            lo, hi = p.span
+            share = (F.col(VALUES)[i] - F.lit(lo)) / F.lit(hi - lo)
+            cells.append(F.struct(F.lit(i).alias("f"), unit_bin(share, bins).alias("bin")))
+        binned = both.select("__side", F.inline(F.array(*cells)))
     else:
-        spans = [(c, profiles[c].span[0], profiles[c].span[1] - profiles[c].span[0]) for c in varying]
-        table = local_frame(spark, spans, "feature string, lo double, width double")
+        table = local_frame(
+            both.sparkSession,
+            [(i, p.span[0], p.span[1] - p.span[0]) for i, (_, p) in spans.items()],
+            "f int, lo double, width double",
+        )
         share = (F.col("value") - F.col("lo")) / F.col("width")
         # one row per feature is broadcast
         binned = (
-            _tall(both, varying)
-            .join(F.broadcast(table), "feature")
-            .select("__side", "feature", unit_bin(share, bins).alias("bin"))
+            _tall(both)
+            .join(F.broadcast(table), "f")
+            .select("__side", "f", unit_bin(share, bins).alias("bin"))
         )
     counts = (
         binned.where(F.col("bin").isNotNull())
-        .groupBy("feature", "bin")
+        .groupBy("f", "bin")
         .agg(F.count_if(F.col("__side") == 0).alias("r"), F.count_if(F.col("__side") == 1).alias("p"))
     )
     # features x bins rows on both sides of the join
-    full = grid.join(F.broadcast(counts), ["feature", "bin"], "left")
+    full = grid.join(F.broadcast(counts), ["f", "bin"], "left")
     return full.select(
         "feature",
-        "bin",
         (F.coalesce("r", F.lit(0)) / F.col("n_ref")).alias("e"),
         (F.coalesce("p", F.lit(0)) / F.col("n_prod")).alias("a"),
     )
@@ -227,47 +253,41 @@ def ks_statistic(
 
 
 def _ks(both, profiles, direct_rows=KS_DIRECT_ROWS, bucket_rows=KS_BUCKET_ROWS) -> DataFrame:
-    usable = [c for c, p in profiles.items() if min(p.n) > 0]
     sizes = local_frame(
         both.sparkSession,
-        [(c, *p.n) for c, p in profiles.items()],
-        "feature string, n_ref long, n_prod long",
+        [(c, i, *p.n) for i, (c, p) in enumerate(profiles.items())],
+        "feature string, f int, n_ref long, n_prod long",
     )
-    small = [c for c in usable if sum(profiles[c].n) <= direct_rows]
-    large = [c for c in usable if c not in set(small)]
-    gaps = []
-    if small:
-        gaps.append(_ks_direct(both, small, sizes))
-    for c in large:
-        gaps.append(_ks_bucketed(both, c, profiles[c].n, bucket_rows))
-    if gaps:
-        d = gaps[0]
-        for g in gaps[1:]:
-            d = d.unionByName(g)
-    else:
-        d = local_frame(both.sparkSession, [], "feature string, d double")
-    out = sizes.join(F.broadcast(d), "feature", "left")  # one row per feature
-    return out.withColumn("p_value", ks_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod")))
-
-
-def _value_counts(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per distinct value and side, combined map-side before the shuffle."""
-    return cells.groupBy(*keys, "value").agg(
-        F.count_if(F.col("__side") == 0).alias("r"), F.count_if(F.col("__side") == 1).alias("p")
+    usable = [(i, p.n) for i, p in enumerate(profiles.values()) if min(p.n) > 0]
+    small = [i for i, n in usable if sum(n) <= direct_rows]
+    gaps = [_ks_direct(both, small, sizes)] if small else []
+    gaps += [_ks_bucketed(both, i, n, bucket_rows) for i, n in usable if sum(n) > direct_rows]
+    # one row per feature comes back; the p-value is a function of scalars
+    d = {r["f"]: r["d"] for r in union_all(gaps).collect()} if gaps else {}
+    rows = [
+        (c, *p.n, d.get(i), ks_pvalue(d.get(i), *p.n)) for i, (c, p) in enumerate(profiles.items())
+    ]
+    return local_frame(
+        both.sparkSession,
+        rows,
+        "feature string, n_ref long, n_prod long, d double, p_value double",
     )
 
 
-def _ks_direct(both: DataFrame, columns: Sequence[str], sizes: DataFrame) -> DataFrame:
-    counted = _value_counts(_tall(both, columns), ["feature"])
-    w = Window.partitionBy("feature").orderBy("value")
-    running = counted.select(
-        "feature", F.sum("r").over(w).alias("r"), F.sum("p").over(w).alias("p")
-    ).join(F.broadcast(sizes), "feature")
+def _ks_direct(both: DataFrame, numbers: Sequence[int], sizes: DataFrame) -> DataFrame:
+    """One window partition per feature, over its distinct values."""
+    r_rows, p_rows = F.count_if(F.col("__side") == 0), F.count_if(F.col("__side") == 1)
+    tall = _tall(both).where(F.col("f").isin(list(numbers)))
+    # equal values are combined map-side before the shuffle
+    counted = tall.groupBy("f", "value").agg(r_rows.alias("r"), p_rows.alias("p"))
+    w = Window.partitionBy("f").orderBy("value")
+    running = counted.select("f", F.sum("r").over(w).alias("r"), F.sum("p").over(w).alias("p"))
     gap = F.abs(F.col("r") / F.col("n_ref") - F.col("p") / F.col("n_prod"))
-    return running.groupBy("feature").agg(F.max(gap).alias("d"))
+    joined = running.join(F.broadcast(sizes), "f")  # one row per feature
+    return joined.groupBy("f").agg(F.max(gap).alias("d"))
 
 
-def _ks_bucketed(both: DataFrame, column: str, n: tuple[int, int], bucket_rows: int) -> DataFrame:
+def _ks_bucketed(both: DataFrame, number: int, n: tuple[int, int], bucket_rows: int) -> DataFrame:
     """Exact D of one large feature.
 
     The column is cut into buckets of about equal mass. Counts per bucket give
@@ -277,7 +297,8 @@ def _ks_bucketed(both: DataFrame, column: str, n: tuple[int, int], bucket_rows:
     that one task ranks about ``bucket_rows`` rows.
     """
     wanted = min(KS_MAX_BUCKETS, max(2, sum(n) // bucket_rows))
-    cells = both.select("__side", col(column).alias("value")).where(F.col("value").isNotNull())
+    cells = both.select("__side", F.col(VALUES)[number].alias("value"))
+    cells = cells.where(F.col("value").isNotNull())
     probs = [i / wanted for i in range(1, wanted)]
     found = cells.agg(F.percentile_approx("value", probs, max(1000, 4 * wanted))).first()[0]
     splits = [float("-inf"), *sorted(set(map(float, found))), float("inf")]
@@ -300,7 +321,7 @@ def _ks_bucketed(both: DataFrame, column: str, n: tuple[int, int], bucket_rows:
         bounds.append(((b["bucket"], *seen, b["lo"], width, cuts), bound))
         seen = past
     open_ = [row for row, bound in bounds if bound > best]
-    edge = local_frame(both.sparkSession, [(column, best)], "feature string, d double")
+    edge = local_frame(both.sparkSession, [(number, best)], "f int, d double")
     if not open_:
         return edge
     starts = local_frame(
@@ -340,7 +361,7 @@ def _ks_bucketed(both: DataFrame, column: str, n: tuple[int, int], bucket_rows:
     gap = counted.select(F.abs(r - p).alias("gap"))
     return gap.agg(
         F.greatest(F.max("gap"), F.max(F.lit(best))).alias("d"),
-    ).select(F.lit(column).alias("feature"), F.coalesce("d", F.lit(best)).alias("d"))
+    ).select(F.lit(number).alias("f"), F.coalesce("d", F.lit(best)).alias("d"))
 
 
 def js_positional(
@@ -405,8 +426,7 @@ def drift(
 ) -> DataFrame:
     """Detail table, one row per feature: score, flag, means and stds.
 
-    ``model`` is an optional fitted preprocessor (see
-    ``features.transform_columns``) applied to both sides first. With ``ks``
+    ``model`` is an optional fitted preprocessor applied to both sides first. With ``ks``
     the score is 1 - p; with the default threshold that flags p < 0.75, so
     pass a threshold of 0.95 or more to agree with the severity ladder.
     """
@@ -415,12 +435,13 @@ def drift(
     if reference is None:
         raise ValueError("reference data must be set first")
     if model is not None:
-        from .features import transform_columns
+        from .features import transformed_names
 
-        reference, production = transform_columns(model, reference), transform_columns(model, production)
-        columns = None
-    columns = _check(reference, production, columns, method)
-    both = _both(reference, production, columns)
+        columns = transformed_names(model)
+        both = _both_transformed(reference, production, model)
+    else:
+        columns = _check(reference, production, columns, method)
+        both = _both(reference, production, columns)
     profiles = profile_sides(both, columns)
     if method == "ks":
         scores = _ks(both, profiles).select("feature", (1 - F.col("p_value")).alias("score"))

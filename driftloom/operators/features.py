@@ -221,11 +221,15 @@ def array_columns(df: DataFrame, array: str, size: int, prefix: str = "f") -> Da
     return df.select(*kept, *[col(array)[i].cast("double").alias(f"{prefix}{i}") for i in range(size)])
 
 
+def transformed_names(model) -> list[str]:
+    """Names of the entries of the output vector: PC1.. or the scaled inputs."""
+    return feature_names(model) or list(_input_columns(model))
+
+
 def transform_columns(model, df: DataFrame) -> DataFrame:
-    """Output of a fitted preprocessor as plain columns (PC1.. or the scaled inputs)."""
-    out = model.transform(df)
-    names = feature_names(model) or list(_input_columns(model))
-    return vector_columns(out.select(FEATURES), FEATURES, names)
+    """Output of a fitted preprocessor as plain columns."""
+    out = model.transform(df).select(FEATURES)
+    return vector_columns(out, FEATURES, transformed_names(model))
 
 
 def _input_columns(model) -> Sequence[str]:

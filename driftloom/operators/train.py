@@ -75,6 +75,18 @@ def model_stage(model_type: str, **params) -> Estimator:
     raise ValueError(f"Unknown model_type: {model_type}")
 
 
+def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Training rows, cut to the columns needed and spread evenly over the cores.
+
+    A fit passes over its rows once per tree level; rows left where a split or
+    a small file put them would keep most cores idle in every pass.
+    """
+    spark = df.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(shuffles, spark.sparkContext.defaultParallelism)
+    return df.select(*[col(c) for c in dict.fromkeys(columns)]).repartition(n)
+
+
 def full_pipeline(
     columns: Sequence[str],
     label: str,
@@ -104,7 +116,7 @@ def fit_with_validation(
     marked = mark_test(train, label, key, valid_size, f"{seed}|validation", out="__validation")
     return full_pipeline(
         columns, label, "gbt", use_pca, k, validation_col="__validation", seed=seed, **params
-    ).fit(marked)
+    ).fit(spread(marked, [*columns, label, "__validation"]))
 
 
 class MacroF1(Evaluator, HasLabelCol, HasPredictionCol):
@@ -172,7 +184,8 @@ def tune(
     settings = [draw(space or SEARCH_SPACE, t, seed) for t in range(n_trials)]
     coded = label_indexer(label, LABEL_CODE).fit(df).transform(df)
     folded = stratified_folds(coded, label, key, folds, seed, out="__fold")
-    narrow = folded.select("features", LABEL_CODE, col("__fold").cast("int").alias("__fold"))
+    folded = folded.withColumn("__fold", col("__fold").cast("int"))
+    narrow = spread(folded, ["features", LABEL_CODE, "__fold"])
     maps = [{estimator.getParam(k): v for k, v in s.items()} for s in settings]
     search = CrossValidator(
         estimator=estimator,
@@ -236,7 +249,9 @@ def run_grid(
             if kind == "gbt":
                 model = fit_with_validation(train, label, key, columns, seed=seed, **options)
             else:
-                model = full_pipeline(columns, label, kind, seed=seed, **options).fit(train)
+                model = full_pipeline(columns, label, kind, seed=seed, **options).fit(
+                    spread(train, [*columns, label])
+                )
             if pca_stage(model) is not None:
                 total = explained_variance(model, train.sparkSession).agg(F.max("cumulative")).first()[0]
                 params["pca_explained_variance"] = str(total)

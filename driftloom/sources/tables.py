@@ -73,7 +73,7 @@ def write_report(df: DataFrame, path: str, **extra) -> None:
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Reference metrics from JSON: ``{"metrics": {...}}`` or flat, as (metric, value)."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     as_map = "map<string,double>"
     nested = F.from_json(F.get_json_object("value", "$.metrics"), as_map)
     flat = F.from_json("value", as_map)
