@@ -58,6 +58,18 @@ def quantiles(
     """
     if rows is None:
         rows = df.count()
+    return rows_and_quantiles(df, columns, probs, rows, exact_rows)[1]
+
+
+def rows_and_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    rows: int,
+    exact_rows: int = EXACT_ROWS,
+) -> tuple[int, dict[str, list[float | None]]]:
+    """Quantiles and, from the same pass, the exact row count."""
+    every = F.count(F.lit(1)).alias("every")
     out: dict[str, list[float | None]] = {}
     if rows <= exact_rows:
         for group in chunks(columns):
@@ -65,17 +77,20 @@ def quantiles(
                 F.percentile(as_number(df, c), list(probs)).alias(f"q{i}")
                 for i, c in enumerate(group)
             ]
-            row = df.agg(*aggs).first()
+            row = df.agg(*aggs, every).first()
+            rows = row["every"]
             for c, values in zip(group, row):
                 out[c] = list(values) if values is not None else [None] * len(probs)
-        return out
+        return rows, out
     for group in chunks(columns, 8):
-        out.update(_by_search(df, group, probs, min(exact_rows, RANK_ROWS)))
-    return out
+        rows, part = _by_search(df, group, probs, min(exact_rows, RANK_ROWS))
+        out.update(part)
+    return rows, out
 
 
-def _by_search(df, columns, probs, rank_rows) -> dict[str, list[float | None]]:
+def _by_search(df, columns, probs, rank_rows) -> tuple[int, dict[str, list[float | None]]]:
     found = _digests(df, [(c, None, None) for c in columns])
+    rows = found[None][0]
     n = {c: found[c, None, None][0] for c in columns}
     searches: dict[tuple[str, int], _Search] = {}
     for c in columns:
@@ -101,7 +116,7 @@ def _by_search(df, columns, probs, rank_rows) -> dict[str, list[float | None]]:
             low, high = math.floor(at), math.ceil(at)
             a, b = searches[(c, low)].value, searches[(c, high)].value
             out[c].append(a if a == b else (high - at) * a + (at - low) * b)
-    return out
+    return rows, out
 
 
 def _in_range(df: DataFrame, column: str, low: float | None, high: float | None) -> Column:
@@ -115,16 +130,17 @@ def _in_range(df: DataFrame, column: str, low: float | None, high: float | None)
     return F.when(cond, x)
 
 
-def _digests(df: DataFrame, ranges: list[tuple]) -> dict[tuple, tuple[int, list[float]]]:
-    """Row count and approximate splits per range, in one pass."""
+def _digests(df: DataFrame, ranges: list[tuple]) -> dict[tuple | None, tuple[int, list[float]]]:
+    """Row count and approximate splits per range, in one pass; under None all rows."""
     splits = [i / _SPLITS for i in range(_SPLITS + 1)]
     aggs = []
     for i, r in enumerate(ranges):
         x = _in_range(df, *r)
         aggs.append(F.count(x).alias(f"n{i}"))
         aggs.append(F.percentile_approx(x, splits, _ACCURACY).alias(f"s{i}"))
-    row = df.agg(*aggs).first()
-    return {r: (row[f"n{i}"], row[f"s{i}"] or []) for i, r in enumerate(ranges)}
+    row = df.agg(*aggs, F.count(F.lit(1)).alias("every")).first()
+    found = {r: (row[f"n{i}"], row[f"s{i}"] or []) for i, r in enumerate(ranges)}
+    return {**found, None: (row["every"], [])}
 
 
 def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> None:

@@ -21,6 +21,7 @@ from .columns import col
 from .hashing import token
 
 HOT_ROWS = 1_000_000
+MAX_HOT = 100_000  # strata cut by search; what is left has under rows / MAX_HOT rows each
 _SORT_ROWS = 200_000  # rows one task may rank at the end of a cut search
 _CHUNK = 3  # hex digits per narrowing pass, 4096 prefixes
 _TOKEN = "__token"
@@ -51,8 +52,7 @@ def rank_ranges(
         "__n",
         *[e.cast("long").alias(f"__end{i}") for i, e in enumerate(ends(F.col("__n")))],
     )
-    # at most (rows of the table / hot_rows) strata can pass this filter
-    hot = sized.where(F.col("__n") > hot_rows).collect()
+    hot = sized.where(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(MAX_HOT).collect()
     if not hot:
         return _by_window(tagged, strata, key, ends, out)
 
@@ -190,9 +190,15 @@ def _total(terms: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def top_by_hash(df: DataFrame, key: Sequence[str], seed: int | str, n: int, direct: int = 100_000) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, first in hash order."""
-    if n <= direct:
+def top_by_hash(
+    df: DataFrame, key: Sequence[str], seed: int | str, n: int, direct_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows, first in hash order.
+
+    A sort with limit merges n rows of every task in one; so it serves small
+    tables only, others are filtered by the cut row.
+    """
+    if df.count() <= direct_rows:
         ordered = df.withColumn(_TOKEN, token(seed, key)).orderBy(_TOKEN, *[col(k) for k in key])
         return ordered.limit(n).drop(_TOKEN)
     ranged = rank_ranges(df, [], key, seed, lambda size: [F.lit(n)], "__part", hot_rows=0)

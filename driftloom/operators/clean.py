@@ -18,7 +18,7 @@ from ..functions.columns import (
     require_columns,
     resolve_numeric,
 )
-from ..functions.quantiles import EXACT_ROWS, quantiles
+from ..functions.quantiles import EXACT_ROWS, rows_and_quantiles
 
 LOG_SCHEMA = (
     "column string, ordinal int, before long, after long, removed long, lower double, upper double"
@@ -35,29 +35,32 @@ def iqr_bounds(
     """Fences per column, in order: (column, ordinal, before, after, removed, lower, upper).
 
     The quartiles of a column come from the rows kept by the columns before
-    it. Each step is one aggregate over a filtered scan; the fences found so
-    far are literals, so the plan does not grow with the steps.
+    it. Each step aggregates a filtered scan of the columns so far, which also
+    counts the rows left by the step before; the fences found are literals, so
+    the plan does not grow with the steps and rows are never shuffled.
     """
     if columns is None:
         columns = numeric_columns(df, exclude)
     require_columns(df, columns)
-    kept = df
-    rows = df.count()
-    log, before = [], rows
-    for i, c in enumerate(columns):
-        q1, q3 = quantiles(kept, [c], [0.25, 0.75], before, exact_rows)[c]
+    kept, rows = df, df.count()
+    counts, fences = [], []
+    for c in columns:
+        rows, found = rows_and_quantiles(kept, [c], [0.25, 0.75], rows, exact_rows)
+        counts.append(rows)
+        q1, q3 = found[c]
         if q1 is None:
             # no value left: nothing can lie inside the fences
-            lower = upper = None
+            fences.append((None, None))
             kept = kept.where(F.lit(False))
-            after = 0
         else:
             lower, upper = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+            fences.append((lower, upper))
             kept = kept.where(col(c).between(lower, upper))
-            after = kept.count()
-        log.append((c, i, before, after, before - after, lower, upper))
-        before = after
-    return log
+    counts.append(kept.count())
+    return [
+        (c, i, counts[i], counts[i + 1], counts[i] - counts[i + 1], *fences[i])
+        for i, c in enumerate(columns)
+    ]
 
 
 def apply_bounds(df: DataFrame, log: Sequence[tuple]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ CARDINALITY_LABEL = "Cardinalidad"
 MODE_LABEL = "Moda"
 
 PAIRS_PER_AGG = 300
+WIDE_CORRELATION = 60  # more columns than this go through vectors, if no value is missing
 
 
 def per_column(
@@ -179,6 +182,8 @@ def correlation(
     Long form (column_a, column_b, corr), both directions and the diagonal.
     """
     columns = resolve_numeric(df, columns, exclude)
+    if len(columns) > WIDE_CORRELATION and missing_total(df, columns).first()[0] == 0:
+        return _correlation_of_vectors(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     frames = []
     for group in chunks(pairs, PAIRS_PER_AGG):
@@ -201,6 +206,18 @@ def correlation(
     return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
 
 
+def _correlation_of_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All pairs from one pass over complete rows; the matrix is columns x columns."""
+    vectors = df.select(array_to_vector(F.array(*[as_number(df, c) for c in columns])).alias("v"))
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    rows = [
+        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return local_frame(df.sparkSession, rows, "column_a string, column_b string, corr double")
+
+
 def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
     rows = per_column(
         df,

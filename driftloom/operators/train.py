@@ -14,6 +14,7 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import col, numeric_columns
 from ..session import ensure_checkpoint_dir
@@ -87,6 +88,15 @@ def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[col(c) for c in dict.fromkeys(columns)]).repartition(n)
 
 
+def fit_spread(estimator: Estimator, train: DataFrame, columns: Sequence[str]):
+    """Fit a chain of stages on spread rows, kept while each stage passes over them."""
+    rows = spread(train, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def full_pipeline(
     columns: Sequence[str],
     label: str,
@@ -114,9 +124,10 @@ def fit_with_validation(
 ) -> PipelineModel:
     """Boosting stopped early on a stratified part of the training rows."""
     marked = mark_test(train, label, key, valid_size, f"{seed}|validation", out="__validation")
-    return full_pipeline(
+    estimator = full_pipeline(
         columns, label, "gbt", use_pca, k, validation_col="__validation", seed=seed, **params
-    ).fit(spread(marked, [*columns, label, "__validation"]))
+    )
+    return fit_spread(estimator, marked, [*columns, label, "__validation"])
 
 
 class MacroF1(Evaluator, HasLabelCol, HasPredictionCol):
@@ -196,11 +207,15 @@ def tune(
         parallelism=parallelism,
         seed=seed,
     )
-    scores = search.fit(narrow).avgMetrics
-    best = max(range(n_trials), key=lambda t: (scores[t], -t))
-    final = dict(maps[best])
-    final[estimator.maxIter] = final_rounds
-    model = estimator.copy(final).fit(narrow)
+    narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scores = search.fit(narrow).avgMetrics
+        best = max(range(n_trials), key=lambda t: (scores[t], -t))
+        final = dict(maps[best])
+        final[estimator.maxIter] = final_rounds
+        model = estimator.copy(final).fit(narrow)
+    finally:
+        narrow.unpersist()
     trials = [(t, settings[t], float(scores[t])) for t in range(n_trials)]
     return model, settings[best], trials
 
@@ -249,9 +264,8 @@ def run_grid(
             if kind == "gbt":
                 model = fit_with_validation(train, label, key, columns, seed=seed, **options)
             else:
-                model = full_pipeline(columns, label, kind, seed=seed, **options).fit(
-                    spread(train, [*columns, label])
-                )
+                estimator = full_pipeline(columns, label, kind, seed=seed, **options)
+                model = fit_spread(estimator, train, [*columns, label])
             if pca_stage(model) is not None:
                 total = explained_variance(model, train.sparkSession).agg(F.max("cumulative")).first()[0]
                 params["pca_explained_variance"] = str(total)

@@ -42,9 +42,8 @@ def parts(spark, sf_dir):
 @lru_cache(maxsize=4)
 def _forest(app: str, spark, sf_dir: str) -> PipelineModel:
     train, _ = parts(spark, sf_dir)
-    return tr.full_pipeline(MEASURES, "band", n_trees=10, max_depth=5).fit(
-        tr.spread(train, [*MEASURES, "band"])
-    )
+    estimator = tr.full_pipeline(MEASURES, "band", n_trees=10, max_depth=5)
+    return tr.fit_spread(estimator, train, [*MEASURES, "band"])
 
 
 def forest(spark, sf_dir) -> PipelineModel:
@@ -65,9 +64,8 @@ def random_forest(spark, sf_dir):
 @query("forest_after_pca")
 def forest_after_pca(spark, sf_dir):
     train, test = parts(spark, sf_dir)
-    model = tr.full_pipeline(MEASURES, "band", use_pca=True, k=3, n_trees=5, max_depth=5).fit(
-        tr.spread(train, [*MEASURES, "band"])
-    )
+    estimator = tr.full_pipeline(MEASURES, "band", use_pca=True, k=3, n_trees=5, max_depth=5)
+    model = tr.fit_spread(estimator, train, [*MEASURES, "band"])
     return _scores(model, test)
 
 

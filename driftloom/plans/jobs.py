@@ -96,7 +96,8 @@ def train_model(
         best, _, _ = tr.tune(prep.transform(df), label, key, **params)
         model = PipelineModel([indexer, *prep.stages, best])
     else:
-        model = tr.full_pipeline(columns, label, model_type, **params).fit(tr.spread(df, [*columns, label]))
+        estimator = tr.full_pipeline(columns, label, model_type, **params)
+        model = tr.fit_spread(estimator, df, [*columns, label])
     model.write().overwrite().save(model_path)
     return model
 

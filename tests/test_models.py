@@ -33,8 +33,8 @@ def split(table):
 
 @pytest.fixture(scope="module")
 def forest(split):
-    train = tr.spread(split[0], [*COLUMNS, "Class"])
-    return tr.full_pipeline(COLUMNS, "Class", n_trees=5, max_depth=5).fit(train)
+    estimator = tr.full_pipeline(COLUMNS, "Class", n_trees=5, max_depth=5)
+    return tr.fit_spread(estimator, split[0], [*COLUMNS, "Class"])
 
 
 def f1(scored):

@@ -203,3 +203,13 @@ def test_hot_category_counts(spark):
     df = spark.createDataFrame([("hot" if i % 3 else f"c{i}",) for i in range(3000)], "c string")
     top = {r["category"]: r["n"] for r in profile.category_counts(df).collect()}
     assert top["hot"] == 2000 and len(top) == 1001
+
+
+def test_correlation_of_many_columns(spark, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(300, 5))
+    schema = ", ".join(f"c{i} double" for i in range(5))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], schema)
+    few = {tuple(r)[:2]: r[2] for r in profile.correlation(df).collect()}
+    monkeypatch.setattr(profile, "WIDE_CORRELATION", 3)
+    many = {tuple(r)[:2]: r[2] for r in profile.correlation(df).collect()}
+    assert many == pytest.approx(few) and len(many) == 25

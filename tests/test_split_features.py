@@ -79,7 +79,7 @@ def test_sample(spark):
     few = split.sample_n(df, ["id"], 100)
     assert few.count() == 100 and ids(few) == ids(split.sample_n(df.repartition(5), ["id"], 100))
     assert split.sample_n(df, ["id"], 5000).count() == 1000
-    assert ids(few) == ids(ranks.top_by_hash(df, ["id"], 42, 100, direct=1))
+    assert ids(few) == ids(ranks.top_by_hash(df, ["id"], 42, 100, direct_rows=1))
 
 
 def test_random_split(spark):
