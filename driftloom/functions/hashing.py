@@ -54,6 +54,11 @@ def choose_columns(columns: Sequence[str], count: int, seed: int) -> list[str]:
     return [c for c in columns if c in chosen]
 
 
+def scalar_uniform(seed: int, salt: str) -> float:
+    """One uniform number in [0, 1), such as a setting of a run."""
+    return int(hashlib.md5(f"{seed}|{salt}".encode()).hexdigest()[:8], 16) / SPAN
+
+
 def scalar_normal(seed: int, salt: str) -> float:
     """One standard normal number for a whole column, from the same hashing."""
     h1, h2 = (

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import as_number, chunks
+from .columns import as_number, chunks, col
 
 EXACT_ROWS = 100_000  # up to so many rows ``percentile`` is the cheaper way
 RANK_ROWS = 1_000_000  # values one task may rank at the end of a search
@@ -155,7 +155,7 @@ def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> None:
             wanted.setdefault((s.column, e), len(wanted))
     aggs = []
     for (c, e), j in wanted.items():
-        x = as_number(df, c)
+        x = col(c).cast("double")  # NaN is neither below nor at a number
         aggs.append(F.count(F.when(x < F.lit(e), 1)).alias(f"lt{j}"))
         aggs.append(F.count(F.when(x <= F.lit(e), 1)).alias(f"le{j}"))
     counts = df.agg(*aggs).first()

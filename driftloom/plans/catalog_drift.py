@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import scalar_normal
 from ..operators import drift as dr
 from ..operators import features as ft
+from ..operators import perturb
 from ..operators import runs as rn
 from ..session import scratch_path
+from .catalog_features import normal_sql
 from .jobs import drift_job
 from .registry import LINE_KEY, MEASURES, query, rounded, table
 
@@ -265,6 +268,33 @@ def drift_transformed(spark, sf_dir):
     return rounded(detail.select("feature", "drift_score", "production_mean", "production_std"), drift_score=8)
 
 
+def _moved() -> float:
+    return 0.5 + 0.2 * scalar_normal(42, "l_tax")
+
+
+@query(
+    "drift_simulated",
+    sql=f"""
+    WITH u AS (SELECT l_tax AS value, FALSE AS prod FROM lineitem
+               UNION ALL SELECT l_tax + CAST({_moved()!r} AS DOUBLE) + 0.3 * {normal_sql('l_tax')}, TRUE FROM lineitem),
+    p AS (SELECT min(value) AS lo, max(value) AS hi, count(*) FILTER (prod) AS m FROM u),
+    b AS (SELECT prod, len(list_filter(range(1, 10), lambda i: (value - lo) / (hi - lo) >= i * CAST(0.1 AS DOUBLE))) AS bin
+          FROM u, p),
+    h AS (SELECT g.bin, count(*) FILTER (NOT prod) / any_value(m) AS e, count(*) FILTER (prod) / any_value(m) AS a
+          FROM p CROSS JOIN (SELECT unnest(range(10)) AS bin) g LEFT JOIN b ON b.bin = g.bin GROUP BY g.bin),
+    f AS (SELECT CASE WHEN e = 0 THEN 1e-4 ELSE e END AS e, CASE WHEN a = 0 THEN 1e-4 ELSE a END AS a FROM h)
+    SELECT 'l_tax' AS feature, round(sum((a - e) * ln(a / e)), 7) AS drift_score,
+           sum((a - e) * ln(a / e)) > 0.25 AS drift_detected FROM f
+    """,
+)
+def drift_simulated(spark, sf_dir):
+    """Production is the reference with a shifted, noisy column."""
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_tax")
+    moved = perturb.add_shifted_noise(li, ["l_tax"], LINE_KEY)
+    detail = dr.drift(li, moved, ["l_tax"])
+    return rounded(detail.select("feature", "drift_score", "drift_detected"), 7)
+
+
 @query("drift_after_pca")
 def drift_after_pca(spark, sf_dir):
     wide = ft.array_columns(table(spark, sf_dir, "embeddings"), "embedding", 64)

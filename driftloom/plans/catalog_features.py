@@ -255,7 +255,7 @@ def feature_job(spark, sf_dir):
 # --- perturbation -----------------------------------------------------------
 
 
-def _normal_sql(salt: str) -> str:
+def normal_sql(salt: str) -> str:
     def h(part: str) -> str:
         return f"CAST(CAST('0x' || substr({line_hash(f'42|{salt}|{part}')}, 1, 8) AS BIGINT) AS DOUBLE)"
 
@@ -278,7 +278,7 @@ def perturb_shift(spark, sf_dir):
 
 @query(
     "perturb_noise",
-    sql=f"SELECT {KEYS}, round(l_tax + 0.5 + 0.2 * {_normal_sql('l_tax')}, 6) AS l_tax, l_discount FROM lineitem",
+    sql=f"SELECT {KEYS}, round(l_tax + 0.5 + 0.2 * {normal_sql('l_tax')}, 6) AS l_tax, l_discount FROM lineitem",
 )
 def perturb_noise(spark, sf_dir):
     li = lines(spark, sf_dir, "l_tax", "l_discount")
@@ -294,7 +294,7 @@ def _column_shift() -> float:
 @query(
     "perturb_shifted_noise",
     sql=f"""SELECT {KEYS}, round(l_quantity + CAST({_column_shift()!r} AS DOUBLE)
-                                 + 0.3 * {_normal_sql('l_quantity')}, 5) AS l_quantity FROM lineitem""",
+                                 + 0.3 * {normal_sql('l_quantity')}, 5) AS l_quantity FROM lineitem""",
 )
 def perturb_shifted_noise(spark, sf_dir):
     li = lines(spark, sf_dir, "l_quantity")
@@ -303,7 +303,7 @@ def perturb_shifted_noise(spark, sf_dir):
 
 @query(
     "perturb_scale",
-    sql=f"""SELECT {KEYS}, round(l_extendedprice * (1.0 + 0.25 * {_normal_sql('l_extendedprice')}), 4)
+    sql=f"""SELECT {KEYS}, round(l_extendedprice * (1.0 + 0.25 * {normal_sql('l_extendedprice')}), 4)
             AS l_extendedprice FROM lineitem""",
 )
 def perturb_scale(spark, sf_dir):
@@ -313,7 +313,7 @@ def perturb_scale(spark, sf_dir):
 
 @query(
     "perturb_relative_noise",
-    sql=f"""SELECT {KEYS}, round(l_quantity + {_normal_sql('l_quantity|level')}
+    sql=f"""SELECT {KEYS}, round(l_quantity + {normal_sql('l_quantity|level')}
                                  * (SELECT stddev_samp(l_quantity) FROM lineitem) * 0.1, 5) AS l_quantity
             FROM lineitem""",
 )
@@ -339,7 +339,7 @@ def perturb_missing(spark, sf_dir):
     sql=f"""
     WITH s AS (SELECT * FROM lineitem ORDER BY {line_hash('42')}, {KEYS} LIMIT 500)
     SELECT {KEYS}, l_returnflag,
-           round(l_quantity + {_normal_sql('l_quantity|level')} * (SELECT stddev_samp(l_quantity) FROM s) * 0.1, 5)
+           round(l_quantity + {normal_sql('l_quantity|level')} * (SELECT stddev_samp(l_quantity) FROM s) * 0.1, 5)
              AS l_quantity
     FROM s
     """,

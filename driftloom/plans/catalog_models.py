@@ -22,7 +22,7 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.scoring import read_stream
 from ..streaming.scoring import score_stream as start_scoring
-from .jobs import predict_table, track_training, train_model
+from .jobs import performance_runs, predict_table, track_training, train_model
 from .registry import LINE_KEY, MEASURES, query, rounded, table
 
 BAND = (
@@ -210,11 +210,12 @@ def train_job(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir):
-    """Feature files arrive as a stream and are scored into a table."""
-    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "scored")
-    df = banded(spark, sf_dir)
-    df.write.parquet(source)
-    stream = read_stream(spark, source, df.schema)
+    """The files of the table arrive as a stream and are scored into another."""
+    out = scratch_path(spark, "scored")
+    schema = table(spark, sf_dir, "lineitem").schema
+    # a pattern serves a folder of files and a single file alike
+    arriving = read_stream(spark, f"{sf_dir}/lineitem.parque[t]", schema)
+    stream = arriving.select(*LINE_KEY, *MEASURES, F.expr(BAND).alias("band"))
     running = start_scoring(
         forest(spark, sf_dir), stream, out, scratch_path(spark, "stream-checkpoint"), LINE_KEY, "band"
     )
@@ -241,6 +242,14 @@ def score_stream_counts(spark, sf_dir):
     )
 
 
+@query("performance_runs")
+def performance_runs_query(spark, sf_dir):
+    test = parts(spark, sf_dir)[1]
+    return performance_runs(
+        forest(spark, sf_dir), test, "band", LINE_KEY, "l_extendedprice", "l_quantity", n_runs=3
+    )
+
+
 @query("track_training")
 def track(spark, sf_dir):
     train, test = parts(spark, sf_dir)

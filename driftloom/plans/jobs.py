@@ -8,7 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, numeric_columns, require_columns
+from ..functions.columns import col, local_frame, numeric_columns, require_columns, union_all
+from ..functions.hashing import scalar_uniform
 from ..operators import clean, drift as dr, evaluate as ev, perturb, profile, runs, score as sc, train as tr
 from ..operators.features import build_matrices
 from ..operators.split import SEED, stratified_split
@@ -191,6 +192,54 @@ def drift_job(
     )
 
 
+def performance_runs(
+    model: PipelineModel,
+    df: DataFrame,
+    label: str,
+    key: Sequence[str],
+    shift_column: str,
+    missing_column: str,
+    settings: Sequence[tuple[float, float]] | None = None,
+    n_runs: int = 10,
+    threshold_pct: float = 5.0,
+    seed: int = SEED,
+) -> DataFrame:
+    """Weighted f1 on perturbed copies of a labelled table against the table itself.
+
+    Each run shifts one column, blanks part of another and fills the blanks
+    with the column mean. ``settings`` lists (shift factor, missing ratio);
+    by default ``n_runs`` are drawn from [1.1, 1.3] and [0.05, 0.2]. Returns a
+    row per run with drop, alert and action.
+    """
+    if settings is None:
+        settings = [
+            (1.1 + 0.2 * scalar_uniform(seed, f"{i}|shift"), 0.05 + 0.15 * scalar_uniform(seed, f"{i}|missing"))
+            for i in range(1, n_runs + 1)
+        ]
+
+    def counted(rows: DataFrame, run: int) -> DataFrame:
+        scored = sc.score(model, rows, target=label)
+        pred = "prediction_label" if "prediction_label" in scored.columns else "prediction"
+        return ev.pair_counts(scored, "true_label", pred).withColumn("run", F.lit(run))
+
+    parts = [counted(df, 0)]
+    for i, (factor, ratio) in enumerate(settings, 1):
+        moved = perturb.shift(df, shift_column, factor)
+        gaps = perturb.drop_values(moved, missing_column, ratio, key, f"{seed}|{i}")
+        parts.append(counted(clean.impute_mean(gaps, [missing_column]), i))
+    # classes x classes rows per run from here on
+    scores = ev.metrics(union_all(parts), ["run"]).select("run", "f1_weighted")
+    base = scores.where("run = 0").select(F.col("f1_weighted").alias("base_f1"))
+    drawn = local_frame(
+        df.sparkSession,
+        [(i, float(f), float(r)) for i, (f, r) in enumerate(settings, 1)],
+        "run int, shift_factor double, missing_ratio double",
+    )
+    runs = scores.join(F.broadcast(drawn), "run")
+    rated = runs.withColumn("base_f1", F.lit(base.first()["base_f1"]))
+    return ev.performance_alert(rated.withColumnRenamed("f1_weighted", "drift_f1"), "base_f1", "drift_f1", threshold_pct)
+
+
 def perturbed_set(
     df: DataFrame,
     out_dir: str,

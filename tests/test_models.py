@@ -117,6 +117,29 @@ def test_grid_skips_failures(split):
     assert rn.best_run(runs).first()["run_id"] == "run001"
 
 
+def test_performance_runs(forest, split):
+    runs = jobs.performance_runs(forest, split[1], "Class", ["id"], "a", "b", n_runs=2).orderBy("run").collect()
+    assert [r["run"] for r in runs] == [1, 2]
+    assert all(1.1 <= r["shift_factor"] <= 1.3 and 0.05 <= r["missing_ratio"] <= 0.2 for r in runs)
+    still = jobs.performance_runs(forest, split[1], "Class", ["id"], "a", "b", settings=[(1.0, 0.0), (3.0, 0.1)])
+    same, moved = still.orderBy("run").collect()
+    assert same["performance_drop"] == pytest.approx(0.0) and not same["alert"]
+    assert moved["alert"] and moved["drift_f1"] < moved["base_f1"]
+
+
+@pytest.mark.parametrize("kind", ["gbt", "gbt_tuned"])
+def test_train_job_kinds(spark, table, tmp_path, kind):
+    source, path = str(tmp_path / "t"), str(tmp_path / "m")
+    table.write.parquet(source)
+    small = tr.gbt_one_vs_rest(n_rounds=1, max_depth=3)
+    params = {"gbt": dict(n_rounds=2, max_depth=3, learning_rate=0.5),
+              "gbt_tuned": dict(estimator=small, space={"maxDepth": ("int", 2, 3)}, n_trials=1, folds=2, final_rounds=2)}
+    jobs.train_model(spark, source, path, "Class", ["id"], kind, COLUMNS, **params[kind])
+    jobs.predict_table(spark, source, path, str(tmp_path / "p"), ["id"], "Class")
+    scored = spark.read.parquet(str(tmp_path / "p"))
+    assert scored.count() == 600 and f1(scored) > 0.9
+
+
 def test_validation_of_vectors(spark):
     df = spark.createDataFrame([(1, [1.0] * 50), (2, [1.0] * 49), (3, []), (4, None)], "id int, v array<double>")
     good, bad = sc.validate_features(df, "v", mode="quarantine")
