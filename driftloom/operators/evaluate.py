@@ -41,16 +41,21 @@ def fill_matrix(counts: DataFrame, labels: Sequence | None = None) -> DataFrame:
     if labels is not None:
         listed = counts.sparkSession.range(1).select(F.array(*[F.lit(v) for v in labels]).alias("labels"))
     else:
-        # one entry per class: pairs are already reduced to distinct labels
+        # One entry per class: pairs are already reduced to distinct labels. The
+        # condition, like the null-safe join below, changes no row; it leaves
+        # both branches the same aggregate, so they share one scan and shuffle.
         listed = (
-            counts.select(F.explode(F.array("true_label", "pred_label")).alias("label"))
+            counts.where(F.col("n") > 0)
+            .select(F.explode(F.array("true_label", "pred_label")).alias("label"))
             .distinct()
             .agg(F.collect_list("label").alias("labels"))
         )
     grid = listed.select(F.explode("labels").alias("true_label"), "labels").select(
         "true_label", F.explode("labels").alias("pred_label")
     )
-    return grid.join(counts, ["true_label", "pred_label"], "left").select(
+    found = counts.select(F.col("true_label").alias("__t"), F.col("pred_label").alias("__p"), "n")
+    same = F.col("true_label").eqNullSafe(F.col("__t")) & F.col("pred_label").eqNullSafe(F.col("__p"))
+    return grid.join(found, same, "left").select(
         "true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
 
@@ -274,6 +279,20 @@ def performance_alert(scores: DataFrame, base: str, current: str, threshold_pct:
     )
 
 
+def against_baseline(
+    scores: DataFrame, is_base: Column, metric: str = "f1_weighted", threshold_pct: float = 5.0
+) -> DataFrame:
+    """Rate every run of a score table, one row per run, against its baseline run.
+
+    The baseline is read off the same rows, so the scored data is passed once.
+    """
+    whole = Window.partitionBy()  # one row per run
+    marked = scores.withColumn("__base", is_base)
+    base = F.max(F.when(F.col("__base"), col(metric))).over(whole)
+    rated = marked.withColumn("base_f1", base).where(~F.col("__base")).drop("__base")
+    return performance_alert(rated.withColumnRenamed(metric, "drift_f1"), "base_f1", "drift_f1", threshold_pct)
+
+
 def alert_summary(runs: DataFrame) -> DataFrame:
     """Number of alerts and mean, worst and best relative drop over many runs."""
     return runs.agg(

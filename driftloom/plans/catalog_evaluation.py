@@ -201,14 +201,8 @@ def monitored_runs(spark, sf_dir):
     )
     by = ["l_linenumber"]
     scores = ev.metrics(ev.pair_counts(li, "truth", "guess", by), by)
-    # one row per run; the first run is the baseline of the others
-    base = scores.where("l_linenumber = 1").first()["f1_weighted"]
-    runs = scores.where("l_linenumber > 1").select(
-        F.col("l_linenumber").alias("run"),
-        F.lit(base).alias("base_f1"),
-        F.col("f1_weighted").alias("drift_f1"),
-    )
-    return ev.performance_alert(runs, "base_f1", "drift_f1")
+    runs = scores.select(F.col("l_linenumber").alias("run"), "f1_weighted")
+    return ev.against_baseline(runs, F.col("run") == 1)
 
 
 _RUNS = (

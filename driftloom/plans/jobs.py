@@ -229,15 +229,13 @@ def performance_runs(
         parts.append(counted(clean.impute_mean(gaps, [missing_column]), i))
     # classes x classes rows per run from here on
     scores = ev.metrics(union_all(parts), ["run"]).select("run", "f1_weighted")
-    base = scores.where("run = 0").select(F.col("f1_weighted").alias("base_f1"))
     drawn = local_frame(
         df.sparkSession,
         [(i, float(f), float(r)) for i, (f, r) in enumerate(settings, 1)],
         "run int, shift_factor double, missing_ratio double",
     )
-    runs = scores.join(F.broadcast(drawn), "run")
-    rated = runs.withColumn("base_f1", F.lit(base.first()["base_f1"]))
-    return ev.performance_alert(rated.withColumnRenamed("f1_weighted", "drift_f1"), "base_f1", "drift_f1", threshold_pct)
+    rated = ev.against_baseline(scores, F.col("run") == 0, threshold_pct=threshold_pct)
+    return rated.join(F.broadcast(drawn), "run")
 
 
 def perturbed_set(
@@ -275,22 +273,31 @@ def track_training(
     tags: Mapping | None = None,
 ) -> str:
     """Record one training: params, sizes, train and test metrics; with
-    ``out_dir`` also matrices, reports and the model. Returns the run id."""
-    info = dataset_info(train, test, label, exclude=key).first().asDict()
-    metrics: dict[str, float] = {}
-    for part, df in (("train", train), ("test", test)):
-        tables = evaluate_predictions(sc.score(model, df, target=label), prefix=part)
-        metrics |= {r["metric"]: r["value"] for r in tables["flat"].collect()}
+    ``out_dir`` also matrices, reports and the model. Returns the run id.
+
+    A failure is recorded as a failed run with what was known, then raised.
+    """
+    known, metrics = dict(params), {}
+    status = "failed"
+    try:
+        require_columns(test, [label])
+        known |= dataset_info(train, test, label, exclude=key).first().asDict()
+        for part, df in (("train", train), ("test", test)):
+            tables = evaluate_predictions(sc.score(model, df, target=label), prefix=part)
+            metrics |= {r["metric"]: r["value"] for r in tables["flat"].collect()}
+            if out_dir is not None:
+                write_table(tables["matrix"], f"{out_dir}/confusion_matrix_{part}")
+                write_table(tables["report"], f"{out_dir}/classification_report_{part}")
         if out_dir is not None:
-            write_table(tables["matrix"], f"{out_dir}/confusion_matrix_{part}")
-            write_table(tables["report"], f"{out_dir}/classification_report_{part}")
-    if out_dir is not None:
-        model.write().overwrite().save(f"{out_dir}/model")
-    return runs.append_run(
-        spark,
-        runs_path,
-        name=name,
-        params={**params, **info},
-        metrics=metrics,
-        tags={**(tags or {}), "model_type": model_type, "model_name": name},
-    )
+            model.write().overwrite().save(f"{out_dir}/model")
+        status = "completed"
+    finally:
+        run_id = runs.append_run(
+            spark,
+            runs_path,
+            name=name,
+            params=known,
+            metrics=metrics,
+            tags={**(tags or {}), "model_type": model_type, "model_name": name, "status": status},
+        )
+    return run_id

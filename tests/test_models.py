@@ -199,6 +199,10 @@ def test_jobs_end_to_end(spark, table, tmp_path):
     run = rn.read_runs(spark, runs).where(F.col("run_id") == run_id).first()
     assert run["params"]["n_features"] == "3" and "gone" not in run["params"]
     assert 0 <= run["metrics"]["test_f1_macro"] <= 1 and "train_accuracy" in run["metrics"]
+    assert run["tags"]["status"] == "completed"
+    with pytest.raises(Exception, match="Class"):
+        jobs.track_training(spark, runs, model, a, b.drop("Class"), "Class", ["id"], {}, "m", "random_forest")
+    assert rn.read_runs(spark, runs).where("tags['status'] = 'failed'").count() == 1
     drift_id = jobs.drift_job(spark, a, b, str(tmp_path / "d"), runs, COLUMNS)
     tags = rn.read_runs(spark, runs).where(F.col("run_id") == drift_id).first()["tags"]
     assert tags["drift_status"] in ("detected", "no_drift") and "drift_severity" in tags

@@ -213,3 +213,9 @@ def test_correlation_of_many_columns(spark, monkeypatch):
     monkeypatch.setattr(profile, "WIDE_CORRELATION", 3)
     many = {tuple(r)[:2]: r[2] for r in profile.correlation(df).collect()}
     assert many == pytest.approx(few) and len(many) == 25
+
+
+def test_approximate_quantiles(frame):
+    df = frame("v double", v=[float(i) for i in range(101)])
+    got = {r["prob"]: r["value"] for r in profile.quantile_table(df, ["v"], exact=False).collect()}
+    assert got == {0.25: 25.0, 0.5: 50.0, 0.75: 75.0}
