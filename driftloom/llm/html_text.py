@@ -294,7 +294,7 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     Null and empty html give an empty text. Columns named text or n_chars are replaced. Repeated rows are each
     extracted; an empty table gives an empty result.
     """
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c == html_col or c not in ("text", "n_chars")])
+    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c == html_col or c.lower() not in ("text", "n_chars")])
     kept = [c for c in rows.columns if c != html_col]
     types = [rows.schema[c].dataType.simpleString() for c in kept]
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate([*types, "string", "long"]))

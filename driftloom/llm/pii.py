@@ -200,13 +200,15 @@ def redact_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of overlapping spans the first one names the kind, and the union is replaced. Other columns and null texts stay as
     they are.
     """
-    spans = find_pii(docs, id_col, text_col, rounds).where(F.size("spans") > 0)
-    spans = spans.select(F.col(id_col).alias("x_id"), F.col("text_hash").alias("x_hash"), "spans").dropDuplicates(["x_id", "x_hash"])
-    text = F.col(f"d.`{text_col}`")
-    joined = docs.alias("d").join(
-        spans, F.col(f"d.`{id_col}`").eqNullSafe(F.col("x_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("x_hash")), "left"
-    )
-    by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    marked = find_pii(docs, id_col, text_col, rounds).where(F.size("spans") > 0)
+    places = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    marks = F.struct(F.col(id_col).alias("id"), F.col("text_hash").alias("hash"), F.array_sort(places).alias("places"))
+    marked = marked.dropDuplicates([id_col, "text_hash"]).select(marks.alias("m")).alias("x")
+    # the names of ``docs`` are out of reach behind one struct, so none can clash
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")).alias("y")
+    text, mark = F.col("y.d")[text_col], F.col("x.m")
+    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
+    joined = whole.join(marked, F.col("y.d")[id_col].eqNullSafe(mark["id"]) & (hashed == mark["hash"]), "left")
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
@@ -214,6 +216,6 @@ def redact_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         fresh = F.concat(s["out"], F.substring(text, s["at"].cast("int") + 1, (x["start"] - s["at"]).cast("int")), F.element_at(tags, x["kind"] + 1))
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] < s["at"], s["out"]).otherwise(fresh).alias("out"))
 
-    masked = F.aggregate(by_place, start, add, lambda s: F.concat(s["out"], F.substring(text, s["at"].cast("int") + 1, F.length(text))))
-    clean = F.when(F.col("spans").isNull(), text).otherwise(masked)
-    return joined.select(*[clean.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns])
+    masked = F.aggregate(mark["places"], start, add, lambda s: F.concat(s["out"], F.substring(text, s["at"].cast("int") + 1, F.length(text))))
+    clean = F.when(mark.isNull(), text).otherwise(masked)
+    return joined.select(*[(clean if c == text_col else F.col("y.d")[c]).alias(c) for c in docs.columns])

@@ -15,7 +15,7 @@ from .words import Texts, mix, sliced, windows
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
 TRUSTED_ROWS = 20_000
-THRESHOLD = -0.1
+THRESHOLD = -0.25
 MIN_WORDS = 10
 MAX_REPEATED = 20  # percent of the words
 REPEAT_WIDTH = 5
@@ -186,7 +186,7 @@ def judge_quality(
     """
     table = ratio_table(docs, trusted, id_col, text_col, trusted_rows)
     new = [n for n, _ in VERDICT]
-    rows = docs.select(*[c for c in docs.columns if c not in new]) if keep_columns else docs.select(id_col, text_col)
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]) if keep_columns else docs.select(id_col, text_col)
     old = [f.dataType.simpleString() for f in rows.schema.fields]
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate([*old, *(t for _, t in VERDICT)]))
     out = in_arrow(rows, _judge(table, rows.columns.index(text_col), threshold), schema).toDF(*rows.columns, *new)

@@ -187,7 +187,7 @@ class Scorer:
         hits = self.hits(tokens)
         if not hits:
             return [0.0] * FEATURES
-        plain = spelled = quoted = 0.0
+        plain = spelled = quoted = strongest = 0.0
         for at, weight, edits in hits:
             if self.quoted(tokens, at):
                 quoted += weight
@@ -195,11 +195,12 @@ class Scorer:
                 spelled += weight / (1 + edits)
             else:
                 plain += weight
+                strongest = max(strongest, weight)
         places = np.array([h[0] for h in hits])
         crowd = int((np.searchsorted(places, places + WINDOW, side="right") - np.arange(len(places))).max())
         exact = sum(1 for h in hits if not h[2])
         return [
-            math.log1p(plain), math.log1p(spelled), math.log1p(quoted), float(plain > 0),
+            math.log1p(plain), math.log1p(spelled), math.log1p(quoted), strongest,
             math.log1p(100 * exact / len(tokens)), math.log1p(100 * (len(hits) - exact) / len(tokens)), math.log1p(crowd),
         ]
 

@@ -118,7 +118,7 @@ def judge_urls(
     dropped. Repeated rows are each judged; an empty table gives an empty result.
     """
     new = ("host", "path", "rule", "n_strict", "n_soft", "verdict")
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new])
+    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in new])
     types = [f.dataType.simpleString() for f in rows.schema.fields]
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate([*types, "long", "long"]))
     counted = in_arrow(rows, _counter(rows.columns.index(url_col), strict, soft), schema).toDF(*rows.columns, "n_strict", "n_soft")
