@@ -46,7 +46,3 @@ def _settle(x: Column, guess: Column, edge, bins: int) -> Column:
     left = (x < edge(guess)).cast("int")
     right = ((x >= edge(guess + 1)) & (guess + 1 <= bins - 1)).cast("int")
     return guess - left + right
-
-
-def sum_columns(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -65,8 +65,8 @@ class BoostedOneVsRest(Estimator, _BoostParams, DefaultParamsReadable, DefaultPa
 
     Labels are codes 0..k-1. With a validation column, each class stops at
     its best round: the validation loss of every round is read once after a
-    full fit, and if an earlier round is best, the fit is repeated with that
-    many rounds (it grows the same trees).
+    full fit, and the model keeps the trees up to the best round, which are
+    those that a fit of so many rounds would grow.
     """
 
     @keyword_only
@@ -141,7 +141,23 @@ class BoostedOneVsRest(Estimator, _BoostParams, DefaultParamsReadable, DefaultPa
         train, valid = marked.where(~F.col("__valid")), marked.where("__valid")
         model = self._binary(rounds).fit(train)
         best = best_round(model.evaluateEachIteration(valid), self.getOrDefault(self.patience))
-        return model if best == rounds else self._binary(best).fit(train)
+        return model if best == rounds else first_rounds(model, best)
+
+
+def first_rounds(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The boosted model of the first ``n`` rounds; nothing is grown again."""
+    java = model._java_obj
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for i, tree in enumerate(java.trees()[:n]):
+        trees[i] = tree
+        weights[i] = java.treeWeights()[i]
+    cut = GBTClassificationModel(
+        jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    )
+    model._copyValues(cut)
+    return cut
 
 
 def best_round(losses: Sequence[float], patience: int) -> int:

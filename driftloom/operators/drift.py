@@ -174,7 +174,8 @@ def _profile_frame(spark, profiles: dict[str, FeatureProfile]) -> DataFrame:
 
 def _shares(both: DataFrame, profiles: dict[str, FeatureProfile], bins: int) -> DataFrame:
     """(feature, e, a): shares of reference and production per bin, full grid."""
-    spans = {i: (c, p) for i, (c, p) in enumerate(profiles.items()) if p.span is not None}
+    # a feature that is constant, or unknown on one side, has no bins
+    spans = {i: (c, p) for i, (c, p) in enumerate(profiles.items()) if p.span is not None and min(p.n) > 0}
     grid = local_frame(
         both.sparkSession,
         [(c, i, b, *p.n) for i, (c, p) in spans.items() for b in range(bins)],
@@ -372,29 +373,33 @@ def js_positional(
     Each column is scaled to sum 1 on its side and compared value by value, as
     if it were a distribution over the keys; a negative share makes the
     distance infinite. Meant for columns of non-negative weights; use the
-    binned ``js`` method of :func:`drift` for samples.
+    binned ``js`` method of :func:`drift` for samples. Keys that stand on one
+    side only, or more than once on a side, fail the job; a column that
+    sums to zero on a side has no distance (null).
     """
     key = list(key)
     columns = resolve_numeric(reference, columns, key)
     require_columns(production, [*key, *columns])
 
-    def totals(df: DataFrame) -> dict[str, float]:
+    def totals(df: DataFrame) -> tuple[int, dict[str, float]]:
         out: dict[str, float] = {}
+        n = 0
         for group in chunks(columns):
-            row = df.agg(*[F.sum(as_number(df, c)).alias(f"t{i}") for i, c in enumerate(group)]).first()
+            sums = [F.sum(as_number(df, c)).alias(f"t{i}") for i, c in enumerate(group)]
+            n, *row = df.agg(F.count(F.lit(1)).alias("n"), *sums).first()
             out.update(zip(group, row))
-        return out
+        return n, out
 
-    t_ref, t_prod = totals(reference), totals(production)
-    left = reference.select(
-        *[col(k) for k in key],
-        *[(as_number(reference, c) / F.lit(t_ref[c])).alias(f"__r_{c}") for c in columns],
-    )
-    right = production.select(
-        *[col(k) for k in key],
-        *[(as_number(production, c) / F.lit(t_prod[c])).alias(f"__p_{c}") for c in columns],
-    )
-    paired = left.join(right, key)
+    (n_ref, t_ref), (n_prod, t_prod) = totals(reference), totals(production)
+
+    def scaled(df: DataFrame, side: str, total: dict) -> DataFrame:
+        shares = [F.try_divide(as_number(df, c), F.lit(total[c]).cast("double")).alias(f"__{side}_{c}") for c in columns]
+        return df.select(*[col(k) for k in key], *shares)
+
+    # with every key once on both sides, and only then, the join has as many rows as either side
+    paired = scaled(reference, "r", t_ref).join(scaled(production, "p", t_prod), key, "full_outer")
+    fits = (F.count(F.lit(1)) == n_ref) & F.lit(n_ref == n_prod)
+    unmatched = F.raise_error(F.lit("reference and production must hold the same keys, each of them once"))
 
     def entropy(x: Column, y: Column) -> Column:
         return (
@@ -407,7 +412,8 @@ def js_positional(
         p, q = col(f"__r_{c}"), col(f"__p_{c}")
         m = (p + q) / 2
         total = F.sum(entropy(p, m) + entropy(q, m))
-        return {"score": F.sqrt(F.greatest(total, F.lit(0.0)) / 2)}
+        score = F.sqrt(F.greatest(total, F.lit(0.0)) / 2) if t_ref[c] and t_prod[c] else F.lit(None).cast("double")
+        return {"score": F.when(fits, score).otherwise(unmatched)}
 
     return per_column(paired, columns, measures, name="feature")
 
@@ -475,7 +481,7 @@ def drift_summary(detail: DataFrame) -> DataFrame:
         flagged.alias("features_with_drift"),
         total.alias("total_features"),
         (flagged > 0).alias("drift_detected"),
-        (flagged / total * 100).alias("drift_percentage"),
+        (F.try_divide(flagged, total) * 100).alias("drift_percentage"),
     )
 
 

@@ -50,6 +50,7 @@ def fill_matrix(counts: DataFrame, labels: Sequence | None = None) -> DataFrame:
             .distinct()
             .agg(F.collect_list("label").alias("labels"))
         )
+    # the classes x classes grid is the operator's own result
     grid = listed.select(F.explode("labels").alias("true_label"), "labels").select(
         "true_label", F.explode("labels").alias("pred_label")
     )
@@ -225,27 +226,45 @@ def prediction_summary(df: DataFrame) -> DataFrame:
 
 
 def length_check(truth: DataFrame, pred: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Row counts of both sides and the keys found on one side only."""
+    """Row counts of both sides, and the rows by which either side exceeds the other.
+
+    Rows are counted per key, so a repeated key is neither lost nor
+    multiplied: a key three times in the truth and once in the prediction
+    makes two rows of ``only_truth``. Null keys count as one key.
+    """
     key = list(key)
-    a = truth.select(*[col(k) for k in key], F.lit(1).alias("__t"))
-    b = pred.select(*[col(k) for k in key], F.lit(1).alias("__p"))
-    both = a.join(b, key, "full_outer")
-    return both.agg(
-        F.count("__t").alias("n_truth"),
-        F.count("__p").alias("n_pred"),
-        F.count(F.when(F.col("__p").isNull(), 1)).alias("only_truth"),
-        F.count(F.when(F.col("__t").isNull(), 1)).alias("only_pred"),
-    ).withColumn("same_rows", (F.col("only_truth") == 0) & (F.col("only_pred") == 0))
+    sides = truth.select(*[col(k) for k in key], F.lit(1).alias("__t"), F.lit(0).alias("__p")).unionAll(
+        pred.select(*[col(k) for k in key], F.lit(0).alias("__t"), F.lit(1).alias("__p"))
+    )
+    per_key = sides.groupBy(*[col(k) for k in key]).agg(F.sum("__t").alias("t"), F.sum("__p").alias("p"))
+    zero = F.lit(0).cast("long")
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), zero)
+
+    return per_key.agg(
+        total(F.col("t")).alias("n_truth"),
+        total(F.col("p")).alias("n_pred"),
+        total(F.greatest(F.col("t") - F.col("p"), zero)).alias("only_truth"),
+        total(F.greatest(F.col("p") - F.col("t"), zero)).alias("only_pred"),
+        F.coalesce(F.max(F.greatest("t", "p")), zero).alias("__most"),
+    ).select(
+        "n_truth", "n_pred", "only_truth", "only_pred",
+        ((F.col("only_truth") == 0) & (F.col("only_pred") == 0)).alias("same_rows"),
+        (F.col("__most") <= 1).alias("unique_keys"),
+    )
 
 
 def pair(truth: DataFrame, pred: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Join truth and prediction on the key; unmatched rows are an error."""
+    """Join truth and prediction on the key; unmatched rows and repeated keys are an error."""
     check = length_check(truth, pred, key).first()
     if not check["same_rows"]:
         raise ValueError(
             f"truth and prediction have different lengths or keys: "
             f"{check['n_truth']} vs {check['n_pred']}"
         )
+    if not check["unique_keys"]:
+        raise ValueError(f"the key {list(key)} is repeated, rows cannot be paired")
     return truth.join(pred, list(key))
 
 
@@ -346,15 +365,6 @@ def compare_predictions(
     return both.withColumn("same", F.col("current_pred").eqNullSafe(F.col("reference_pred")))
 
 
-def metric_rows(metrics_row: DataFrame) -> DataFrame:
-    """A one-row metric table as (metric, value) rows."""
-    cells = [
-        F.struct(F.lit(c).alias("metric"), col(c).cast("double").alias("value"))
-        for c in metrics_row.columns
-    ]
-    return metrics_row.select(F.inline(F.array(*cells)))
-
-
 def matrix_from_rows(spark, rows: Sequence[tuple], label_type: str = "string") -> DataFrame:
     """A confusion matrix given as (true, pred, n) tuples."""
     return local_frame(spark, rows, f"true_label {label_type}, pred_label {label_type}, n long")

@@ -179,11 +179,16 @@ def correlation(
 ) -> DataFrame:
     """Pearson correlation over the rows where both values are known.
 
-    Long form (column_a, column_b, corr), both directions and the diagonal.
+    Long form (column_a, column_b, corr), both directions and the diagonal. A
+    column that does not vary over those rows has no correlation: null, on the
+    diagonal too, whatever the number of columns.
     """
     columns = resolve_numeric(df, columns, exclude)
-    if len(columns) > WIDE_CORRELATION and missing_total(df, columns).first()[0] == 0:
-        return _correlation_of_vectors(df, columns)
+    if len(columns) > WIDE_CORRELATION:
+        ranges = _ranges(df, columns)
+        if len({n for n, _, _ in ranges.values()}) == 1 and missing_total(df, columns).first()[0] == 0:
+            constant = {c for c, (_, lo, hi) in ranges.items() if lo == hi}
+            return _correlation_of_vectors(df, columns, constant)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     frames = []
     for group in chunks(pairs, PAIRS_PER_AGG):
@@ -191,7 +196,9 @@ def correlation(
         for i, (a, b) in enumerate(group):
             x, y = as_number(df, a), as_number(df, b)
             known = x.isNotNull() & y.isNotNull()
-            aggs.append(F.corr(F.when(known, x), F.when(known, y)).alias(f"r{i}"))
+            x, y = F.when(known, x), F.when(known, y)
+            spread = F.stddev_pop(x) * F.stddev_pop(y)
+            aggs.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"))
             for left, right in dict.fromkeys([(a, b), (b, a)]):
                 cells.append(
                     F.struct(
@@ -202,16 +209,16 @@ def correlation(
                 )
         frames.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
     out = union_all(frames)
-    # a constant column has no correlation
-    return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+    within = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("corr")))  # these pass over nulls
+    return out.withColumn("corr", F.when(F.col("corr").isNotNull() & ~F.isnan("corr"), within))
 
 
-def _correlation_of_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _correlation_of_vectors(df: DataFrame, columns: Sequence[str], constant: set[str]) -> DataFrame:
     """All pairs from one pass over complete rows; the matrix is columns x columns."""
     vectors = df.select(array_to_vector(F.array(*[as_number(df, c) for c in columns])).alias("v"))
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     rows = [
-        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        (a, b, None if a in constant or b in constant or math.isnan(matrix[i, j]) else float(matrix[i, j]))
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
     ]
@@ -272,14 +279,16 @@ def histogram(
 
 
 KDE_BLOCK = 10  # grid points summed per row and block
+KDE_REACH = 39.0  # bandwidths beyond which exp(-z * z / 2) is 0.0 in double precision
 
 
 def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian density estimate on a grid from min to max: (point, x, density).
 
-    Bandwidth is Scott's rule, n^(-1/5) times the sample std. Every row adds to
-    every grid point. The sums are combined map-side, block by block of the
-    grid, so only one row per block and task is shuffled.
+    Bandwidth is Scott's rule, n^(-1/5) times the sample std. A value adds to
+    the blocks of the grid within its reach; beyond, its terms are exactly 0.
+    Equal values are counted together first, and sums are
+    combined map-side, so only one row per block and task is shuffled.
     """
     x = as_number(df, column)
     n, lo, hi, std = df.agg(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).first()
@@ -289,14 +298,21 @@ def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     width = std * n ** (-0.2)
     step = (hi - lo) / (points - 1)
     scale = 1.0 / (n * width * math.sqrt(2 * math.pi))
-    blocks = F.array(*[F.lit(b) for b in range(math.ceil(points / KDE_BLOCK))])
-    rows = df.select(x.alias("v")).where(F.col("v").isNotNull())
+    last = math.ceil(points / KDE_BLOCK) - 1
+    reach = KDE_REACH * width
+
+    def block_of(value: Column) -> Column:
+        block = F.floor((value - F.lit(lo)) / F.lit(step * KDE_BLOCK))
+        return F.greatest(F.lit(0), F.least(F.lit(last), block)).cast("int")
+
+    first, final = block_of(F.col("v") - F.lit(reach)), block_of(F.col("v") + F.lit(reach))
+    rows = df.select(x.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("times"))
     aggs, cells = [], []
     for j in range(KDE_BLOCK):
         point = F.col("block") * KDE_BLOCK + j
         at = point * F.lit(step) + F.lit(lo)
         z = (F.col("v") - at) / F.lit(width)
-        aggs.append(F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"k{j}"))
+        aggs.append(F.sum(F.col("times") * F.exp(F.lit(-0.5) * z * z)).alias(f"k{j}"))
         cells.append(
             F.struct(
                 point.cast("int").alias("point"),
@@ -304,8 +320,11 @@ def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
                 (F.col(f"k{j}") * F.lit(scale)).alias("density"),
             )
         )
-    summed = rows.select("v", F.explode(blocks).alias("block")).groupBy("block").agg(*aggs)
-    return summed.select(F.inline(F.array(*cells))).where(F.col("point") < points)
+    summed = rows.select("v", "times", F.explode(F.sequence(first, final)).alias("block")).groupBy("block").agg(*aggs)
+    listed = local_frame(df.sparkSession, [(b,) for b in range(last + 1)], "block int")
+    # a block that no value reaches has the density 0; a few rows on either side
+    full = listed.join(F.broadcast(summed), "block", "left").fillna(0.0, [f"k{j}" for j in range(KDE_BLOCK)])
+    return full.select(F.inline(F.array(*cells))).where(F.col("point") < points)
 
 
 def boxplot_stats(

@@ -5,13 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, local_frame
 
 RUN_SCHEMA = T.StructType(
     [
@@ -199,7 +198,7 @@ def reference_metrics(runs: DataFrame, run_id: str | None = None, seed: int = 42
             F.coalesce(F.col("metrics")[f"test_{m}"], F.lit(0.0)).alias(m)
             for m in REFERENCE_METRICS
         ],
-        F.coalesce(F.col("params")["random_state"].cast("int"), F.lit(seed)).alias("seed"),
+        F.coalesce(F.col("params")["random_state"].try_cast("int"), F.lit(seed)).alias("seed"),
         F.coalesce(F.col("params")["model_type"], F.lit("unknown")).alias("model_type"),
     )
 
@@ -207,18 +206,39 @@ def reference_metrics(runs: DataFrame, run_id: str | None = None, seed: int = 42
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(n_rows, n_columns, checksum): equal for equal content in any row order.
 
-    The checksum adds the leading 32 bits of each row's md5, so rows are
+    Each value is written with its length in front, a null as a dash, so no two
+    different rows share a text. The checksum adds the leading 64 bits of each row's md5; rows are
     combined map-side and partitioning does not matter.
     """
     columns = list(columns or df.columns)
-    parts = [F.coalesce(col(c).cast("string"), F.lit("\\N")) for c in columns]
-    number = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10)
+    parts = []
+    for c in columns:
+        text = col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    number = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 16), 16, 10)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(columns)).cast("long").alias("n_columns"),
-        F.coalesce(F.sum(number.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("checksum"),
+        F.coalesce(F.sum(number.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"),
     )
 
 
-def union_runs(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+METRIC_SCHEMA = "run_id string, metric string, value double, step long"
+
+
+def write_metric_history(spark: SparkSession, path: str, entries: Sequence[tuple]) -> None:
+    """Append (run_id, metric, value, step) entries, as ``log_metrics`` makes them, to the history table."""
+    local_frame(spark, [tuple(e) for e in entries], METRIC_SCHEMA).write.mode("append").parquet(path)
+
+
+def metric_history(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """All logged values, of one run or of all: (run_id, metric, value, step)."""
+    history = spark.read.schema(METRIC_SCHEMA).parquet(path)
+    return history if run_id is None else history.where(F.col("run_id") == run_id)
+
+
+def latest_metrics(history: DataFrame) -> DataFrame:
+    """(run_id, metric, value, step) of the last step of each metric; entries without a step come before all others."""
+    order = F.struct(F.coalesce("step", F.lit(-(1 << 62))).alias("at"), F.col("value"), F.col("step"))
+    last = history.groupBy("run_id", "metric").agg(F.max(order).alias("last"))
+    return last.select("run_id", "metric", "last.value", "last.step")

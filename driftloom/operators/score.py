@@ -103,8 +103,8 @@ def validate_features(df: DataFrame, features: str, size: int = 50, mode: str =
     require_columns(df, [features])
     problem = vector_problem(features, size)
     if mode == "raise":
-        checked = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(col(features))
-        return df.select(*[checked.alias(c) if c == features else col(c) for c in df.columns])
+        # a filter, so that no later projection or count can do without the check
+        return df.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
     if mode == "quarantine":
         marked = df.withColumn("problem", problem)
         return (
@@ -112,11 +112,3 @@ def validate_features(df: DataFrame, features: str, size: int = 50, mode: str =
             marked.where(F.col("problem").isNotNull()),
         )
     raise ValueError("mode must be 'raise' or 'quarantine'")
-
-
-def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with every listed column known; trees cannot score the others."""
-    cond = F.lit(True)
-    for c in columns:
-        cond &= ~is_missing(df, c)
-    return df.where(cond)

@@ -322,3 +322,59 @@ def drift_events(spark, sf_dir):
     early = F.expr("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'")
     detail = dr.drift(events.where(early), events.where(~early), ["value"])
     return rounded(detail.select("feature", "drift_score"), 8)
+
+
+def _dead(spark, sf_dir):
+    """Documents with and without a label: ``toxic`` is unknown on the second side, ``flat`` never varies."""
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rows = joined.withColumn("flat", F.lit(1.0)).select("n_chars", "toxic", "flat", "quality")
+    return rows.where("quality is not null"), rows.where("quality is null")
+
+
+def _dead_detail_sql(score: str) -> str:
+    return f"""
+    WITH j AS (SELECT n_chars, quality IS NULL AS prod FROM documents LEFT JOIN labels USING (doc_id)),
+    r AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi, count(*) FILTER (NOT prod) AS n, count(*) FILTER (prod) AS m FROM j),
+    b AS (SELECT prod, len(list_filter(range(1, 10), lambda i: (n_chars - lo) / (hi - lo) >= i * CAST(0.1 AS DOUBLE))) AS bin FROM j, r),
+    h AS (SELECT g.bin, count(*) FILTER (NOT prod) / any_value(n) AS e, count(*) FILTER (prod) / any_value(m) AS a
+          FROM r CROSS JOIN (SELECT unnest(range(10)) AS bin) g LEFT JOIN b ON b.bin = g.bin GROUP BY g.bin)
+    SELECT 'n_chars' AS feature, round({score}, 8) AS drift_score FROM h
+    UNION ALL SELECT 'toxic', CAST(NULL AS DOUBLE) UNION ALL SELECT 'flat', 0.0
+    """
+
+
+_PSI_SUM = (
+    "sum(((CASE WHEN a = 0 THEN 1e-4 ELSE a END) - (CASE WHEN e = 0 THEN 1e-4 ELSE e END))"
+    " * ln((CASE WHEN a = 0 THEN 1e-4 ELSE a END) / (CASE WHEN e = 0 THEN 1e-4 ELSE e END)))"
+)
+_JS_SUM = (
+    "sqrt(sum((CASE WHEN e > 0 THEN e * ln(e / ((e + a) / 2)) ELSE 0 END)"
+    " + (CASE WHEN a > 0 THEN a * ln(a / ((e + a) / 2)) ELSE 0 END)) / 2)"
+)
+
+
+@query("drift_psi_dead_column", sql=_dead_detail_sql(_PSI_SUM))
+def drift_psi_dead_column(spark, sf_dir):
+    detail = dr.drift(*_dead(spark, sf_dir), ["n_chars", "toxic", "flat"], method="psi")
+    return rounded(detail.select("feature", "drift_score"), 8)
+
+
+@query("drift_js_dead_column", sql=_dead_detail_sql(_JS_SUM))
+def drift_js_dead_column(spark, sf_dir):
+    detail = dr.drift(*_dead(spark, sf_dir), ["n_chars", "toxic", "flat"], method="js")
+    return rounded(detail.select("feature", "drift_score"), 8)
+
+
+@query(
+    "drift_empty_production",
+    sql=" UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST(NULL AS DOUBLE) AS drift_score, FALSE AS drift_detected, "
+        f"round(avg({c}), 6) AS reference_mean, CAST(NULL AS DOUBLE) AS production_mean FROM lineitem"
+        for c in MEASURES
+    ),
+)
+def drift_empty_production(spark, sf_dir):
+    """No row has been seen in production yet: means of the reference, no score, no flag."""
+    li = table(spark, sf_dir, "lineitem").select(*MEASURES)
+    detail = dr.drift(li, li.where("l_quantity < 0"), MEASURES, method="psi")
+    return rounded(detail.select("feature", "drift_score", "drift_detected", "reference_mean", "production_mean"))

@@ -171,7 +171,8 @@ def prediction_summary(spark, sf_dir):
     sql="""
     SELECT count(d.doc_id) AS n_truth, count(l.doc_id) AS n_pred,
            count(*) FILTER (l.doc_id IS NULL) AS only_truth, count(*) FILTER (d.doc_id IS NULL) AS only_pred,
-           count(*) FILTER (l.doc_id IS NULL) = 0 AND count(*) FILTER (d.doc_id IS NULL) = 0 AS same_rows
+           count(*) FILTER (l.doc_id IS NULL) = 0 AND count(*) FILTER (d.doc_id IS NULL) = 0 AS same_rows,
+           TRUE AS unique_keys
     FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id
     """,
 )
@@ -181,6 +182,24 @@ def length_check(spark, sf_dir):
     )
 
 
+# orders and their lines share a key that the lines repeat
+@query(
+    "length_check_duplicates",
+    sql="""
+    WITH t AS (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY 1),
+         p AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1),
+         b AS (SELECT coalesce(t.n, 0) AS t, coalesce(p.n, 0) AS p FROM t FULL OUTER JOIN p ON t.k = p.k)
+    SELECT CAST(sum(t) AS BIGINT) AS n_truth, CAST(sum(p) AS BIGINT) AS n_pred,
+           CAST(sum(greatest(t - p, 0)) AS BIGINT) AS only_truth, CAST(sum(greatest(p - t, 0)) AS BIGINT) AS only_pred,
+           sum(abs(t - p)) = 0 AS same_rows, max(greatest(t, p)) <= 1 AS unique_keys
+    FROM b
+    """,
+)
+def length_check_duplicates(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return ev.length_check(table(spark, sf_dir, "orders"), lines, ["o_orderkey"])
+
+
 @query(
     "f1_degradation",
     sql=BASE

@@ -266,3 +266,108 @@ def track(spark, sf_dir):
             )
         ).alias("name", "value")
     )
+
+
+# A class that trees learn without error: three bands of the line number, each border a possible split. What a model
+# predicts is then known, so plain SQL states it. The second feature tells nothing.
+LINE_CLASS = "CASE WHEN l_linenumber <= 2 THEN 'early' WHEN l_linenumber <= 4 THEN 'middle' ELSE 'late' END"
+LINE_FEATURES = ["l_linenumber", "l_quantity"]
+_LEARNED_SQL = f"""
+SELECT {LINE_CLASS} AS true_label, {LINE_CLASS} AS prediction_label, TRUE AS correct, count(*) AS n, sum(l_orderkey) AS orders
+FROM lineitem GROUP BY 1
+"""
+_REPORT_SQL = f"""
+WITH c AS (SELECT {LINE_CLASS} AS label, CAST(count(*) AS DOUBLE) AS support FROM lineitem GROUP BY 1)
+SELECT label, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall, CAST(1 AS DOUBLE) AS f1, support FROM c
+UNION ALL SELECT 'accuracy', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)
+UNION ALL SELECT 'macro avg', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), sum(support) FROM c
+UNION ALL SELECT 'weighted avg', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), sum(support) FROM c
+"""
+
+
+def classed(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_quantity", F.expr(LINE_CLASS).alias("line_class"))
+
+
+def class_parts(spark, sf_dir):
+    return stratified_split(classed(spark, sf_dir), "line_class", LINE_KEY)
+
+
+@lru_cache(maxsize=4)
+def _full_forest(app: str, spark, sf_dir: str) -> PipelineModel:
+    train, _ = class_parts(spark, sf_dir)
+    return tr.fit_spread(tr.full_pipeline(LINE_FEATURES, "line_class"), train, [*LINE_FEATURES, "line_class"])
+
+
+def full_forest(spark, sf_dir) -> PipelineModel:
+    """At the default setting: 200 trees of full depth, on the training part, once per session and folder."""
+    return _full_forest(spark.sparkContext.applicationId, spark, sf_dir)
+
+
+def _learned(scored):
+    return scored.groupBy("true_label", "prediction_label", "correct").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders")
+    )
+
+
+@query("forest_learns_class", sql=_LEARNED_SQL)
+def forest_learns_class(spark, sf_dir):
+    return _learned(sc.score(full_forest(spark, sf_dir), classed(spark, sf_dir), LINE_KEY, "line_class"))
+
+
+@query("forest_report", sql=_REPORT_SQL)
+def forest_report(spark, sf_dir):
+    scored = sc.score(full_forest(spark, sf_dir), classed(spark, sf_dir), LINE_KEY, "line_class")
+    return rounded(ev.report(ev.pair_counts(scored, "true_label", "prediction_label")))
+
+
+@query("score_learned_batch", sql=f"SELECT {KEYS}, {LINE_CLASS} AS prediction_label, 'random_forest' AS model_name FROM lineitem")
+def score_learned_batch(spark, sf_dir):
+    model_path, out = scratch_path(spark, "model"), scratch_path(spark, "predictions")
+    full_forest(spark, sf_dir).write().save(model_path)
+    predict_table(
+        spark, f"{sf_dir}/lineitem.parquet", model_path, out, LINE_KEY, target="line_class", model_name="random_forest"
+    )
+    return read_table(spark, out).select(*LINE_KEY, "prediction_label", "model_name")
+
+
+@query("gbt_learns_class", sql=_LEARNED_SQL)
+def gbt_learns_class(spark, sf_dir):
+    train, _ = class_parts(spark, sf_dir)
+    model = tr.fit_with_validation(
+        train, "line_class", LINE_KEY, LINE_FEATURES, n_rounds=8, learning_rate=0.3, featureSubsetStrategy="1.0"
+    )
+    return _learned(sc.score(model, classed(spark, sf_dir), LINE_KEY, "line_class"))
+
+
+@query("tune_learns_class", sql="SELECT CAST(unnest(range(2)) AS INTEGER) AS trial, CAST(1 AS DOUBLE) AS f1_macro")
+def tune_learns_class(spark, sf_dir):
+    train, _ = class_parts(spark, sf_dir)
+    ready = preprocessing(LINE_FEATURES, use_pca=False).fit(train).transform(train)
+    space = {"stepSize": ("log", 0.1, 0.3), "maxDepth": ("int", 3, 5), "featureSubsetStrategy": ("share", 1.0, 1.0)}
+    _, _, trials = tr.tune(
+        ready, "line_class", LINE_KEY, tr.gbt_one_vs_rest(n_rounds=4), space, n_trials=2, folds=2, final_rounds=4
+    )
+    return spark.createDataFrame([(t, v) for t, _, v in trials], "trial int, f1_macro double")
+
+
+@query(
+    "run_grid_learns_class",
+    sql="""SELECT * FROM (VALUES ('run001', 'random_forest', 'completed', 1.0, 1.0), ('run002', 'gbt', 'completed', 1.0, 1.0),
+           ('run003', 'other', 'failed', NULL, NULL)) t(run_id, model_type, status, test_accuracy, test_f1_macro)
+           WHERE (SELECT count(*) FROM lineitem) > 0""".replace("1.0", "CAST(1 AS DOUBLE)"),
+)
+def run_grid_learns_class(spark, sf_dir):
+    configs = [
+        {"model_type": "random_forest", "n_trees": 20},
+        {"model_type": "gbt", "n_rounds": 8, "learning_rate": 0.3, "featureSubsetStrategy": "1.0"},
+        {"model_type": "other"},
+    ]
+    runs = tr.run_grid(*class_parts(spark, sf_dir), "line_class", LINE_KEY, configs, LINE_FEATURES)
+    return runs.select(
+        "run_id",
+        F.col("params")["model_type"].alias("model_type"),
+        F.col("tags")["status"].alias("status"),
+        F.round(F.col("metrics")["test_accuracy"], 6).alias("test_accuracy"),
+        F.round(F.col("metrics")["test_f1_macro"], 6).alias("test_f1_macro"),
+    )

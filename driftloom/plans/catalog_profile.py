@@ -310,6 +310,38 @@ def corr_matrix(spark, sf_dir):
     return rounded(profile.correlation(table(spark, sf_dir, "lineitem"), MEASURES))
 
 
+# a column that never varies next to one that is null throughout: neither has a correlation
+_CONSTANT = {"same": "1.0", "gone": "CAST(NULL AS DOUBLE)"}
+
+
+def _with_dead_columns(spark, sf_dir, copies: int):
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    extra = {f"x{i}": F.col("l_quantity") + i * F.col("l_extendedprice") for i in range(copies)}
+    return li.withColumns({k: F.expr(v) for k, v in _CONSTANT.items()} | extra)
+
+
+def _dead_sql(columns: dict[str, str]) -> str:
+    pairs = [(a, b) for a in columns for b in columns]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
+        + ("CAST(NULL AS DOUBLE)" if {a, b} & set(_CONSTANT) else f"round(corr({columns[a]}, {columns[b]}), 6)")
+        + " AS corr FROM lineitem" * (not {a, b} & set(_CONSTANT))
+        for a, b in pairs
+    )
+
+
+@query("corr_matrix_constant", sql=_dead_sql({"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", **_CONSTANT}))
+def corr_matrix_constant(spark, sf_dir):
+    return rounded(profile.correlation(_with_dead_columns(spark, sf_dir, 0)))
+
+
+# the same through the vectors that many columns take; the column of nulls would lead away from them
+@query("corr_matrix_constant_wide", sql=_dead_sql({"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "same": "1.0"}))
+def corr_matrix_constant_wide(spark, sf_dir):
+    wide = profile.correlation(_with_dead_columns(spark, sf_dir, 60).drop("gone"))
+    return rounded(wide.where(~F.col("column_a").startswith("x") & ~F.col("column_b").startswith("x")))
+
+
 def _histogram_sql(relation: str, c: str, bins: int) -> str:
     return f"""
     SELECT '{c}' AS "column", g.b AS bin,

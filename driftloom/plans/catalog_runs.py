@@ -196,10 +196,10 @@ def runs_reference(spark, sf_dir):
 
 
 def _fingerprint_sql(relation: str, columns: list[str]) -> str:
-    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in columns)
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
     return f"""
     SELECT count(*) AS n_rows, CAST({len(columns)} AS BIGINT) AS n_columns,
-           CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)) AS VARCHAR) AS checksum
+           CAST(sum(CAST(CAST('0x' || substr(md5({text}), 1, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR) AS checksum
     FROM {relation}
     """
 
@@ -218,3 +218,37 @@ _DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 @query("data_fingerprint_documents", sql=_fingerprint_sql("documents", _DOCUMENTS))
 def data_fingerprint_documents(spark, sf_dir):
     return rn.fingerprint(table(spark, sf_dir, "documents"), _DOCUMENTS)
+
+
+# The same characters with the border between two columns moved: other content, another checksum.
+_MOVED = ["substr(source, 1, 1)", "substr(source, 2)"], ["source", "''"]
+
+
+@query(
+    "fingerprint_separators",
+    sql="WITH a AS ({}), b AS ({}) SELECT a.checksum AS one, b.checksum AS other, a.checksum <> b.checksum AS told_apart FROM a, b".format(
+        *[_fingerprint_sql("documents", columns) for columns in _MOVED]
+    ),
+)
+def fingerprint_separators(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    made = [rn.fingerprint(documents.select(*[F.expr(e).alias(f"c{i}") for i, e in enumerate(columns)])) for columns in _MOVED]
+    one, other = (f.select(F.col("checksum").alias(name)) for f, name in zip(made, ("one", "other")))
+    return one.crossJoin(other).withColumn("told_apart", F.col("one") != F.col("other"))  # one row on either side
+
+
+@query(
+    "runs_metric_history",
+    sql="""SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS metric, max(value) AS value,
+                  CAST(max(event_id) AS BIGINT) AS step
+           FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events)
+           WHERE r = 1 AND value IS NOT NULL GROUP BY 1, 2""",
+)
+def runs_metric_history(spark, sf_dir):
+    """Events as logged values: the user is the run, the event id the step."""
+    path = scratch_path(spark, "history")
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("metric"), "value", F.col("event_id").alias("step")
+    )
+    events.write.parquet(path)
+    return rn.latest_metrics(rn.metric_history(spark, path)).where("value is not null")
