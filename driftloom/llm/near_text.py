@@ -101,23 +101,71 @@ def _comparer(over: int, under: int, width: int):
     return compare
 
 
+def _block_comparer(over: int, under: int, width: int):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket, block and role: a block of strays, then all members to hold against them.
+
+        Strays stand in one inverted index, so a member meets all of them in one
+        look-up. Parts found to be linked are not compared again.
+        """
+        block, strays, index = None, [], None
+        joined: dict = {}
+
+        def top(part):
+            while part in joined:
+                part = joined[part]
+            return part
+
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            roles, ids, parts = batch.column(2).to_numpy(), batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            found: tuple[list, list] = ([], [])
+            for at, texts in sliced(batch.column(5), lower=True):
+                for i, members in enumerate(shingle_sets(texts, width), at):
+                    if keys[i] != block:
+                        block, strays, index, joined = keys[i], [], None, {}
+                    if roles[i] == 0:
+                        strays.append((ids[i], parts[i], members))
+                        continue
+                    if index is None:
+                        sizes = np.array([len(m) for _, _, m in strays])
+                        owner = np.repeat(np.arange(len(strays)), sizes)
+                        flat = np.concatenate([m for _, _, m in strays]) if strays else np.zeros(0, np.uint64)
+                        order = np.argsort(flat, kind="stable")
+                        index = flat[order], owner[order], sizes
+                    flat, owner, sizes = index
+                    low, high = np.searchsorted(flat, members), np.searchsorted(flat, members, side="right")
+                    many = high - low
+                    spots = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                    both = np.bincount(owner[spots], minlength=len(strays)) if len(spots) else np.zeros(len(strays), np.int64)
+                    for k in np.flatnonzero(under * both >= over * (sizes + len(members) - both)):
+                        other, part = top(strays[k][1]), top(parts[i])
+                        if other != part:
+                            joined[other] = part
+                            found[0].append(strays[k][0])
+                            found[1].append(ids[i])
+            kind = batch.schema.field(3).type
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], kind), pa.array(found[1], kind)], ["a", "b"])
+
+    return compare
+
+
 class _Verifier:
-    """Holds pairs of documents against each other: by signature, then by their full sets of shingles."""
+    """Holds documents against each other: by signature, then by their full sets of shingles."""
 
     def __init__(self, texts: DataFrame, signed: DataFrame, over: int, under: int, width: int, n: int):
         self.texts, self.signed = texts, signed
-        self.over, self.under, self.width, self.n = over, under, width, n
+        self.over, self.under, self.width = over, under, width
         t = over / under
         self.agree = max(1, math.floor(n * t - SPREADS * math.sqrt(n * t * (1 - t))))
-
-    def alike(self, one: str, two: str):
-        """Enough equal minima for the threshold, give or take ``SPREADS`` standard deviations."""
-        same = F.zip_with(one, two, lambda x, y: (x == y).cast("int"))
-        return F.aggregate(same, F.lit(0), lambda s, x: s + x) >= self.agree
+        self.kind = dict(texts.dtypes)["id"]
 
     def signed_alike(self, pairs: DataFrame) -> DataFrame:
+        """The pairs with enough equal minima for the threshold, give or take ``SPREADS`` standard deviations."""
         side = lambda k: self.signed.select(F.col("rep").alias(k), F.col("sig").alias(f"sig_{k}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(self.alike("sig_a", "sig_b")).select("a", "b")
+        same = F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int"))
+        alike = F.aggregate(same, F.lit(0), lambda s, x: s + x) >= self.agree
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets reach the threshold.
@@ -135,8 +183,28 @@ class _Verifier:
         )
         rows = roles.join(self.texts, "id").select("a", "salt", "role", "id", "text")
         rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-        kind = dict(self.texts.dtypes)["id"]
-        return in_arrow(rows, _comparer(self.over, self.under, self.width), f"a {kind}, b {kind}")
+        return in_arrow(rows, _comparer(self.over, self.under, self.width), f"a {self.kind}, b {self.kind}")
+
+    def linked_across(self, placed: DataFrame) -> DataFrame:
+        """Links between parts of the same bucket, from (key, id, part).
+
+        Members outside a bucket's largest part are its strays, dealt to blocks of about ``MEMBERS_PER_SALT``. All members
+        of the bucket stream past each block, so every pair of members from different parts is
+        compared, while rows grow with members times blocks, not with pairs.
+        """
+        counts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
+        largest = counts.groupBy("key").agg(
+            F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts")
+        ).where("parts > 1")
+        blocks = F.ceil((F.col("all") - F.col("main.n")) / MEMBERS_PER_SALT).cast("int")
+        mixed = cut(placed.join(largest.select("key", "main", blocks.alias("blocks")), "key"), "mixed")
+        strays = mixed.where(F.col("part") != F.col("main.part")).select(
+            "key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "id", "part"
+        )
+        stream = mixed.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "id", "part")
+        rows = strays.union(stream).join(self.texts, "id").select("key", "block", "role", "id", "part", "text")
+        rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "role")
+        return in_arrow(rows, _block_comparer(self.over, self.under, self.width), f"a {self.kind}, b {self.kind}")
 
 
 def near_duplicates(
@@ -157,10 +225,9 @@ def near_duplicates(
     of that set and MinHash signature. Equal sets fall together by checksum
     first, so copies cost nothing more. Signatures of the different sets are
     cut in bands; in each bucket all members are held against the smallest
-    id. Where that leaves a bucket in several components, all pairs across
-    them with similar signatures follow, so the buckets are searched in full. Pairs
-    are confirmed on full sets, and components come from large-star and
-    small-star.
+    id, by signature and then by full sets. Where that leaves a bucket in several
+    components, all pairs across them are compared by full sets as well, so the buckets are
+    searched in full. Components come from large-star and small-star.
 
     A null or empty text, or one without words, has no shingle and is linked
     with nothing. Fewer words than ``width`` form one shingle. Rows with a null id are
@@ -179,27 +246,23 @@ def near_duplicates(
         signed.where("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")),
         "classes",
     )
-    check = _Verifier(texts.where("id is not null and text is not null"), classes.select("rep", "sig"), over, under, width, n)
-
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("sig", i * BAND_ROWS + 1, F.lit(BAND_ROWS))))
     banded = classes.select("rep", F.explode(keys).alias("key"))
     hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = cut(banded.join(hubs, "key"), "members")
+    # The side of ids grows with the data, so the texts are joined the same way at any size; only
+    # those of bucket members go on.
+    wanted = members.select(F.col("rep").alias("id")).distinct()
+    own = texts.where("id is not null and text is not null").join(wanted.hint("merge"), "id")
+    check = _Verifier(cut(own, "texts"), classes.select("rep", "sig"), over, under, width, n)
     first = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     edges = cut(check.linked(check.signed_alike(first)), "links")
     found = components(edges)
 
     placed = members.where("size > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "hub", F.coalesce("component", "rep").alias("part")
-    )
-    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-    rest = cut(placed.where("rep <> hub").join(mixed, "key").join(classes.select("rep", "sig"), "rep"), "rest")
-    left = rest.select("key", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("sig").alias("sig_a"))
-    right = rest.select("key", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("sig").alias("sig_b"))
-    across = left.join(
-        right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & check.alike("sig_a", "sig_b")
+        "key", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("part")
     )
-    more = cut(check.linked(across.select("a", "b").distinct()), "links")
+    more = cut(check.linked_across(placed), "links")
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b")))
 
