@@ -19,7 +19,7 @@ from .scratch import cut, in_arrow
 CAPACITY = 4096
 END_ID = 1
 RANK_BLOCK = 20_000
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 900_000
 # The pre-tokens of this tokenizer family: fixed by its vocabulary file.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _RANDOM = np.random.default_rng(20240607)
@@ -112,7 +112,7 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def sliced(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, Texts]]:
-    """The texts of a column (null: empty) in slices of a few megabytes; a longer text is a slice of its own.
+    """The texts of a column (null: empty) in slices of about a megabyte; a longer text is a slice of its own.
 
     Yields the index of the slice's first text and the slice.
     """
