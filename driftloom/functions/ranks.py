@@ -41,9 +41,11 @@ def rank_ranges(
     """Add ``out``: 0 for ranks 1..end0, 1 up to end1, ... within each stratum.
 
     ``ends`` maps the row count of a stratum to the ascending last ranks. The
-    key must identify a row.
+    key must identify a row. Without strata the cut is always searched.
     """
     strata = list(strata)
+    if not strata:
+        hot_rows = 0  # a window without groups would bring all rows to one task
     tagged = df.withColumn(_TOKEN, token(seed, key))
     sizes = df.groupBy(*[col(s) for s in strata]).agg(F.count(F.lit(1)).alias("__n"))
     n_ends = len(ends(F.lit(1)))

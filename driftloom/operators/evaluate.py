@@ -128,10 +128,10 @@ _AVERAGED = ("precision", "recall", "f1")
 
 
 def _averages() -> list[Column]:
-    out = [F.sum("support").alias("n"), (F.sum("tp") / F.sum("support")).alias("accuracy")]
+    out = [F.sum("support").alias("n"), F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy")]
     for m in _AVERAGED:
         out.append(F.avg(m).alias(f"{m}_macro"))
-        out.append((F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(f"{m}_weighted"))
+        out.append(F.try_divide(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"{m}_weighted"))
     return out
 
 
@@ -147,42 +147,18 @@ def metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def report(counts: DataFrame) -> DataFrame:
     """Classification report: a row per class, then accuracy, macro avg and
     weighted avg. The accuracy row repeats the accuracy in every column."""
-    # one struct per class is gathered, so predictions are scanned once
-    packed = class_metrics(counts).agg(
-        F.collect_list(
-            F.struct(
-                F.col("label").cast("string").alias("label"),
-                *[F.col(m) for m in _AVERAGED],
-                F.col("support").cast("double").alias("support"),
-            )
-        ).alias("classes"),
-        *_averages(),
-    )
-    total = F.col("n").cast("double")
-    acc = F.col("accuracy")
+    # both branches share the exchange of the class sums, so predictions are scanned once
+    classes = class_metrics(counts)
+    total, acc = F.col("n").cast("double"), F.col("accuracy")
+    rows = [(TOTALS[0], [acc, acc, acc, acc])]
+    for name, kind in ((TOTALS[1], "macro"), (TOTALS[2], "weighted")):
+        rows.append((name, [*[F.col(f"{m}_{kind}") for m in _AVERAGED], total]))
+    names = (*_AVERAGED, "support")
     summary = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("label"),
-                p.alias("precision"),
-                r.alias("recall"),
-                f.alias("f1"),
-                s.alias("support"),
-            )
-            for name, p, r, f, s in (
-                (TOTALS[0], acc, acc, acc, acc),
-                (TOTALS[1], F.col("precision_macro"), F.col("recall_macro"), F.col("f1_macro"), total),
-                (
-                    TOTALS[2],
-                    F.col("precision_weighted"),
-                    F.col("recall_weighted"),
-                    F.col("f1_weighted"),
-                    total,
-                ),
-            )
-        ]
+        *[F.struct(F.lit(name).alias("label"), *[v.alias(n) for n, v in zip(names, values)]) for name, values in rows]
     )
-    return packed.select(F.inline(F.concat("classes", summary)))
+    per_class = classes.select(F.col("label").cast("string").alias("label"), *_AVERAGED, F.col("support").cast("double").alias("support"))
+    return per_class.unionAll(classes.agg(*_averages()).select(F.inline(summary)))
 
 
 def f1_per_class(counts: DataFrame) -> DataFrame:
@@ -192,7 +168,7 @@ def f1_per_class(counts: DataFrame) -> DataFrame:
 
 def metrics_flat(counts: DataFrame, prefix: str = "test") -> DataFrame:
     """All metrics as rows (metric, value), named ``<prefix>_<metric>[_<class>]``."""
-    packed = class_metrics(counts).agg(F.collect_list(F.struct("label", *_AVERAGED)).alias("classes"), *_averages())
+    classes = class_metrics(counts)
     overall = [
         "accuracy",
         *[f"{m}_macro" for m in _AVERAGED],
@@ -201,21 +177,13 @@ def metrics_flat(counts: DataFrame, prefix: str = "test") -> DataFrame:
     head = F.array(
         *[F.struct(F.lit(f"{prefix}_{m}").alias("metric"), F.col(m).alias("value")) for m in overall]
     )
-    by_class = F.flatten(
-        F.transform(
-            "classes",
-            lambda c: F.array(
-                *[
-                    F.struct(
-                        F.concat(F.lit(f"{prefix}_{m}_"), c["label"].cast("string")).alias("metric"),
-                        c[m].alias("value"),
-                    )
-                    for m in _AVERAGED
-                ]
-            ),
-        )
+    by_class = F.array(
+        *[
+            F.struct(F.concat(F.lit(f"{prefix}_{m}_"), F.col("label").cast("string")).alias("metric"), F.col(m).alias("value"))
+            for m in _AVERAGED
+        ]
     )
-    return packed.select(F.inline(F.concat(head, by_class)))
+    return classes.agg(*_averages()).select(F.inline(head)).unionAll(classes.select(F.inline(by_class)))
 
 
 def prediction_summary(df: DataFrame) -> DataFrame:

@@ -67,20 +67,19 @@ def train_valid_test(
     seed: int = SEED,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``is_test`` and ``is_validation``; the latter splits the train part
-    by class with a seed of its own."""
-    first = mark_test(df, label, key, test_size, seed, hot_rows)
-    second = rank_ranges(
-        first,
-        [label, "is_test"],
-        key,
-        f"{seed}|validation",
-        lambda n: [F.floor(n * F.lit(float(valid_size)) + F.lit(0.5))],
-        "__range",
-        hot_rows,
-    )
-    flag = (F.col("__range") == 0) & ~F.col("is_test")
-    return second.withColumn("is_validation", flag).drop("__range")
+    """Add ``is_test`` and ``is_validation``, which takes ``valid_size`` of the rest of each class.
+
+    One ranking serves both: the first rows of a class in hash order are its test rows, the next ones
+    its validation rows.
+    """
+    require_columns(df, [*key, label])
+
+    def ends(n):
+        test = F.floor(n * F.lit(float(test_size)) + F.lit(0.5))
+        return [test, test + F.floor((n - test) * F.lit(float(valid_size)) + F.lit(0.5))]
+
+    ranged = rank_ranges(df, [label], key, seed, ends, "__range", hot_rows)
+    return ranged.withColumns({"is_test": F.col("__range") == 0, "is_validation": F.col("__range") == 1}).drop("__range")
 
 
 def stratified_folds(

@@ -256,7 +256,8 @@ def run_grid(
 ) -> DataFrame:
     """Train and test every configuration; a failing one is recorded and skipped.
 
-    Returns run rows: run_id, run_name, params, metrics, tags. Boosting stops
+    Returns run rows: run_id, run_name, params, metrics of train and test rows, tags
+    (``runs.append_runs`` keeps them). Boosting stops
     early on part of the training rows, never on the test rows.
     """
     ensure_checkpoint_dir(train.sparkSession)
@@ -277,8 +278,9 @@ def run_grid(
             if pca_stage(model) is not None:
                 total = explained_variance(model, train.sparkSession).agg(F.max("cumulative")).first()[0]
                 params["pca_explained_variance"] = str(total)
-            found = metrics(pair_counts(model.transform(test), LABEL_CODE, "prediction")).first().asDict()
-            scores = {f"test_{k}": float(v) for k, v in found.items() if k != "n"}
+            for part, rows_of in (("train", train), ("test", test)):
+                found = metrics(pair_counts(model.transform(rows_of), LABEL_CODE, "prediction")).first().asDict()
+                scores |= {f"{part}_{k}": float(v) for k, v in found.items() if k != "n" and v is not None}
             tags["status"] = "completed"
             if on_model is not None:
                 on_model(number, config, model)

@@ -95,12 +95,9 @@ def random_split(spark, sf_dir):
 @query(
     "train_valid_test",
     sql=f"""
-    WITH a AS (SELECT {KEYS}, l_returnflag, rn <= floor(n * 0.2 + 0.5) AS is_test FROM ({_RANKED})),
-    b AS (
-      SELECT *, row_number() OVER (PARTITION BY l_returnflag, is_test
-                                   ORDER BY {line_hash('42|validation')}, {KEYS}) AS rn,
-             count(*) OVER (PARTITION BY l_returnflag, is_test) AS n FROM a)
-    SELECT {KEYS}, l_returnflag, is_test, NOT is_test AND rn <= floor(n * 0.2 + 0.5) AS is_validation FROM b
+    WITH a AS (SELECT *, floor(n * 0.2 + 0.5) AS n_test FROM ({_RANKED}))
+    SELECT {KEYS}, l_returnflag, rn <= n_test AS is_test,
+           rn > n_test AND rn <= n_test + floor((n - n_test) * 0.2 + 0.5) AS is_validation FROM a
     """,
 )
 def train_valid_test(spark, sf_dir):

@@ -22,7 +22,7 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.scoring import read_stream
 from ..streaming.scoring import score_stream as start_scoring
-from .jobs import performance_runs, predict_table, track_training, train_model
+from .jobs import performance_runs, pipeline_job, predict_table, reproducibility_job, track_training, train_model
 from .registry import LINE_KEY, MEASURES, query, rounded, table
 
 BAND = (
@@ -371,3 +371,32 @@ def run_grid_learns_class(spark, sf_dir):
         F.round(F.col("metrics")["test_accuracy"], 6).alias("test_accuracy"),
         F.round(F.col("metrics")["test_f1_macro"], 6).alias("test_f1_macro"),
     )
+
+
+_PERFECT = [f"test_{m}" for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted")]
+_PERFECT += [f"test_{m}_{c}" for m in ("precision", "recall", "f1") for c in ("early", "middle", "late")]
+_PERFECT_SQL = " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(1 AS DOUBLE) AS value" for m in _PERFECT)
+
+
+def _class_source(spark, sf_dir) -> str:
+    path = scratch_path(spark, "classed")
+    classed(spark, sf_dir).write.parquet(path)
+    return path
+
+
+@query("pipeline_job", sql=_PERFECT_SQL)
+def pipeline_job_query(spark, sf_dir):
+    out = scratch_path(spark, "pipeline")
+    return pipeline_job(spark, _class_source(spark, sf_dir), out, "line_class", LINE_KEY, LINE_FEATURES, n_trees=20)
+
+
+@query(
+    "reproducibility_job",
+    sql=" UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST(1 AS DOUBLE) AS reference, CAST(1 AS DOUBLE) AS again, CAST(0 AS DOUBLE) AS difference, TRUE AS reproduced"
+        for m in ("test_accuracy", "test_f1_macro")
+    ),
+)
+def reproducibility_job_query(spark, sf_dir):
+    known = {"test_accuracy": 1.0, "test_f1_macro": 1.0}
+    return reproducibility_job(spark, _class_source(spark, sf_dir), "line_class", LINE_KEY, LINE_FEATURES, known, n_trees=20)

@@ -12,8 +12,8 @@ from ..functions.columns import col, local_frame, numeric_columns, require_colum
 from ..functions.hashing import scalar_uniform
 from ..operators import clean, drift as dr, evaluate as ev, perturb, profile, runs, score as sc, train as tr
 from ..operators.features import build_matrices
-from ..operators.split import SEED, stratified_split
-from ..session import ensure_checkpoint_dir
+from ..operators.split import SEED, mark_test, stratified_split
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import dataset_info, read_table, write_report, write_table
 
 
@@ -60,7 +60,11 @@ def build_features(
 ) -> dict[str, str]:
     """Split, encode, fit and write: ``<name>``, ``test_<name>`` and the fitted stages."""
     df = read_table(spark, source, required=[label, *key])
-    train, test = stratified_split(df, label, key, test_size, seed)
+    # every fit and write below passes over the parts, so the ranking is done once
+    marked_path = scratch_path(spark, "marked")
+    mark_test(df, label, key, test_size, seed).write.parquet(marked_path)
+    marked = spark.read.parquet(marked_path)
+    train, test = marked.where("not is_test").drop("is_test"), marked.where("is_test").drop("is_test")
     train_out, test_out, indexer, model = build_matrices(train, test, label, key, columns, use_pca, k)
     paths = {
         "train": f"{target_dir}/{name}",
@@ -301,3 +305,74 @@ def track_training(
             tags={**(tags or {}), "model_type": model_type, "model_name": name, "status": status},
         )
     return run_id
+
+
+def pipeline_job(
+    spark: SparkSession,
+    source: str,
+    out_dir: str,
+    label: str,
+    key: Sequence[str],
+    columns: Sequence[str] | None = None,
+    model_type: str = "random_forest",
+    iqr_factor: float = 1.5,
+    test_size: float = 0.2,
+    seed: int = SEED,
+    runs_path: str | None = None,
+    **params,
+) -> DataFrame:
+    """Clean, split, encode, fit, evaluate and save, from a raw table to a model on disk.
+
+    Below ``out_dir``: ``clean``, ``model``, ``predictions`` (of the test rows), ``report``.
+    Returns (metric, value) rows of the test part. With ``runs_path`` the run is recorded there.
+    """
+    clean_dataset(spark, source, f"{out_dir}/clean", iqr_factor, columns, exclude=[label, *key])
+    cleaned = read_table(spark, f"{out_dir}/clean", required=[label, *key])
+    columns = list(columns or numeric_columns(cleaned, [label, *key]))
+    mark_test(cleaned, label, key, test_size, seed).write.parquet(f"{out_dir}/marked")
+    marked = spark.read.parquet(f"{out_dir}/marked")
+    train, test = marked.where("not is_test").drop("is_test"), marked.where("is_test").drop("is_test")
+    if model_type == "gbt":
+        model = tr.fit_with_validation(train, label, key, columns, seed=seed, **params)
+    else:
+        model = tr.fit_spread(tr.full_pipeline(columns, label, model_type, seed=seed, **params), train, [*columns, label])
+    model.write().overwrite().save(f"{out_dir}/model")
+    write_table(sc.score(model, test, key, label), f"{out_dir}/predictions", "parquet")
+    tables = evaluate_predictions(read_table(spark, f"{out_dir}/predictions"), prefix="test")
+    write_table(tables["report"], f"{out_dir}/report", "json")
+    if runs_path is not None:
+        track_training(spark, runs_path, model, train, test, label, key, {**params, "random_state": seed}, "pipeline", model_type)
+    return tables["flat"]
+
+
+def reproducibility_job(
+    spark: SparkSession,
+    source: str,
+    label: str,
+    key: Sequence[str],
+    columns: Sequence[str],
+    reference: Mapping[str, float],
+    tolerance: float = 1e-6,
+    seed: int = SEED,
+    model_type: str = "random_forest",
+    test_size: float = 0.2,
+    **params,
+) -> DataFrame:
+    """Train once more with the seed of a recorded run and compare the test metrics with its own.
+
+    ``reference``: metric names of the recorded run (``test_accuracy`` ...) with their values. Returns
+    (metric, reference, again, difference, reproduced).
+    """
+    df = read_table(spark, source, required=[label, *key])
+    train, test = stratified_split(df, label, key, test_size, seed)
+    if model_type == "gbt":
+        model = tr.fit_with_validation(train, label, key, columns, seed=seed, **params)
+    else:
+        model = tr.fit_spread(tr.full_pipeline(columns, label, model_type, seed=seed, **params), train, [*columns, label])
+    again = evaluate_predictions(sc.score(model, test, target=label), prefix="test")["flat"]
+    known = local_frame(spark, [(k, float(v)) for k, v in reference.items()], "metric string, reference double")
+    both = known.join(F.broadcast(again.withColumnRenamed("value", "again")), "metric", "left")  # one row per metric
+    difference = F.abs(F.col("again") - F.col("reference"))
+    return both.select(
+        "metric", "reference", "again", difference.alias("difference"), F.coalesce(difference <= tolerance, F.lit(False)).alias("reproduced")
+    )

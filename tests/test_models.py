@@ -93,7 +93,7 @@ def test_best_round():
 def test_draw_stays_in_space():
     for t in range(50):
         s = tr.draw(tr.SEARCH_SPACE, t, 42)
-        assert 0.01 <= s["stepSize"] <= 0.3 and 3 <= s["maxDepth"] <= 8
+        assert 0.01 <= s["stepSize"] <= 0.3 and 3 <= s["maxDepth"] <= 20
         assert s == tr.draw(tr.SEARCH_SPACE, t, 42)
         assert 0.6 <= float(s["featureSubsetStrategy"]) <= 1.0
 
