@@ -82,8 +82,9 @@ def rows_and_quantiles(
             for c, values in zip(group, row):
                 out[c] = list(values) if values is not None else [None] * len(probs)
         return rows, out
+    rank_rows = RANK_ROWS if exact_rows >= EXACT_ROWS else exact_rows
     for group in chunks(columns, 8):
-        rows, part = _by_search(df, group, probs, min(exact_rows, RANK_ROWS))
+        rows, part = _by_search(df, group, probs, rank_rows)
         out.update(part)
     return rows, out
 
