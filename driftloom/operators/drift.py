@@ -41,7 +41,8 @@ WIDE_FEATURES = 8
 
 KS_DIRECT_ROWS = 5_000_000  # rows per feature that one window task may rank
 KS_BUCKET_ROWS = 1_000_000
-KS_MAX_BUCKETS = 2_000
+KS_MAX_BUCKETS = 2_000  # of a feature
+KS_ALL_BUCKETS = 100_000  # of all features together; these reach the driver
 
 PROFILE_SCHEMA = (
     "feature string, reference_n long, production_n long, reference_mean double, "
@@ -262,7 +263,8 @@ def _ks(both, profiles, direct_rows=KS_DIRECT_ROWS, bucket_rows=KS_BUCKET_ROWS)
     usable = [(i, p.n) for i, p in enumerate(profiles.values()) if min(p.n) > 0]
     small = [i for i, n in usable if sum(n) <= direct_rows]
     gaps = [_ks_direct(both, small, sizes)] if small else []
-    gaps += [_ks_bucketed(both, i, n, bucket_rows) for i, n in usable if sum(n) > direct_rows]
+    large = [(i, n) for i, n in usable if sum(n) > direct_rows]
+    gaps += [_ks_bucketed(both, large, bucket_rows)] if large else []
     # one row per feature comes back; the p-value is a function of scalars
     d = {r["f"]: r["d"] for r in union_all(gaps).collect()} if gaps else {}
     rows = [
@@ -288,81 +290,88 @@ def _ks_direct(both: DataFrame, numbers: Sequence[int], sizes: DataFrame) -> Dat
     return joined.groupBy("f").agg(F.max(gap).alias("d"))
 
 
-def _ks_bucketed(both: DataFrame, number: int, n: tuple[int, int], bucket_rows: int) -> DataFrame:
-    """Exact D of one large feature.
+def _ks_bucketed(both: DataFrame, large: Sequence[tuple[int, tuple[int, int]]], bucket_rows: int) -> DataFrame:
+    """Exact D of large features, all of them in the same few passes: (f, d).
 
-    The column is cut into buckets of about equal mass. Counts per bucket give
+    Each column is cut into buckets of about equal mass. Counts per bucket give
     the gap at every bucket edge and, for each bucket, a bound on the gap
     inside it. Only buckets whose bound exceeds the best edge gap are looked
-    into; a bucket of many rows is cut again by value, with the same bound, so
+    into; a bucket of many rows is cut again at its own quantiles, with the same bound, so
     that one task ranks about ``bucket_rows`` rows.
     """
-    wanted = min(KS_MAX_BUCKETS, max(2, sum(n) // bucket_rows))
-    cells = both.select("__side", F.col(VALUES)[number].alias("value"))
-    cells = cells.where(F.col("value").isNotNull())
+    spark = both.sparkSession
+    sizes = dict(large)
+    most = max(2, min(KS_MAX_BUCKETS, KS_ALL_BUCKETS // len(large)))
+    wanted = min(most, max(2, max(map(sum, sizes.values())) // bucket_rows))
     probs = [i / wanted for i in range(1, wanted)]
-    found = cells.agg(F.percentile_approx("value", probs, max(1000, 4 * wanted))).first()[0]
-    splits = [float("-inf"), *sorted(set(map(float, found))), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(cells)
+    digests = _tall(both).where(F.col("f").isin(list(sizes))).groupBy("f")
+    found = dict(digests.agg(F.percentile_approx("value", probs, max(1000, 4 * wanted))).collect())
+    numbers = list(sizes)
+    cells = both.select("__side", *[F.col(VALUES)[i].alias(f"v{i}") for i in numbers])
+    bucketizer = Bucketizer(
+        splitsArray=[[float("-inf"), *sorted(set(map(float, found[i]))), float("inf")] for i in numbers],
+        inputCols=[f"v{i}" for i in numbers],
+        outputCols=[f"b{i}" for i in numbers],
+        handleInvalid="keep",  # nulls; they are left out below
+    )
+    per_feature = F.array(
+        *[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("value"), F.col(f"b{i}").alias("bucket")) for i in numbers]
+    )
+    tall = bucketizer.transform(cells).select("__side", F.inline(per_feature)).where(F.col("value").isNotNull())
 
     r_rows, p_rows = F.count_if(F.col("__side") == 0), F.count_if(F.col("__side") == 1)
     buckets = (
-        bucketed.groupBy("bucket")
+        tall.groupBy("f", "bucket")
         .agg(r_rows.alias("r"), p_rows.alias("p"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .orderBy("bucket")
-        .collect()  # at most KS_MAX_BUCKETS rows
+        .orderBy("f", "bucket")
+        .collect()  # at most KS_ALL_BUCKETS rows
     )
-    best, seen, bounds = 0.0, (0, 0), []
+    best, seen, bounds = dict.fromkeys(numbers, 0.0), dict.fromkeys(numbers, (0, 0)), []
     for b in buckets:
-        past = (seen[0] + b["r"], seen[1] + b["p"])
-        best = max(best, abs(past[0] / n[0] - past[1] / n[1]))
-        bound = max(past[0] / n[0] - seen[1] / n[1], past[1] / n[1] - seen[0] / n[0])
+        f, before, n = b["f"], seen[b["f"]], sizes[b["f"]]
+        past = (before[0] + b["r"], before[1] + b["p"])
+        best[f] = max(best[f], abs(past[0] / n[0] - past[1] / n[1]))
+        bound = max(past[0] / n[0] - before[1] / n[1], past[1] / n[1] - before[0] / n[0])
         cuts = max(1, (b["r"] + b["p"]) // bucket_rows) if b["hi"] > b["lo"] else 1
-        width = (b["hi"] - b["lo"]) / cuts or 1.0
-        bounds.append(((b["bucket"], *seen, b["lo"], width, cuts), bound))
-        seen = past
-    open_ = [row for row, bound in bounds if bound > best]
-    edge = local_frame(both.sparkSession, [(number, best)], "f int, d double")
+        bounds.append(((f, b["bucket"], *before, *n, cuts), bound))
+        seen[f] = past
+    open_ = [(*row, best[row[0]]) for row, bound in bounds if bound > best[row[0]]]
+    edge = local_frame(spark, list(best.items()), "f int, d double")
     if not open_:
         return edge
     starts = local_frame(
-        both.sparkSession,
-        open_,
-        "bucket double, r0 long, p0 long, lo double, width double, cuts long",
+        spark, open_, "f int, bucket double, r0 long, p0 long, n_ref long, n_prod long, cuts long, best double"
     )
-    cut = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.col("cuts") - 1)
-    inside = bucketed.join(F.broadcast(starts), "bucket").withColumn("cut", cut)
-
-    if max(row[-1] for row in open_) > 1:
-        w = Window.partitionBy("bucket").orderBy("cut")
+    group = ["f", "bucket", "cut"]
+    inside = tall.join(starts, ["f", "bucket"])
+    finest = max(row[-2] for row in open_)
+    if finest > 1:
+        inner = [i / finest for i in range(1, finest)]
+        again = inside.where("cuts > 1").groupBy("f", "bucket").agg(F.percentile_approx("value", inner, max(1000, 4 * finest)).alias("splits"))
+        inside = inside.join(again, ["f", "bucket"], "left")
+        inside = inside.withColumn("cut", F.coalesce(F.size(F.filter("splits", lambda s: s < F.col("value"))), F.lit(0))).drop("splits")
+        w = Window.partitionBy("f", "bucket").orderBy("cut")
         edges = (
-            inside.groupBy("bucket", "cut", "r0", "p0")
+            inside.groupBy(*group, "r0", "p0", "n_ref", "n_prod", "best")
             .agg(r_rows.alias("r"), p_rows.alias("p"))
-            .select(
-                "bucket",
-                "cut",
-                (F.col("r0") + F.sum("r").over(w)).alias("r1"),
-                (F.col("p0") + F.sum("p").over(w)).alias("p1"),
-                "r",
-                "p",
-            )
-            .select("bucket", "cut", "r1", "p1", (F.col("r1") - F.col("r")).alias("r0"), (F.col("p1") - F.col("p")).alias("p0"))
+            .withColumns({"r1": F.col("r0") + F.sum("r").over(w), "p1": F.col("p0") + F.sum("p").over(w)})
+            .withColumns({"r0": F.col("r1") - F.col("r"), "p0": F.col("p1") - F.col("p")})
         )
         bound = F.greatest(
-            F.col("r1") / n[0] - F.col("p0") / n[1], F.col("p1") / n[1] - F.col("r0") / n[0]
+            F.col("r1") / F.col("n_ref") - F.col("p0") / F.col("n_prod"),
+            F.col("p1") / F.col("n_prod") - F.col("r0") / F.col("n_ref"),
         )
-        # at most (rows / bucket_rows + buckets) rows
-        narrow = edges.where(bound > F.lit(best)).drop("r1", "p1")
-        inside = inside.drop("r0", "p0").join(F.broadcast(narrow), ["bucket", "cut"])
-
-    counted = inside.groupBy("bucket", "cut", "r0", "p0", "value").agg(r_rows.alias("r"), p_rows.alias("p"))
-    w = Window.partitionBy("bucket", "cut").orderBy("value")
-    r = (F.col("r0") + F.sum("r").over(w)) / F.lit(n[0])
-    p = (F.col("p0") + F.sum("p").over(w)) / F.lit(n[1])
-    gap = counted.select(F.abs(r - p).alias("gap"))
-    return gap.agg(
-        F.greatest(F.max("gap"), F.max(F.lit(best))).alias("d"),
-    ).select(F.lit(number).alias("f"), F.coalesce("d", F.lit(best)).alias("d"))
+        narrow = edges.where(bound > F.col("best")).select(*group, "r0", "p0")
+        inside = inside.drop("r0", "p0").join(narrow, group)
+    else:
+        inside = inside.withColumn("cut", F.lit(0))
+
+    counted = inside.groupBy(*group, "r0", "p0", "n_ref", "n_prod", "value").agg(r_rows.alias("r"), p_rows.alias("p"))
+    w = Window.partitionBy(*group).orderBy("value")
+    r = (F.col("r0") + F.sum("r").over(w)) / F.col("n_ref")
+    p = (F.col("p0") + F.sum("p").over(w)) / F.col("n_prod")
+    gaps = counted.select("f", F.abs(r - p).alias("d"))
+    return gaps.unionAll(edge).groupBy("f").agg(F.max("d").alias("d"))
 
 
 def js_positional(

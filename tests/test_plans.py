@@ -59,3 +59,20 @@ def test_large_strata_are_split_without_a_shuffle(stored):
 def test_wide_statistics_shuffle_one_row_per_task(stored):
     plan = final_plan(profile.stats_numeric(stored, exclude=["id"]))
     assert plan.count("Exchange") == 1 and "SinglePartition" in plan
+
+
+def test_ks_of_many_large_features_takes_no_more_jobs(spark):
+    """The passes are shared, so two features and eight need the same number of jobs."""
+    from pyspark.sql import functions as F
+
+    base = spark.range(1000).select(*[(F.col("id") * (i + 7) % 1009).cast("double").alias(f"c{i}") for i in range(8)])
+
+    def jobs(k):
+        tracker, group = spark.sparkContext.statusTracker(), f"ks-{k}"
+        spark.sparkContext.setJobGroup(group, group)
+        columns = [f"c{i}" for i in range(k)]
+        dr.ks_statistic(base.where("c0 < 400"), base.where("c0 >= 400"), columns, direct_rows=100, bucket_rows=300).collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs(8) <= jobs(2) + 3
