@@ -44,16 +44,17 @@ class Lexicon:
     to, each with the fewest edits spent. States and steps are made when first met
     and kept, so a word costs one look-up per letter, and most words die
     after a few letters. Terms of five letters allow one edit, of ten two;
-    shorter ones and stems none.
+    shorter ones and stems none. A term that begins with a stem of the lexicon allows its
+    edits only with ``under_stems``, which scoring sets: a stem finds other endings, not another beginning.
     """
 
-    def __init__(self, terms: dict[str, float]):
+    def __init__(self, terms: dict[str, float], under_stems: bool = False):
         self.terms = terms
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.stem: list[str | None] = [None]
         self.limit = [0]  # most edits of any term below
-        covered = {t[:-1] for t in terms if t.endswith("*")}
+        covered = set() if under_stems else {t[:-1] for t in terms if t.endswith("*")}
         for term in terms:
             word, node = term.rstrip("*"), 0
             loose = 0 if term.endswith("*") or any(word[:n] in covered for n in STEMS) else self.edits(word)
@@ -228,7 +229,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _feature_rows(terms: dict[str, float]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(Lexicon(terms))
+        scorer = Scorer(Lexicon(terms, under_stems=True))
         for batch in batches:
             made = [scorer.features(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(made, pa.list_(pa.float64()))], ["toxic", "features"])
@@ -289,7 +290,7 @@ def learn(
 
 def _scored(terms: dict[str, float], weights: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(Lexicon(terms))
+        scorer = Scorer(Lexicon(terms, under_stems=True))
         for batch in batches:
             x = np.array([scorer.features(t or "") for t in batch.column(1).to_pylist()], float).reshape(-1, FEATURES)
             p = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))) if terms else np.zeros(len(x))

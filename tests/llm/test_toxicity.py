@@ -75,3 +75,30 @@ def test_awkward_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score_toxicity(docs(spark, AWKWARD), none).where("score = 0").count() == len(AWKWARD)
     assert toxicity.score_toxicity(docs(spark, []), none).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(WORDS, min_size=1, max_size=8), st.sets(st.text("abc", min_size=4, max_size=4), max_size=2), WORDS)
+def test_every_term_has_its_edits_in_scoring(words, stems, word):
+    terms = {w: 1.0 for w in words} | {s + "*": 1.0 for s in stems}
+    found = [(0, t) for t in terms if t.endswith("*") and word.startswith(t[:-1])]
+    found += [(d, t) for t in words if (d := distance(t, word)) <= toxicity.Lexicon.edits(t)]
+    got = toxicity.Lexicon(terms, under_stems=True).match(word)
+    assert got == ((min(found)[1], min(found)[0]) if found else None)
+
+
+def test_learned_word_misspelled_within_its_stem(spark):
+    rng = np.random.default_rng(3)
+    prose = lambda: " ".join(f"w{n}" for n in rng.integers(0, 4000, 40))
+    turned = ["clown"[:i] + c + "clown"[i + 1 :] for i in range(4) for c in "abdefghijkmpqrstuvxy"]  # too rare each to be learned
+    rows, known = [], []
+    for i in range(300):
+        word = ("", "clown", "", turned[i // 4])[i % 4]
+        rows.append((i, f"{prose()} {word} {prose()}"))
+        known.append((i, i % 2))
+    rows += [(1001, f"{prose()} zlown {prose()}"), (1002, prose())]
+    labels = spark.createDataFrame(known, "doc_id long, toxic int")
+    terms, _ = toxicity.learn(docs(spark, rows), labels)
+    assert "clown" in terms and "clow*" in terms
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs(spark, rows), labels).collect()}
+    assert got[1001] >= 0.5 > got[1002]
