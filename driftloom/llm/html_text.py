@@ -192,25 +192,51 @@ def _within(node: Node, tags: frozenset[str]) -> Node | None:
 _MAIN = frozenset(("article", "main"))
 
 
+def _scope(node: Node) -> Node | None:
+    """The outermost article or main element around a node, itself included."""
+    own = _within(node, _MAIN)
+    while own is not None and (outer := _within(own.parent, _MAIN)) is not None:
+        own = outer
+    return own
+
+
+def _parts(node: Node, threshold: float) -> list[Node]:
+    """The child nodes; text between blocks and outside of links that reaches the threshold is made one node, tags within it included."""
+    out: list[Node] = []
+    run: list[Node | str] = []
+    linked = _within(node, frozenset("a")) is not None
+    for child in [*node.children, None]:
+        if isinstance(child, str) or child is not None and child.tag not in BLOCKS:
+            run.append(child)
+            continue
+        tags = [c for c in run if isinstance(c, Node) and not c.drop]
+        own = sum(len(c) for c in run if isinstance(c, str) and not c.isspace())
+        plain = own + sum(c.chars - c.link_chars for c in tags)
+        if own and not linked and plain / max(sum(c.tags + 1 for c in tags), 1) >= threshold:
+            made = Node("#run", node)
+            made.children = run
+            out.append(made)
+        else:
+            out += [c for c in tags if c.chars]
+        if child is not None and not child.drop and child.chars:
+            out.append(child)
+        run = []
+    return out
+
+
 def select(root: Node) -> list[Node]:
     """Roots of the subtrees that make up the main text, in page order.
 
-    The node with the largest density sum is the core. If an article or main element holds the core it
-    is the main text; if the core holds some, the densest of them. Otherwise the smallest density on the path from the core to
-    the body is the threshold: each node that reaches it gives the subtree with the largest density sum below it.
+    The node with the largest density sum is the core. The smallest density on the path from the core to
+    the body is the threshold: each node that reaches it gives the subtree with the largest density sum
+    below it, and what lies beside that subtree is searched in the same way. Text between the blocks of a
+    searched node counts as a node. A subtree within article or main elements is widened to the outermost of them;
+    of a main, parts made of links that hold none of the subtrees stay outside.
     """
     nodes = [n for n in measure(root) if n.chars]
     if not nodes:
         return []
     core = max(nodes, key=lambda n: n.density_sum)
-    own = _within(core, _MAIN)
-    if own is not None:
-        while (outer := _within(own.parent, _MAIN)) is not None and outer.tag == "article":
-            own = outer
-        return [own]
-    mains = [n for n in nodes if n.tag in _MAIN]
-    if mains:
-        return [max(mains, key=lambda n: n.chars)]
     threshold, node = core.density, core
     while node is not None:
         if node.tag in ("html", "#root"):
@@ -221,17 +247,41 @@ def select(root: Node) -> list[Node]:
     for node in nodes:  # children come first
         below = [best[id(c)] for c in node.children if isinstance(c, Node) and id(c) in best]
         best[id(node)] = max([node, *below], key=lambda n: n.density_sum)
-    chosen, stack = [], [root]
+    marked, chosen, stack = {id(core)}, [], [root]
     while stack:
         node = stack.pop()
-        if node.tag not in ("html", "#root", "body") and node.density >= threshold:
-            chosen.append(best[id(node)] if node.density_sum else node)
-            continue
-        if node is core:
+        if node.tag not in ("html", "#root", "body", "#run") and node.density >= threshold:
+            marked.add(id(best[id(node)] if node.density_sum else node))
+        if id(node) in marked or node.tag == "#run":
             chosen.append(node)
+        else:
+            stack.extend(reversed(_parts(node, threshold)))
+    return _widened(chosen)
+
+
+def _widened(chosen: list[Node]) -> list[Node]:
+    """The subtrees, each within article or main replaced by the outermost of those, without the link lists of a main."""
+    out: list[Node] = []
+    holding: set[int] = set()
+    picked = {id(c) for c in chosen}
+    for node in chosen:
+        if _scope(node) is None:
+            out.append(node)
             continue
-        stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.drop and c.chars)
-    return chosen or [core]
+        if not out or out[-1] is not _scope(node):
+            out.append(_scope(node))
+        while node is not None and id(node) not in holding:
+            holding.add(id(node))
+            node = node.parent
+    for main in out:
+        stack = [main] if main.tag == "main" and id(main) in holding else []
+        while stack:
+            node = stack.pop()
+            if id(node) not in holding:
+                node.drop = node.link_tags > 1 and 2 * node.link_chars > node.chars
+            elif node.tag != "article" and id(node) not in picked:
+                stack.extend(c for c in node.children if isinstance(c, Node) and not c.drop and c.chars)
+    return out
 
 
 def blocks_of(node: Node) -> list[str]:

@@ -50,6 +50,19 @@ def test_density_tells_text_from_links_without_names():
     assert got.count("Plain words") >= 3
 
 
+def test_several_subtrees_are_kept():
+    text = "Plain words of an article that go on for a while, as they do."
+    links = "<ul>" + "".join(f'<li><a href="/{i}">link number {i}</a>' for i in range(9)) + "</ul>"
+    several = f"<body><main><h1>Head</h1>{links}<article>{PARA * 3}</article><article>{PARA}</article></main>{links}</body>"
+    assert html_text.main_text(several) == "\n".join(["Head", *[text] * 4])
+    teaser = f"<body><article><p>Short.</p></article><div><h2>Head</h2>{PARA * 4}</div>{links}</body>"
+    assert html_text.main_text(teaser) == "\n".join(["Head", *[text] * 4])
+    beside = f"<body>{links}<article>{PARA * 3}</article><div>{PARA * 2}</div></body>"
+    assert html_text.main_text(beside) == "\n".join([text] * 5)
+    loose = f"<body>Words that stand <b>right</b> in the body, a whole long sentence of them at least.<div>{PARA * 3}</div>{links}</body>"
+    assert html_text.main_text(loose).startswith("Words that stand right in") and "link number" not in html_text.main_text(loose)
+
+
 def test_all_pages(spark):
     """The pages of the table keep their text in one article element; any text outside of it is not the article's."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
