@@ -44,6 +44,9 @@ DROPPED_WORDS = frozenset(
     "sharing social cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup "
     "login search comment comments respond reply replies disqus discussion pager pagination skip toolbar".split()
 )
+SMALL = 0.2  # share of a page's text, below which a partly telling name suffices
+ENOUGH = 500  # characters that make a main text by themselves
+_MAIN = frozenset(("article", "main"))
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
@@ -57,10 +60,13 @@ _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "children", "drop", "names", "in_main", "linked", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False):
         self.tag, self.parent, self.drop = tag, parent, drop
+        self.in_main = tag in _MAIN or parent is not None and parent.in_main
+        self.linked = tag == "a" or parent is not None and parent.linked
+        self.names: dict[str, bool] = {}  # words of its class and id that tell boilerplate: is one a whole name?
         self.children: list[Node | str] = []
 
 
@@ -68,8 +74,17 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)} if source else {}
 
 
-def _boilerplate(tag: str, source: str) -> bool:
-    if tag in DROPPED_TAGS:
+def _within(node: Node, tags: frozenset[str]) -> Node | None:
+    while node is not None and node.tag not in tags:
+        node = node.parent
+    return node
+
+
+def _boilerplate(node: Node, source: str) -> bool:
+    """Whether tag, role or style rule an element out; words of its class and id are noted in its names."""
+    tag = node.tag
+    own = node.parent.in_main
+    if tag in DROPPED_TAGS and not (tag == "header" and own):
         return True
     if not source or tag in ("html", "body", "main", "article"):
         return False
@@ -78,8 +93,43 @@ def _boilerplate(tag: str, source: str) -> bool:
         return True
     if re.search(r"display\s*:\s*none", got.get("style", "")):
         return True
-    names = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{got.get('class', '')} {got.get('id', '')}").lower())
-    return any(n in DROPPED_WORDS for n in names)
+    for name in f"{got.get('class', '')} {got.get('id', '')}".split():
+        words = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        for word in words:
+            if word in DROPPED_WORDS and not (own and word == "header"):  # a headline stands in the header of an article
+                node.names[word] = node.names.get(word, False) or all(w in DROPPED_WORDS for w in words)
+    return False
+
+
+def drop_named(root: Node) -> None:
+    """Drop elements whose class or id tells boilerplate, unless they hold the text of the page.
+
+    Text outside of links counts, of all elements with the same word together. Those where the word is part of a
+    name (has-sidebar, widget-container) go if they hold less than ``SMALL`` of it. Those named by such words alone go
+    if the rest has a quarter as much text as they, or ``ENOUGH`` characters. The rest must have as much after all drops too.
+    """
+    nodes = list(_post_order(root))
+    if not any(n.names for n in nodes):
+        return
+    plain = lambda n: n.chars - n.link_chars
+    page = plain(measure(root)[-1])
+    enough = lambda rest, gone: rest >= min(gone / 4, ENOUGH)
+    held: dict[tuple[str, bool], int] = {}
+    above: dict[int, frozenset] = {}
+    for node in reversed(nodes):  # parents come first
+        outer = above.get(id(node.parent), frozenset())
+        own = frozenset(node.names.items())
+        above[id(node)] = outer | own if own - outer else outer
+        for key in own - outer:
+            held[key] = held.get(key, 0) + plain(node)
+    gone = {k for k, n in held.items() if (enough(page - n, n) if k[1] else n < SMALL * page)}
+    named = [n for n in nodes if not gone.isdisjoint(n.names.items())]
+    for node in named:
+        node.drop = True
+    rest = plain(measure(root)[-1])
+    if not enough(rest, page - rest):
+        for node in named:
+            node.drop = False
 
 
 def parse(source: str) -> Node:
@@ -124,7 +174,8 @@ def parse(source: str) -> Node:
                 node = node.parent
             if last is not None:
                 here = last.parent
-        node = Node(tag, here, _boilerplate(tag, found[3]))
+        node = Node(tag, here)
+        node.drop = _boilerplate(node, found[3])
         here.children.append(node)
         if tag in RAW_TEXT:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
@@ -183,15 +234,6 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
-def _within(node: Node, tags: frozenset[str]) -> Node | None:
-    while node is not None and node.tag not in tags:
-        node = node.parent
-    return node
-
-
-_MAIN = frozenset(("article", "main"))
-
-
 def _scope(node: Node) -> Node | None:
     """The outermost article or main element around a node, itself included."""
     own = _within(node, _MAIN)
@@ -204,7 +246,6 @@ def _parts(node: Node, threshold: float) -> list[Node]:
     """The child nodes; text between blocks and outside of links that reaches the threshold is made one node, tags within it included."""
     out: list[Node] = []
     run: list[Node | str] = []
-    linked = _within(node, frozenset("a")) is not None
     for child in [*node.children, None]:
         if isinstance(child, str) or child is not None and child.tag not in BLOCKS:
             run.append(child)
@@ -212,7 +253,7 @@ def _parts(node: Node, threshold: float) -> list[Node]:
         tags = [c for c in run if isinstance(c, Node) and not c.drop]
         own = sum(len(c) for c in run if isinstance(c, str) and not c.isspace())
         plain = own + sum(c.chars - c.link_chars for c in tags)
-        if own and not linked and plain / max(sum(c.tags + 1 for c in tags), 1) >= threshold:
+        if own and not node.linked and plain / max(sum(c.tags + 1 for c in tags), 1) >= threshold:
             made = Node("#run", node)
             made.children = run
             out.append(made)
@@ -265,7 +306,7 @@ def _widened(chosen: list[Node]) -> list[Node]:
     holding: set[int] = set()
     picked = {id(c) for c in chosen}
     for node in chosen:
-        if _scope(node) is None:
+        if not node.in_main:
             out.append(node)
             continue
         if not out or out[-1] is not _scope(node):
@@ -318,7 +359,9 @@ def main_text(source: str | None) -> str:
     """The main text of a page, one line per block; empty if there is none."""
     if not source:
         return ""
-    return "\n".join(b for node in select(parse(source)) for b in blocks_of(node))
+    root = parse(source)
+    drop_named(root)
+    return "\n".join(b for node in select(root) for b in blocks_of(node))
 
 
 def _extractor(html_at: int):
@@ -338,7 +381,7 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     Elements that never hold main text (navigation, headers, footers,
     asides, forms, adverts, notices, comments, scripts), told by tag, role, class or id,
-    are left out of the tree. Of the rest, composite text density selects the main text, and all of
+    are left out of the tree; names count only where they do not hold the text of the page (``drop_named``). Of the rest, composite text density selects the main text, and all of
     its blocks are returned. One scan, no shuffle.
 
     Null and empty html give an empty text. Columns named text or n_chars are replaced. Repeated rows are each

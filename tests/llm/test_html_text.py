@@ -63,6 +63,21 @@ def test_several_subtrees_are_kept():
     assert html_text.main_text(loose).startswith("Words that stand right in") and "link number" not in html_text.main_text(loose)
 
 
+@pytest.mark.parametrize("name", ['class="layout has-sidebar"', 'id="content-sidebar-wrap"', 'class="no-sidebar"', 'class="elementor-widget-container"', 'class="discussion"'])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_layout_names_do_not_drop_the_text(name, tag):
+    text = "Plain words of an article that go on for a while, as they do."
+    page = f"<body><nav><a href='/'>Home</a></nav><div {name}><{tag}><header><h1>Head</h1></header>{PARA * 3}</{tag}><div class='ad'>Buy</div></div><footer>F</footer></body>"
+    head = ["Head"] if tag == "article" else []
+    assert html_text.main_text(page) == "\n".join([*head, text, text, text])
+
+
+def test_names_of_many_small_wrappers_and_of_true_boilerplate():
+    wrapped = "".join(f'<div class="elementor-widget-container"><p>Part {i} of a text that is dealt to many small wrappers.</p></div>' for i in range(12))
+    got = html_text.main_text(f'<body><div id="page">{wrapped}<div class="ad">Buy</div><div class="sidebar-inner"><p>Other</p></div></div></body>')
+    assert got == "\n".join(f"Part {i} of a text that is dealt to many small wrappers." for i in range(12))
+
+
 def test_all_pages(spark):
     """The pages of the table keep their text in one article element; any text outside of it is not the article's."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
