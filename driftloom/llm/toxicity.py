@@ -22,9 +22,11 @@ MIN_WEIGHT = 3.0
 STEMS = (4, 5, 6)
 WINDOW = 8
 CACHE_WORDS = 1_000_000
+CACHE_LETTERS = 64  # longer tokens are looked up each time
 CACHE_STEPS = 2_000_000
 FEATURES = 7
 _WORD = re.compile(r"[^\W_]+")
+_GAP = re.compile(r"\s+")
 _QUOTES = "\"'“”„‟«»‘’‹›"
 _REPORTING = frozenset("said says say wrote writes quote quoted quoting called calls word words term terms slur slurs".split())
 
@@ -149,48 +151,67 @@ class Scorer:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.known: dict[str, tuple[float, int] | None] = {}
+        self.known: dict[str, tuple[int, tuple]] = {}
 
-    def _look_up(self, token: str) -> tuple[float, int] | None:
-        """(weight, edits) of the best match among the words in a token."""
-        best = None
-        for word in words_of(token):
+    def _look_up(self, token: str) -> tuple[int, tuple]:
+        """How many words a token has, and (place, weight, edits) of those with a match."""
+        words, found = words_of(token), []
+        for i, word in enumerate(words):
             got = self.lexicon.match(word)
             if got is not None:
-                hit = (self.lexicon.terms[got[0]], got[1])
-                if best is None or (hit[1], -hit[0]) < (best[1], -best[0]):
-                    best = hit
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        self.known[token] = best
-        return best
-
-    def hits(self, tokens: list[str]) -> list[tuple[int, float, int]]:
-        """(position, weight, edits) of every token with a match."""
-        known, out = self.known, []
-        for i, token in enumerate(tokens):
-            hit = known.get(token, 0)
-            if hit == 0:
-                hit = self._look_up(token)
-            if hit is not None:
-                out.append((i, *hit))
+                found.append((i, self.lexicon.terms[got[0]], got[1]))
+        out = len(words), tuple(found)
+        if len(token) <= CACHE_LETTERS:
+            if len(self.known) >= CACHE_WORDS:
+                self.known.clear()
+            self.known[token] = out
         return out
 
-    def quoted(self, tokens: list[str], at: int) -> bool:
+    def hits(self, tokens: list[str]) -> tuple[int, list[tuple[int, float, int]]]:
+        """The number of words, and (position, weight, edits) of every word with a match."""
+        known, out, at = self.known, [], 0
+        for token in tokens:
+            n, found = known.get(token) or self._look_up(token)
+            if found:
+                out += [(at + i, weight, edits) for i, weight, edits in found]
+            at += n
+        return at, out
+
+    @staticmethod
+    def surroundings(text: str) -> tuple[list[str], list[bool], list[bool]]:
+        """The words, and whether a quotation mark stands before and after each; an apostrophe within a word is none."""
+        low = text.lower()
+        spots = [m.span() for m in _WORD.finditer(low)]
+        opens, closes = [False] * len(spots), [False] * len(spots)
+        ends = [0, *(b for _, b in spots)]
+        starts = [*(a for a, _ in spots), len(low)]
+        for i, (a, b) in enumerate(zip(ends, starts)):  # what stands before word i and after word i - 1
+            gap = low[a:b]
+            if gap.isspace() or 0 < i < len(spots) and gap in ("'", "’"):
+                continue
+            parts = [any(c in _QUOTES for c in p) for p in _GAP.split(gap)]
+            if i < len(spots):
+                opens[i] = any(parts[1:]) or parts[0] and (len(parts) == 1 or not i)
+            if i:
+                closes[i - 1] = any(parts[:-1]) or parts[-1] and (len(parts) == 1 or i == len(spots))
+        return [low[a:b] for a, b in spots], opens, closes
+
+    @staticmethod
+    def quoted(around: tuple[list[str], list[bool], list[bool]], at: int) -> bool:
         """Quotation marks open before and close after the hit, or a reporting word leads up to it, in the window."""
-        before, after = tokens[max(0, at - WINDOW) : at + 1], tokens[at : at + WINDOW + 1]
-        if any(t[:1] in _QUOTES for t in before if t) and any(t.rstrip(".,;:!?")[-1:] in _QUOTES for t in after if t.rstrip(".,;:!?")):
+        words, opens, closes = around
+        if any(opens[max(0, at - WINDOW) : at + 1]) and any(closes[at : at + WINDOW + 1]):
             return True
-        return any(w in _REPORTING for t in before[-4:-1] for w in words_of(t))
+        return any(w in _REPORTING for w in words[max(0, at - 3) : at])
 
     def features(self, text: str) -> list[float]:
-        tokens = text.split()
-        hits = self.hits(tokens)
+        n_words, hits = self.hits(text.split())
         if not hits:
             return [0.0] * FEATURES
+        around = self.surroundings(text)
         plain = spelled = quoted = strongest = 0.0
         for at, weight, edits in hits:
-            if self.quoted(tokens, at):
+            if self.quoted(around, at):
                 quoted += weight
             elif edits:
                 spelled += weight / (1 + edits)
@@ -202,7 +223,7 @@ class Scorer:
         exact = sum(1 for h in hits if not h[2])
         return [
             math.log1p(plain), math.log1p(spelled), math.log1p(quoted), strongest,
-            math.log1p(100 * exact / len(tokens)), math.log1p(100 * (len(hits) - exact) / len(tokens)), math.log1p(crowd),
+            math.log1p(100 * exact / n_words), math.log1p(100 * (len(hits) - exact) / n_words), math.log1p(crowd),
         ]
 
 

@@ -44,6 +44,15 @@ def test_misspellings_and_quotation():
     assert scorer.features("") == scorer.features("a fine day") == [0.0] * toxicity.FEATURES
 
 
+def test_every_word_of_a_token_counts():
+    scorer = toxicity.Scorer(toxicity.Lexicon({"scoundrel": 5.0, "vile*": 4.0}))
+    assert scorer.features("you scoundrel,vilest,scoundrel now") == scorer.features("you scoundrel, vilest, scoundrel now")
+    assert scorer.features("scoundrel" + "-scoundrel" * 30) == scorer.features("scoundrel " * 31)
+    mixed = scorer.features("a 'scoundrel',so it was read to them there by one or two others—vilest")
+    assert mixed[2] > 0 and mixed[0] > 0
+    assert scorer.features("don't be a scoundrel, don't")[2] == 0
+
+
 def test_held_out_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
