@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, mixing, near_text, near_vectors, packing, pii, quality, toxicity, urls
+from ..session import scratch_path
+from . import chat, html_text, mixing, near_text, near_vectors, packing, pii, quality, token_files, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def vocabulary_path(name: str) -> str:
+    """Another vocabulary file; ``TOKENIZER_DIR`` names the folder where executors find them."""
+    if folder := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -153,3 +163,11 @@ SELECT page_id, host, path, {_rule_cases(0)} AS rule,
        coalesce({_rule_cases(1)}, CASE WHEN {_terms(urls.STRICT)} > 0 OR {_terms(urls.SOFT)} >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM split
 """
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token files of all documents to the shared folder and reads them back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"))
+    return token_files.checksums(spark, path).withColumnRenamed("id", "doc_id")
