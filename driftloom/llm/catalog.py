@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, html_text, mixing, near_text, near_vectors, packing, pii, quality, token_files, toxicity, urls
+from . import alignment, chat, html_text, mixing, near_text, near_vectors, packing, pii, quality, token_files, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,6 +165,13 @@ FROM split
 """
 
 
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A: the byte-level vocabulary of 50 257 ids; B: the piece model of 32 000."""
+    both = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    return alignment.link_counts(table(spark, sf_dir, "documents"), *both)
+
+
 @query
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of all documents to the shared folder and reads them back."""
