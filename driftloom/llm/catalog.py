@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import alignment, chat, html_text, mixing, near_text, near_vectors, packing, pii, quality, token_files, toxicity, urls
+from . import alignment, chat, collocations, html_text, mixing, near_text, near_vectors, packing, pii, quality, token_files, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,6 +165,51 @@ FROM split
 """
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+), grams AS (
+    SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+    FROM words, range(1, 5) AS t(m) WHERE len(ws) >= m
+), f AS (
+    SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), often AS MATERIALIZED (
+    SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE a >= 30
+), cand AS (
+    SELECT * FROM often WHERE m >= 2
+), parts AS MATERIALIZED (
+    SELECT lang, phrase, m, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)
+), heads AS MATERIALIZED (
+    SELECT parts.*, o.a AS l FROM parts JOIN often o ON o.lang = parts.lang AND o.phrase = parts.head
+), cuts AS MATERIALIZED (
+    SELECT heads.*, o.a AS r, (2000000::HUGEINT * heads.a) // (l + o.a) AS score
+    FROM heads JOIN often o ON o.lang = heads.lang AND o.phrase = heads.tail
+), scored AS (
+    SELECT lang, phrase, a, l, r, score::BIGINT AS score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), within AS (
+    SELECT lang, array_to_string(ws[i:i + w - 1], ' ') AS phrase, max(a) AS longest
+    FROM (SELECT *, unnest(range(1, m - w + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS w FROM cand)) GROUP BY ALL
+), kept AS (
+    SELECT s.* FROM scored s LEFT JOIN within w ON w.lang = s.lang AND w.phrase = s.phrase WHERE coalesce(100 * longest < 80 * a, true)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 @query
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A: the byte-level vocabulary of 50 257 ids; B: the piece model of 32 000."""
