@@ -21,7 +21,7 @@ from .byte_bpe import byte_encoder
 from .scratch import cut, in_arrow
 
 END_ID = 2
-TOKENS_PER_FILE = 1 << 24
+TEXT_BYTES_PER_FILE = 32 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 2000
@@ -35,23 +35,21 @@ def _encoder(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last column is the text; rows keep their order."""
         encode = byte_encoder(path).encode
         for batch in batches:
             parts: list[bytes] = []
             first, held, last = 0, 0, batch.num_rows - 1
             for i, text in enumerate(batch.column(batch.num_columns - 1)):
                 value = text.as_py()
-                parts.append((encode(value) if value else b"") + end)
+                parts.append(encode(value) + end if value else end)
                 held += len(parts[-1])
                 if held >= 4 * _SLICE_IDS or i == last:
                     sizes = np.array([len(p) // 4 for p in parts], np.int64)
                     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
-                    crc = pa.array([zlib.crc32(p) for p in parts], pa.int64())
                     others = [batch.column(k).slice(first, len(parts)) for k in range(batch.num_columns - 1)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*others, pa.array(sizes), crc, ids], [*batch.schema.names[:-1], "n_tokens", "crc", "ids"]
-                    )
+                    yield pa.RecordBatch.from_arrays([*others, pa.array(sizes), ids], [*batch.schema.names[:-1], "n_tokens", "ids"])
                     parts, first, held = [], i + 1, 0
 
     return encode_all
@@ -94,7 +92,7 @@ def write_token_files(
     metadata: Sequence[str] = (),
     end_id: int = END_ID,
     encoding: str = "dictionary",
-    tokens_per_file: int = TOKENS_PER_FILE,
+    text_bytes_per_file: int = TEXT_BYTES_PER_FILE,
     row_group_bytes: int = ROW_GROUP_BYTES,
     page_bytes: int = PAGE_BYTES,
     page_rows: int = PAGE_ROWS,
@@ -106,10 +104,13 @@ def write_token_files(
     ``encoding``: "dictionary" keeps the ids as indices into a dictionary per row group,
     "delta" as binary-packed differences. Row groups end at ``row_group_bytes``, pages at
     ``page_bytes`` or ``page_rows``; page indexes with the bounds of id and position are always written, so a
-    reader skips the pages it does not need. Files hold about ``tokens_per_file`` ids.
+    reader skips the pages it does not need. Files hold the ids of about ``text_bytes_per_file`` of text.
+
+    Rows are ordered as texts, before they are encoded: a text is smaller than its ids. ``docs`` is
+    read three times (sizes, bounds of the files, rows), so pass a table rather than a long plan.
 
     Null and empty texts are the end id alone. Rows without an id come first;
-    rows that share an id are ordered by length and content, so reruns agree and no
+    rows that share an id are ordered by their bytes in number and content, so reruns agree and no
     frequent id ends in one file. An empty table gives empty files. Columns not named in ``metadata`` are ignored.
     """
     if encoding not in ENCODINGS:
@@ -119,15 +120,19 @@ def write_token_files(
     meta = [F.struct(*[F.col(c) for c in metadata]).alias("meta")] if metadata else []
     plain = docs.select(F.col(id_col).alias("id"), *meta, F.col(text_col).alias("text"))
     kinds = ", ".join(f"{n} {t}" for n, t in plain.dtypes[:-1])
-    encoded = in_arrow(plain, _encoder(tokenizer, end_id), f"{kinds}, n_tokens long, crc long, ids array<int>")
-    encoded = cut(encoded, "token-ids")
-    total, rows = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
-    parts = max(1, -(-total // tokens_per_file), min(spark.sparkContext.defaultParallelism, rows // PAGE_ROWS))
-    # where a row lies in the written table tells even rows that are alike apart
-    order = [F.col("id"), F.col("n_tokens"), F.col("crc"), F.xxhash64("_metadata.file_name"), F.col("_metadata.row_index")]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    order = [F.col("id"), size, F.xxhash64("text")]
+    alike = plain.select(*[c.alias(f"k{i}") for i, c in enumerate(order)]).groupBy("k0", "k1", "k2").agg(F.count("*").alias("n"))
+    total, rows, most = alike.agg(F.coalesce(F.sum(F.col("k1") * F.col("n")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+    parts = max(1, -(-total // text_bytes_per_file), min(spark.sparkContext.defaultParallelism, rows // PAGE_ROWS))
+    if most and most > max(PAGE_ROWS, rows // parts):
+        # so many rows are alike that only their place in a written table can part them
+        plain = cut(plain, "texts")
+        order += [F.xxhash64("_metadata.file_name"), F.col("_metadata.row_index")]
     keys = [f"_k{i}" for i in range(len(order))]
-    ordered = encoded.select("*", *[c.alias(k) for c, k in zip(order, keys)]).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    ordered = ordered.select("id", "n_tokens", F.monotonically_increasing_id().alias("position"), *[c for c in ("meta",) if metadata], "ids")
+    ordered = plain.select("*", *[c.alias(k) for c, k in zip(order, keys)]).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    encoded = in_arrow(ordered.select(plain.columns), _encoder(tokenizer, end_id), f"{kinds}, n_tokens long, ids array<int>")
+    ordered = encoded.select("id", "n_tokens", F.monotonically_increasing_id().alias("position"), *[c for c in ("meta",) if metadata], "ids")
     options = {
         "parquet.block.size": row_group_bytes,
         "parquet.page.size": page_bytes,

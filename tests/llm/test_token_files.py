@@ -27,7 +27,7 @@ def ids_of(text, plain=False):
     return _tokenizer(plain).encode(text, add_special_tokens=False).ids
 
 
-ODD = ["It's  I'LL\t\tcan't \n", "x<|endoftext|>y", "a\x1cb\x85 \xa0c\x1f d", "日本語 漢字  ", "😀👍🏽", "½ Ⅷ 12 34a", "ǅɐé é", "   ", "\r\n\r\n x"]
+ODD = ["It's  I'LL\t\tcan't \n", "x<|endoftext|>y", "a\x1cb\x85 \xa0c\x1f d", "日本語 漢字  ", "😀👍🏽", "½ Ⅷ 12 34a", "ǅɐé é", "   ", "\r\n\r\n x", "a \n b\n  c ", " a", "a  b \xa0 c \x85d ", "end "]
 
 
 @pytest.mark.parametrize("plain", [False, True])
@@ -54,7 +54,7 @@ def plain_rows(rows):
     for i, text in rows:
         data = np.array([*ids_of(text or ""), 2], "<u4").tobytes()
         made.append((i, len(data) // 4, zlib.crc32(data)))
-    made.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    made.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     out, at = [], 0
     for i, n, crc in made:
         out.append((i, at, n, crc))
@@ -74,11 +74,10 @@ def test_encodings_row_groups_and_page_indexes(spark, tmp_path, encoding):
     rows = [(i, f"text {i} of many words " * 8) for i in range(5000)]
     path = str(tmp_path / "files")
     token_files.write_token_files(
-        docs(spark, rows).repartition(3), path, PATH, metadata=["lang", "source"], encoding=encoding, tokens_per_file=60_000, row_group_bytes=8000, page_bytes=4096
+        docs(spark, rows).repartition(3), path, PATH, metadata=["lang", "source"], encoding=encoding, text_bytes_per_file=200_000, row_group_bytes=8000, page_bytes=4096
     )
     files = sorted(glob.glob(f"{path}/tokens/*.parquet"))
-    total = sum(len(ids_of(t)) + 1 for _, t in rows)
-    assert len(files) == -(-total // 60_000)
+    assert len(files) == -(-sum(len(t) for _, t in rows) // 200_000)
     last = -1
     for file in files:
         read = pq.ParquetFile(file)
@@ -101,7 +100,7 @@ def test_encodings_row_groups_and_page_indexes(spark, tmp_path, encoding):
 def test_selective_reads(spark, tmp_path):
     rows = [(i, f"text {i} of some words " * (i % 7 + 1)) for i in range(3000)]
     path = str(tmp_path / "files")
-    token_files.write_token_files(docs(spark, rows), path, PATH, metadata=["lang"], tokens_per_file=9000, row_group_bytes=8000)
+    token_files.write_token_files(docs(spark, rows), path, PATH, metadata=["lang"], text_bytes_per_file=30_000, row_group_bytes=8000)
     stream = [x for _, t in rows for x in [*ids_of(t), 2]]
     for start, stop in [(0, 10), (8990, 9010), (12_345, 23_456), (len(stream) - 3, len(stream) + 50), (10**9, 10**9 + 5)]:
         parts = sorted((r.start, r.ids) for r in token_files.read_span(spark, path, start, stop).collect())
@@ -116,10 +115,11 @@ def test_selective_reads(spark, tmp_path):
     assert "ids" not in facts._jdf.queryExecution().executedPlan().toString()
 
 
-def test_repeated_ids_spread_over_files(spark, tmp_path):
+def test_repeated_ids_spread_over_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "PAGE_ROWS", 200)
     rows = [(7, "the same text")] * 3000 + [(i, f"other {i}") for i in range(100)]
     path = str(tmp_path / "files")
-    token_files.write_token_files(docs(spark, rows), path, PATH, tokens_per_file=1000)
+    token_files.write_token_files(docs(spark, rows), path, PATH, text_bytes_per_file=4000)
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{path}/tokens/*.parquet")]
     assert len(sizes) > 8 and max(sizes) < 1500
     assert sorted(tuple(r) for r in token_files.checksums(spark, path).collect()) == plain_rows(rows)
