@@ -22,12 +22,13 @@ from ..session import ensure_checkpoint_dir
 from .boosting import BoostedOneVsRest
 from .evaluate import metrics, pair_counts
 from .features import explained_variance, label_indexer, pca_stage, preprocessing
+from .softmax import SoftmaxBoost
 from .split import SEED, mark_test, stratified_folds
 
 LABEL_CODE = "label_code"
 MAX_DEPTH = 30  # the deepest tree Spark grows
 
-MODEL_TYPES = ("random_forest", "gbt")
+MODEL_TYPES = ("random_forest", "gbt", "softmax")
 
 
 def random_forest(
@@ -74,11 +75,37 @@ def gbt_one_vs_rest(
     )
 
 
+def softmax_boost(
+    n_rounds: int = 500,
+    learning_rate: float = 0.05,
+    max_depth: int = 5,
+    patience: int = 5,
+    validation_col: str | None = None,
+    seed: int = SEED,
+    label: str = LABEL_CODE,
+    **params,
+) -> SoftmaxBoost:
+    """Boosting of the joint multiclass loss; further parameters as in ``SoftmaxBoost``."""
+    return SoftmaxBoost(
+        featuresCol="features",
+        labelCol=label,
+        maxIter=n_rounds,
+        stepSize=learning_rate,
+        maxDepth=max_depth,
+        patience=patience,
+        validationCol=validation_col,
+        seed=seed,
+        **params,
+    )
+
+
 def model_stage(model_type: str, **params) -> Estimator:
     if model_type == "random_forest":
         return random_forest(**params)
     if model_type == "gbt":
         return gbt_one_vs_rest(**params)
+    if model_type == "softmax":
+        return softmax_boost(**params)
     raise ValueError(f"Unknown model_type: {model_type}")
 
 
@@ -124,12 +151,13 @@ def fit_with_validation(
     use_pca: bool = False,
     k: int = 50,
     seed: int = SEED,
+    model_type: str = "gbt",
     **params,
 ) -> PipelineModel:
-    """Boosting stopped early on a stratified part of the training rows."""
+    """Boosting ("gbt" or "softmax") stopped early on a stratified part of the training rows."""
     marked = mark_test(train, label, key, valid_size, f"{seed}|validation", out="__validation")
     estimator = full_pipeline(
-        columns, label, "gbt", use_pca, k, validation_col="__validation", seed=seed, **params
+        columns, label, model_type, use_pca, k, validation_col="__validation", seed=seed, **params
     )
     return fit_spread(estimator, marked, [*columns, label, "__validation"])
 
@@ -149,8 +177,8 @@ class MacroF1(Evaluator, HasLabelCol, HasPredictionCol):
         return True
 
 
-# Fixed values. Search space of the boosting parameters: (kind, low, high). Leaf counts are
-# reached through the depth; L1/L2 leaf penalties have no counterpart.
+# Fixed values. Search space of one-versus-rest boosting: (kind, low, high). Leaf counts are
+# reached through the depth; L1/L2 leaf penalties have no counterpart there.
 SEARCH_SPACE: dict[str, tuple[str, float, float]] = {
     "stepSize": ("log", 0.01, 0.3),
     "maxDepth": ("int", 3, 20),
@@ -160,6 +188,20 @@ SEARCH_SPACE: dict[str, tuple[str, float, float]] = {
 }
 
 
+# Fixed values. Search space of boosting on the joint loss.
+SOFTMAX_SPACE: dict[str, tuple[str, float, float]] = {
+    "stepSize": ("log", 0.01, 0.3),
+    "numLeaves": ("int", 20, 200),
+    "maxDepth": ("int", 3, 20),
+    "minInstancesPerNode": ("int", 5, 50),
+    "featureFraction": ("float", 0.6, 1.0),
+    "baggingFraction": ("float", 0.6, 1.0),
+    "baggingFrequency": ("int", 1, 10),
+    "l1": ("float", 0.0, 5.0),
+    "l2": ("float", 0.0, 5.0),
+}
+
+
 def draw(space: Mapping[str, tuple[str, float, float]], trial: int, seed: int) -> dict:
     """One random setting; the same for the same trial number and seed."""
     out = {}
@@ -181,7 +223,7 @@ def tune(
     df: DataFrame,
     label: str,
     key: Sequence[str],
-    estimator: BoostedOneVsRest | None = None,
+    estimator: BoostedOneVsRest | SoftmaxBoost | None = None,
     space: Mapping[str, tuple[str, float, float]] | None = None,
     n_trials: int = 50,
     folds: int = 5,
@@ -189,15 +231,16 @@ def tune(
     parallelism: int = 2,
     seed: int = SEED,
 ):
-    """Seeded random search by mean macro f1 over stratified folds.
+    """Seeded random search by mean macro f1 over stratified folds; by default of the joint loss over all its parameters.
 
     In each fold boosting stops early on the fold's own rows (``patience`` of the
     estimator). ``df`` holds ``features`` and the label column. Returns (model refitted on
     all rows with the best setting, best setting, trial rows as
     (trial, setting, mean macro f1)).
     """
-    estimator = estimator or gbt_one_vs_rest()
-    settings = [draw(space or SEARCH_SPACE, t, seed) for t in range(n_trials)]
+    estimator = estimator or softmax_boost()
+    space = space or (SOFTMAX_SPACE if isinstance(estimator, SoftmaxBoost) else SEARCH_SPACE)
+    settings = [draw(space, t, seed) for t in range(n_trials)]
     coded = label_indexer(label, LABEL_CODE).fit(df).transform(df)
     folded = stratified_folds(coded, label, key, folds, seed, out="__fold")
     folded = folded.withColumn("__fold", col("__fold").cast("int"))
@@ -270,8 +313,8 @@ def run_grid(
         try:
             options = dict(config)
             kind = options.pop("model_type")
-            if kind == "gbt":
-                model = fit_with_validation(train, label, key, columns, seed=seed, **options)
+            if kind in ("gbt", "softmax"):
+                model = fit_with_validation(train, label, key, columns, seed=seed, model_type=kind, **options)
             else:
                 estimator = full_pipeline(columns, label, kind, seed=seed, **options)
                 model = fit_spread(estimator, train, [*columns, label])

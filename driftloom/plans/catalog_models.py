@@ -340,6 +340,36 @@ def gbt_learns_class(spark, sf_dir):
     return _learned(sc.score(model, classed(spark, sf_dir), LINE_KEY, "line_class"))
 
 
+@query("softmax_learns_class", sql=_LEARNED_SQL)
+def softmax_learns_class(spark, sf_dir):
+    train, _ = class_parts(spark, sf_dir)
+    model = tr.fit_with_validation(
+        train, "line_class", LINE_KEY, LINE_FEATURES, model_type="softmax", n_rounds=6, learning_rate=0.5, featureFraction=1.0
+    )
+    return _learned(sc.score(model, classed(spark, sf_dir), LINE_KEY, "line_class"))
+
+
+@query(
+    "softmax_stops_early",
+    sql="""SELECT l_returnflag AS true_label, count(*) AS n, sum(l_orderkey)::BIGINT AS orders, count(*) AS scored, 500 AS asked, TRUE AS stopped_in_time
+           FROM lineitem GROUP BY ALL""",
+)
+def softmax_stops_early(spark, sf_dir):
+    """500 rounds with a patience of 5, on a class that the measures do not tell."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, *MEASURES, "l_returnflag")
+    train, _ = stratified_split(lines, "l_returnflag", LINE_KEY)
+    fitted = tr.fit_with_validation(train, "l_returnflag", LINE_KEY, MEASURES, model_type="softmax", n_rounds=500, learning_rate=0.3, patience=5)
+    boosted = fitted.stages[-1]
+    scored = sc.score(fitted, lines, LINE_KEY, "l_returnflag")
+    return scored.groupBy("true_label").agg(
+        F.count("*").alias("n"),
+        F.sum("l_orderkey").alias("orders"),
+        F.count("prediction_label").alias("scored"),
+        F.lit(500).alias("asked"),
+        F.lit(boosted.rounds <= boosted.grown <= boosted.rounds + 5 < 500).alias("stopped_in_time"),
+    )
+
+
 @query("tune_learns_class", sql="SELECT CAST(unnest(range(2)) AS INTEGER) AS trial, CAST(1 AS DOUBLE) AS f1_macro")
 def tune_learns_class(spark, sf_dir):
     train, _ = class_parts(spark, sf_dir)
