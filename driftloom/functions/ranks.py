@@ -1,11 +1,12 @@
 """Exact rank ranges in hash order, per stratum.
 
-Rows of a stratum are ordered by (md5 token, key) and cut at given ranks.
-Small strata are ranked with a window. A stratum of more than ``hot_rows``
-rows would be sorted by one task, so its cut rows are looked up instead:
-counting rows per hash prefix narrows each cut to a few rows, these are
-ranked, and every row is then compared with the cut values. That step needs no
-shuffle of the table, however large a single stratum is.
+Rows of a stratum are ordered by (md5 token, key) and cut at given ranks. The
+rows at the cuts are found first, and every row is then compared with the
+cuts of its stratum: the table itself is not shuffled, however wide its rows.
+Small strata are ranked with a window over stratum, token and key alone. A
+stratum of more than ``hot_rows`` rows would be sorted by one task, so there
+counting rows per hash prefix narrows each cut to a few rows, which are ranked.
+Only a table of more than ``MAX_HOT`` strata is ranked as a whole.
 """
 
 from __future__ import annotations
@@ -54,18 +55,46 @@ def rank_ranges(
         "__n",
         *[e.cast("long").alias(f"__end{i}") for i, e in enumerate(ends(F.col("__n")))],
     )
+    many = sized.limit(MAX_HOT + 1).count() > MAX_HOT if strata else False
     hot = sized.where(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(MAX_HOT).collect()
+    schema = [df.schema[s] for s in strata]
+    rest = _without(tagged, hot, strata, schema) if strata else None
+    if strata and many:
+        cold_part = _by_window(rest, strata, key, ends, out)
+    elif strata:
+        narrow = rest.select(*[col(c) for c in dict.fromkeys([*strata, *key])], _TOKEN)
+        cold_part = _by_cut(rest, strata, key, _cuts_by_window(narrow, strata, key, ends), n_ends, out)
+    if strata and not hot:
+        return cold_part
+    hot_part = _by_cut(tagged, strata, key, _cuts(tagged, schema, strata, key, hot, n_ends), n_ends, out)
+    return hot_part.unionByName(cold_part) if strata else hot_part
+
+
+def _without(rows: DataFrame, hot, strata, schema) -> DataFrame:
     if not hot:
-        return _by_window(tagged, strata, key, ends, out)
+        return rows
+    marks = F.broadcast(rows.sparkSession.createDataFrame([tuple(r[s] for s in strata) for r in hot], T.StructType(schema)))
+    return rows.join(marks, _same(rows, marks, strata), "left_anti")
 
-    schema = [df.schema[s] for s in strata]
-    cuts = _cuts(tagged, schema, strata, key, hot, n_ends)
-    hot_part = _by_cut(tagged, strata, key, cuts, n_ends, out)
-    if not strata:
-        return hot_part
-    marks = F.broadcast(df.sparkSession.createDataFrame([tuple(r[s] for s in strata) for r in hot], T.StructType(schema)))
-    cold = tagged.join(marks, _same(tagged, marks, strata), "left_anti")
-    return hot_part.unionByName(_by_window(cold, strata, key, ends, out))
+
+def _me(key) -> Column:
+    return F.struct(F.col(_TOKEN).alias("t"), *[col(k).alias(f"k{i}") for i, k in enumerate(key)])
+
+
+def _cuts_by_window(narrow, strata, key, ends) -> DataFrame:
+    """One row per stratum with the (token, key) of every cut row; what is shuffled has no other column."""
+    group = Window.partitionBy(*[col(s) for s in strata])
+    ranked = narrow.withColumns(
+        {"__rank": F.row_number().over(group.orderBy(_TOKEN, *[col(k) for k in key])), "__n": F.count(F.lit(1)).over(group)}
+    )
+    aggs = []
+    for i, end in enumerate(ends(F.col("__n"))):
+        found = F.max(F.when(F.col("__rank") == end, _me(key)))
+        nothing = [F.lit(None).cast(narrow.schema[k].dataType).alias(f"k{j}") for j, k in enumerate(key)]
+        # no row has the rank: all lie behind the cut, or all before it
+        outside = F.struct(F.when(F.max(end) <= 0, F.lit("")).otherwise(F.lit("g")).alias("t"), *nothing)
+        aggs.append(F.coalesce(found, outside).alias(f"__cut{i}"))
+    return ranked.groupBy(*[col(s) for s in strata]).agg(*aggs)
 
 
 def _by_window(tagged, strata, key, ends, out):
@@ -88,7 +117,7 @@ def _by_cut(tagged, strata, key, cuts, n_ends, out):
         joined = tagged
         for i in range(n_ends):
             joined = joined.withColumn(f"__cut{i}", _literal_cut(values[f"__cut{i}"], cuts.schema[f"__cut{i}"].dataType))
-    me = F.struct(F.col(_TOKEN).alias("t"), *[col(k).alias(f"k{i}") for i, k in enumerate(key)])
+    me = _me(key)
     part = _total([(me > F.col(f"__cut{i}")).cast("int") for i in range(n_ends)])
     return joined.withColumn(out, part).drop(_TOKEN, *[f"__cut{i}" for i in range(n_ends)])
 

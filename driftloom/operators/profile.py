@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ CARDINALITY_LABEL = "Cardinalidad"
 MODE_LABEL = "Moda"
 
 PAIRS_PER_AGG = 300
-WIDE_CORRELATION = 60  # more columns than this go through vectors, if no value is missing
+WIDE_CORRELATION = 60  # the pairs of more columns than this come from moment matrices of whole batches
 
 
 def per_column(
@@ -185,10 +185,7 @@ def correlation(
     """
     columns = resolve_numeric(df, columns, exclude)
     if len(columns) > WIDE_CORRELATION:
-        ranges = _ranges(df, columns)
-        if len({n for n, _, _ in ranges.values()}) == 1 and missing_total(df, columns).first()[0] == 0:
-            constant = {c for c, (_, lo, hi) in ranges.items() if lo == hi}
-            return _correlation_of_vectors(df, columns, constant)
+        return _correlation_of_moments(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     frames = []
     for group in chunks(pairs, PAIRS_PER_AGG):
@@ -213,16 +210,57 @@ def correlation(
     return out.withColumn("corr", F.when(F.col("corr").isNotNull() & ~F.isnan("corr"), within))
 
 
-def _correlation_of_vectors(df: DataFrame, columns: Sequence[str], constant: set[str]) -> DataFrame:
-    """All pairs from one pass over complete rows; the matrix is columns x columns."""
-    vectors = df.select(array_to_vector(F.array(*[as_number(df, c) for c in columns])).alias("v"))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    rows = [
-        (a, b, None if a in constant or b in constant or math.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ]
-    return local_frame(df.sparkSession, rows, "column_a string, column_b string, corr double")
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+_NO_SPREAD = 1e-12  # of the squares; what is left of a sum that cancels out
+
+
+def _moment_rows(shift: Sequence[float]):
+    """Sums over the rows of a task where both columns of a pair are known, by matrix products of whole batches."""
+    k = len(shift)
+    upper = np.triu_indices(k)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {m: np.zeros((k, k)) for m in _MOMENTS}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for c in batch.columns]) - np.array(shift)
+            known = ~np.isnan(x)
+            x, mask = np.where(known, x, 0.0), known.astype(np.float64)
+            total["n"] += mask.T @ mask
+            total["sx"] += x.T @ mask
+            total["sxx"] += (x * x).T @ mask
+            total["sxy"] += x.T @ x
+        total["sy"], total["syy"] = total["sx"].T, total["sxx"].T
+        columns = [pa.array(u.astype(np.int32)) for u in upper] + [pa.array(total[m][upper]) for m in _MOMENTS]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", *_MOMENTS])
+
+    return sums
+
+
+def _correlation_of_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All pairs from one pass, missing values or not: each task sends one row per pair.
+
+    Values are shifted by the mean of their column first, so that sums of squares do not cancel out.
+    """
+    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    facts = numbers.agg(*[f(F.col(c)).alias(f"{c}{name}") for c in numbers.columns for name, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    # a column that never varies is shifted by its value: nothing but zeros is left
+    shift = [facts[f"{c}lo"] if facts[f"{c}lo"] == facts[f"{c}hi"] else facts[f"{c}m"] for c in numbers.columns]
+    rows = numbers.mapInArrow(_moment_rows([x if x is not None else 0.0 for x in shift]), "a int, b int, " + ", ".join(f"{m} double" for m in _MOMENTS))
+    summed = rows.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+
+    def spread(square: str, plain: str) -> Column:
+        left = F.col(square) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
+        return F.when(left > F.col(square) * _NO_SPREAD, left)
+
+    shared = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    corr = shared / (F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+    within = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+    found = summed.select("a", "b", F.when(corr.isNotNull() & ~F.isnan(corr), within).alias("corr"))
+    names = F.array(*[F.lit(c) for c in columns])
+    sides = [F.struct(F.get(names, x).alias("column_a"), F.get(names, y).alias("column_b"), F.col("corr")) for x, y in ((F.col("a"), F.col("b")), (F.col("b"), F.col("a")))]
+    # the diagonal has one direction only
+    both = F.when(F.col("a") == F.col("b"), F.array(sides[0])).otherwise(F.array(*sides))
+    return found.select(F.inline(both))
 
 
 def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
@@ -279,6 +317,7 @@ def histogram(
 
 
 KDE_BLOCK = 10  # grid points summed per row and block
+KDE_DISTINCT = 10_000  # up to about so many different values are counted before they are spread over the grid
 KDE_REACH = 39.0  # bandwidths beyond which exp(-z * z / 2) is 0.0 in double precision
 
 
@@ -287,11 +326,11 @@ def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
 
     Bandwidth is Scott's rule, n^(-1/5) times the sample std. A value adds to
     the blocks of the grid within its reach; beyond, its terms are exactly 0.
-    Equal values are counted together first, and sums are
-    combined map-side, so only one row per block and task is shuffled.
+    Sums are combined map-side: one row per block and task is shuffled. Equal values are counted together
+    first where a column has few of them, which at most shuffles that many rows per task.
     """
     x = as_number(df, column)
-    n, lo, hi, std = df.agg(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).first()
+    n, lo, hi, std, kinds = df.agg(F.count(x), F.min(x), F.max(x), F.stddev_samp(x), F.approx_count_distinct(x)).first()
     schema = "point int, x double, density double"
     if n < 2 or not std:
         return local_frame(df.sparkSession, [], schema)
@@ -306,7 +345,9 @@ def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         return F.greatest(F.lit(0), F.least(F.lit(last), block)).cast("int")
 
     first, final = block_of(F.col("v") - F.lit(reach)), block_of(F.col("v") + F.lit(reach))
-    rows = df.select(x.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("times"))
+    rows = df.select(x.alias("v"), F.lit(1).cast("long").alias("times")).where(F.col("v").isNotNull())
+    if kinds <= KDE_DISTINCT:
+        rows = rows.groupBy("v").agg(F.count(F.lit(1)).alias("times"))
     aggs, cells = [], []
     for j in range(KDE_BLOCK):
         point = F.col("block") * KDE_BLOCK + j

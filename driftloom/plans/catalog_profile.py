@@ -342,6 +342,25 @@ def corr_matrix_constant_wide(spark, sf_dir):
     return rounded(wide.where(~F.col("column_a").startswith("x") & ~F.col("column_b").startswith("x")))
 
 
+def _holed(i: int) -> str:
+    """The measures over and over, each copy with other rows missing."""
+    return f"CASE WHEN (l_orderkey * 7 + l_linenumber * {i + 3}) % {i + 4} > 0 THEN {MEASURES[i % len(MEASURES)]} + {i} * l_quantity END"
+
+
+_HOLED = {f"h{i:03d}": _holed(i) for i in range(80)}
+
+
+@query(
+    "corr_matrix_holed_wide",
+    sql=f"WITH t AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _HOLED.items())} FROM lineitem)\n"
+    + "\nUNION ALL\n".join(f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS corr FROM t" for a in list(_HOLED)[:6] for b in list(_HOLED)[-6:]),
+)
+def corr_matrix_holed_wide(spark, sf_dir):
+    wide = table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in _HOLED.items()])
+    first, last = list(_HOLED)[:6], list(_HOLED)[-6:]
+    return rounded(profile.correlation(wide).where(F.col("column_a").isin(first) & F.col("column_b").isin(last)))
+
+
 def _histogram_sql(relation: str, c: str, bins: int) -> str:
     return f"""
     SELECT '{c}' AS "column", g.b AS bin,
@@ -366,23 +385,29 @@ def histogram(spark, sf_dir):
     return rounded(profile.histogram(li, ["l_quantity", "l_extendedprice"]))
 
 
-@query(
-    "kde_curve",
-    sql="""
-    WITH m AS (SELECT count(*) AS n, min(l_quantity) AS lo, max(l_quantity) AS hi,
-                      stddev_samp(l_quantity) * pow(count(*), -0.2) AS width FROM lineitem),
+def _kde_sql(c: str) -> str:
+    return f"""
+    WITH m AS (SELECT count(*) AS n, min({c}) AS lo, max({c}) AS hi,
+                      stddev_samp({c}) * pow(count(*), -0.2) AS width FROM lineitem),
          g AS (SELECT CAST(unnest(range(200)) AS INTEGER) AS point),
-         v AS (SELECT l_quantity AS value, count(*) AS w FROM lineitem GROUP BY 1)
+         v AS (SELECT {c} AS value, count(*) AS w FROM lineitem GROUP BY 1)
     SELECT point, round(any_value(lo + point * ((hi - lo) / 199)), 6) AS x,
            round(sum(w * exp(-0.5 * pow((value - (lo + point * ((hi - lo) / 199))) / width, 2)))
                  / any_value(n * width * sqrt(2 * pi())), 8) AS density
     FROM g, v, m GROUP BY point
-    """,
-)
+    """
+
+
+@query("kde_curve", sql=_kde_sql("l_quantity"))
 def kde_curve(spark, sf_dir):
     return rounded(profile.kde_curve(table(spark, sf_dir, "lineitem"), "l_quantity"), density=8)
 
 
+@query("kde_curve_continuous", sql=_kde_sql("l_extendedprice"))
+def kde_curve_continuous(spark, sf_dir):
+    return rounded(profile.kde_curve(table(spark, sf_dir, "lineitem"), "l_extendedprice"), density=8)
+
+
 _BOX = """
     SELECT '{c}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median,
            round(any_value(q3), 6) AS q3,

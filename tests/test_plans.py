@@ -76,3 +76,82 @@ def test_ks_of_many_large_features_takes_no_more_jobs(spark):
         return len(tracker.getJobIdsForGroup(group))
 
     assert jobs(8) <= jobs(2) + 3
+
+
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    """120 columns with holes, one constant, one without values."""
+    path = str(tmp_path_factory.mktemp("wide") / "t")
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 118)) @ rng.normal(size=(118, 118)) * 3 + 1e4
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x = np.column_stack([x, np.full(400, 0.1), np.full(400, np.nan)])
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(x)]
+    spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(120))).write.parquet(path)
+    return spark.read.parquet(path), x
+
+
+def test_wide_correlation_with_holes_is_one_scan(wide):
+    df, x = wide
+    out = profile.correlation(df)
+    plan = final_plan(out)
+    assert plan.count("FileScan") == 1 and "partial_sum" in plan
+    got = {(r.column_a, r.column_b): r["corr"] for r in out.collect()}
+    assert len(got) == 120 * 120
+    for i in range(120):
+        for j in range(120):
+            known = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[known, i], x[known, j]
+            value = got[f"c{i}", f"c{j}"]
+            if i >= 118 or j >= 118:
+                assert value is None
+            else:
+                assert value == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
+
+
+def test_density_of_a_continuous_column_shuffles_blocks_only(stored, monkeypatch):
+    monkeypatch.setattr(profile, "KDE_DISTINCT", 100)
+    out = profile.kde_curve(stored, "v", 50)
+    plan = final_plan(out)
+    assert "hashpartitioning(v" not in plan and "hashpartitioning(block" in plan
+    got = {r.point: r.density for r in out.collect()}
+    monkeypatch.setattr(profile, "KDE_DISTINCT", 10_000)
+    counted = {r.point: r.density for r in profile.kde_curve(stored, "v", 50).collect()}
+    assert got.keys() == counted.keys() and all(got[p] == pytest.approx(counted[p], rel=1e-12) for p in got)
+
+
+def exchanges(df):
+    """Columns of the rows that each hash exchange moves."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange" or node.nodeName() == "ShuffleQueryStage":
+            out = node.output()
+            found.append({out.apply(i).name() for i in range(out.size())})
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.mark.parametrize("hot_rows", [10, 100_000])
+def test_splits_and_folds_move_keys_only(stored, hot_rows):
+    for out in (split.mark_test(stored, "y", ["id"], hot_rows=hot_rows), split.stratified_folds(stored, "y", ["id"], 4, hot_rows=hot_rows)):
+        assert all(not {"v", "w"} & names for names in exchanges(out))
+    assert exchanges(stored.groupBy("v").count())  # the walk does see exchanges
+
+
+def test_many_strata_are_ranked_as_a_whole(stored, monkeypatch):
+    from driftloom.functions import ranks
+
+    few = split.stratified_folds(stored, "y", ["id"], 3).select("id", "fold").orderBy("id").collect()
+    monkeypatch.setattr(ranks, "MAX_HOT", 2)
+    assert split.stratified_folds(stored, "y", ["id"], 3).select("id", "fold").orderBy("id").collect() == few
+    assert split.stratified_folds(stored, "y", ["id"], 3, hot_rows=10).select("id", "fold").orderBy("id").collect() == few
