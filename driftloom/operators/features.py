@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_number, chunks, col, local_frame, numeric_columns, require_columns
+from .krylov import pca_model, principal_components
 
 SCALED = "scaled"
 FEATURES = "features"
@@ -102,7 +103,7 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
 
     def _transform(self, df: DataFrame) -> DataFrame:
         if not self.isSet(self.means):
-            raise ValueError("Transformer must be fitted before calling transform")
+            raise ValueError("Means and divisors are missing: the scaler must be fitted first")
         columns = self.getInputCols()
         require_columns(df, columns)
         cells = [
@@ -127,19 +128,26 @@ def standard_scale(
 # --- PCA --------------------------------------------------------------------
 
 
+GRAM_COLUMNS = 4000
+
+
 class SignedPCA(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """PCA whose components have their largest loading positive.
 
     Expects centred input, as :class:`PopulationScaler` yields. The fitted
     stage is a pair of built-in stages (projection, sign).
+
+    Solver "gram" brings the columns x columns matrix to the driver, "krylov" only
+    columns x k figures per pass over the rows; "auto" takes the latter beyond ``GRAM_COLUMNS``.
     """
 
     k = Param(Params._dummy(), "k", "number of components", TypeConverters.toInt)
+    solver = Param(Params._dummy(), "solver", "gram, krylov or auto", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, k=50, inputCol=SCALED, outputCol=FEATURES):
+    def __init__(self, k=50, inputCol=SCALED, outputCol=FEATURES, solver="auto"):
         super().__init__()
-        self._setDefault(k=50, inputCol=SCALED, outputCol=FEATURES)
+        self._setDefault(k=50, inputCol=SCALED, outputCol=FEATURES, solver="auto")
         self._set(**self._input_kwargs)
 
     def getK(self) -> int:
@@ -147,7 +155,15 @@ class SignedPCA(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Def
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         raw = f"__{self.getOutputCol()}_raw"
-        pca = PCA(k=self.getK(), inputCol=self.getInputCol(), outputCol=raw).fit(df)
+        solver = self.getOrDefault(self.solver)
+        if solver not in ("gram", "krylov", "auto"):
+            raise ValueError("solver must be 'gram', 'krylov' or 'auto'")
+        first = df.select(self.getInputCol()).first() if solver == "auto" else None
+        if solver == "krylov" or (first is not None and len(first[0]) > GRAM_COLUMNS):
+            found = principal_components(df, self.getInputCol(), self.getK())
+            pca = pca_model(*found, f"{self.uid}_pca", self.getInputCol(), raw)
+        else:
+            pca = PCA(k=self.getK(), inputCol=self.getInputCol(), outputCol=raw).fit(df)
         signs = component_signs(pca.pc.toArray())
         flip = ElementwiseProduct(
             scalingVec=Vectors.dense(signs), inputCol=raw, outputCol=self.getOutputCol()
@@ -166,7 +182,7 @@ def component_signs(loadings: np.ndarray) -> list[float]:
 
 
 def preprocessing(
-    columns: Sequence[str], use_pca: bool = True, k: int = 50
+    columns: Sequence[str], use_pca: bool = True, k: int = 50, solver: str = "auto"
 ) -> Pipeline:
     """Scaler and, unless switched off, PCA, as one estimator; output ``features``."""
     if not use_pca:
@@ -174,7 +190,7 @@ def preprocessing(
     return Pipeline(
         stages=[
             PopulationScaler(inputCols=list(columns), outputCol=SCALED),
-            SignedPCA(k=k, inputCol=SCALED, outputCol=FEATURES),
+            SignedPCA(k=k, inputCol=SCALED, outputCol=FEATURES, solver=solver),
         ]
     )
 
@@ -236,7 +252,7 @@ def _input_columns(model) -> Sequence[str]:
     for stage in model.stages:
         if isinstance(stage, PopulationScalerModel):
             return stage.getInputCols()
-    raise ValueError("Transformer must be fitted before calling transform")
+    raise ValueError("No scaler among the stages: preprocessing must be fitted first")
 
 
 def build_matrices(

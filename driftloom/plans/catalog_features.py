@@ -212,6 +212,64 @@ def pca_embeddings_variance(spark, sf_dir):
     return ft.explained_variance(model, spark)
 
 
+_SCALED_NORMS = """
+    WITH cells AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM embeddings),
+         facts AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM cells GROUP BY i)
+    SELECT vec_id, sum(pow((x - m) / s, 2)) AS size FROM cells JOIN facts USING (i) GROUP BY vec_id
+"""
+
+
+def _projected(spark, sf_dir, k: int):
+    """Scaled embeddings and their first k components by the block Krylov solver, as arrays."""
+    names = [f"f{i}" for i in range(64)]
+    wide = ft.array_columns(table(spark, sf_dir, "embeddings"), "embedding", 64)
+    model = ft.preprocessing(names, use_pca=True, k=k, solver="krylov").fit(wide)
+    out = model.transform(wide).select("vec_id", vector_to_array(ft.SCALED).alias("x"), vector_to_array(ft.FEATURES).alias("pc"))
+    return out, ft.pca_stage(model)
+
+
+def _square(array: str):
+    return F.aggregate(array, F.lit(0.0), lambda s, x: s + x * x)
+
+
+@query("pca_krylov_norms", sql=f"SELECT vec_id, round(size, 5) AS size FROM ({_SCALED_NORMS})")
+def pca_krylov_norms(spark, sf_dir):
+    """All 64 components only turn the vectors: each keeps its length."""
+    return _projected(spark, sf_dir, 64)[0].select("vec_id", F.round(_square("pc"), 5).alias("size"))
+
+
+@query(
+    "pca_krylov_variance",
+    sql=f"""
+    SELECT k::INTEGER AS k, count(*) AS n, round(sum(size), 3) AS total, round(sum(size), 3) AS split_total, k AS n_ratios, TRUE AS ratios_fit
+    FROM ({_SCALED_NORMS}), (SELECT unnest([30, 50, 64])::INTEGER AS k) GROUP BY k
+    """,
+)
+def pca_krylov_variance(spark, sf_dir):
+    """What k components hold and what they leave add up to all; the ratios are the held shares, in falling order."""
+    rows = []
+    for k in (30, 50, 64):
+        out, pca = _projected(spark, sf_dir, k)
+        matrix, ratios = pca.pc.toArray(), pca.explainedVariance.toArray()
+        back = F.array(*[F.aggregate(F.zip_with("pc", F.array(*[F.lit(float(v)) for v in _signed(matrix)[i]]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) for i in range(64)])
+        left = F.zip_with("x", back, lambda a, b: a - b)
+        facts = out.select(_square("x").alias("x"), _square("pc").alias("pc"), left.alias("r")).agg(
+            F.count("*").alias("n"), F.sum("x").alias("total"), F.sum("pc").alias("held"), F.sum(_square("r")).alias("left")
+        )
+        fit = (F.abs(F.col("held") / F.col("total") - float(ratios.sum())) < 1e-9) & F.lit(bool((ratios[:-1] >= ratios[1:] - 1e-12).all()))
+        rows.append(
+            facts.select(
+                F.lit(k).alias("k"), "n", F.round("total", 3).alias("total"), F.round(F.col("held") + F.col("left"), 3).alias("split_total"),
+                F.lit(len(ratios)).alias("n_ratios"), fit.alias("ratios_fit"),
+            )
+        )
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+def _signed(matrix):
+    return matrix * ft.component_signs(matrix)
+
+
 @query(
     "scaler_without_pca",
     sql="""
