@@ -1,8 +1,8 @@
 """Two-sided p-value of the two-sample Kolmogorov-Smirnov statistic.
 
 Works on the driver on one (D, n, m) triple per compared column, after Spark has
-reduced the data to it. Up to ``EXACT_LIMIT`` rows per sample the exact distribution is
-used (lattice-path count, Hodges 1957), beyond it Kolmogorov's limit law.
+reduced the data to it. The law is the caller's choice: the exact distribution (lattice-path
+count, Hodges 1957), Kolmogorov's limit law, or "auto", exact up to ``EXACT_LIMIT`` rows per sample.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import math
 import numpy as np
 
 EXACT_LIMIT = 10_000
+LAWS = ("auto", "exact", "limit")
 _SWITCH = 1.18  # both series converge fast on their side of this point
 
 
@@ -63,9 +64,10 @@ def exact_law(d: float, n: int, m: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - inside)))
 
 
-def ks_pvalue(d: float | None, n: int, m: int) -> float | None:
+def ks_pvalue(d: float | None, n: int, m: int, law: str = "auto") -> float | None:
+    if law not in LAWS:
+        raise ValueError(f"law must be one of {LAWS}")
     if d is None or min(n, m) == 0:
         return None
-    if max(n, m) <= EXACT_LIMIT:
-        return exact_law(d, n, m)
-    return limit_law(d, n, m)
+    exact = law == "exact" or (law == "auto" and max(n, m) <= EXACT_LIMIT)
+    return exact_law(d, n, m) if exact else limit_law(d, n, m)

@@ -247,14 +247,18 @@ def ks_statistic(
     columns: Sequence[str] | None = None,
     direct_rows: int = KS_DIRECT_ROWS,
     bucket_rows: int = KS_BUCKET_ROWS,
+    law: str = "auto",
 ) -> DataFrame:
-    """(feature, d, n_ref, n_prod, p_value): the largest gap of the two ECDFs."""
+    """(feature, d, n_ref, n_prod, p_value): the largest gap of the two ECDFs.
+
+    ``law`` of the p-value: "exact", "limit", or "auto", exact up to 10 000 rows per side.
+    """
     columns = _check(reference, production, columns, "ks")
     both = _both(reference, production, columns)
-    return _ks(both, profile_sides(both, columns), direct_rows, bucket_rows)
+    return _ks(both, profile_sides(both, columns), direct_rows, bucket_rows, law)
 
 
-def _ks(both, profiles, direct_rows=KS_DIRECT_ROWS, bucket_rows=KS_BUCKET_ROWS) -> DataFrame:
+def _ks(both, profiles, direct_rows=KS_DIRECT_ROWS, bucket_rows=KS_BUCKET_ROWS, law="auto") -> DataFrame:
     sizes = local_frame(
         both.sparkSession,
         [(c, i, *p.n) for i, (c, p) in enumerate(profiles.items())],
@@ -268,7 +272,7 @@ def _ks(both, profiles, direct_rows=KS_DIRECT_ROWS, bucket_rows=KS_BUCKET_ROWS)
     # one row per feature comes back; the p-value is a function of scalars
     d = {r["f"]: r["d"] for r in union_all(gaps).collect()} if gaps else {}
     rows = [
-        (c, *p.n, d.get(i), ks_pvalue(d.get(i), *p.n)) for i, (c, p) in enumerate(profiles.items())
+        (c, *p.n, d.get(i), ks_pvalue(d.get(i), *p.n, law)) for i, (c, p) in enumerate(profiles.items())
     ]
     return local_frame(
         both.sparkSession,
@@ -438,12 +442,13 @@ def drift(
     threshold: float = DEFAULT_THRESHOLD,
     bins: int = DEFAULT_BINS,
     model=None,
+    law: str = "auto",
 ) -> DataFrame:
     """Detail table, one row per feature: score, flag, means and stds.
 
     ``model`` is an optional fitted preprocessor applied to both sides first. With ``ks``
     the score is 1 - p; with the default threshold that flags p < 0.75, so
-    pass a threshold of 0.95 or more to agree with the severity ladder.
+    pass a threshold of 0.95 or more to agree with the severity ladder. ``law`` is that of ``ks_statistic``.
     """
     if method not in METHODS:
         raise ValueError(f"method '{method}' is not supported, use one of {METHODS}")
@@ -459,7 +464,7 @@ def drift(
         both = _both(reference, production, columns)
     profiles = profile_sides(both, columns)
     if method == "ks":
-        scores = _ks(both, profiles).select("feature", (1 - F.col("p_value")).alias("score"))
+        scores = _ks(both, profiles, law=law).select("feature", (1 - F.col("p_value")).alias("score"))
     else:
         shares = _shares(both, profiles, bins)
         scores = _psi(shares) if method == "psi" else _js(shares)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, local_frame
+from ..sources.commits import Commits
 
 RUN_SCHEMA = T.StructType(
     [
@@ -78,8 +79,12 @@ def append_run(
     return run_id
 
 
-def append_runs(runs: DataFrame, path: str) -> None:
-    """Append many run rows; params and metrics are cleaned on the way."""
+def append_runs(runs: DataFrame, path: str) -> int:
+    """Append many run rows in one commit; params and metrics are cleaned on the way.
+
+    A run id that is already there is not added again, so a repeated append changes nothing. Returns how
+    many runs were added. Batches are merged as they become many.
+    """
     ready = runs.select(
         "run_id",
         "run_name",
@@ -89,7 +94,8 @@ def append_runs(runs: DataFrame, path: str) -> None:
         clean_metrics("metrics").alias("metrics"),
         "tags",
     )
-    ready.write.mode("append").parquet(path)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in RUN_SCHEMA])
+    return Commits(runs.sparkSession, path).append(ready.to(nullable), "run_id")
 
 
 def log_metrics(run_id: str | None, metrics: Mapping, step: int | None = None) -> list[tuple]:
@@ -108,7 +114,12 @@ def log_metrics(run_id: str | None, metrics: Mapping, step: int | None = None) -
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    """All committed runs; a folder without commits is read as plain Parquet files."""
+    commits = Commits(spark, path)
+    number, folders = commits.live()
+    if not number:
+        return spark.read.schema(RUN_SCHEMA).parquet(path)
+    return commits.read(RUN_SCHEMA, folders)
 
 
 def _order(entry: str):

@@ -6,6 +6,7 @@ import hashlib
 import math
 import traceback
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -18,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import col, numeric_columns
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from .boosting import BoostedOneVsRest
 from .evaluate import metrics, pair_counts
-from .features import explained_variance, label_indexer, pca_stage, preprocessing
+from .features import FEATURES, explained_variance, label_indexer, pca_stage, preprocessing
 from .softmax import SoftmaxBoost
 from .split import SEED, mark_test, stratified_folds
 
@@ -287,6 +288,47 @@ DEFAULT_GRID: list[dict] = [
 ]
 
 
+VALID_SIZE = 0.2
+BOOSTED = ("gbt", "softmax")
+
+
+@dataclass
+class _Prepared:
+    number: int
+    model: PipelineModel
+    train: DataFrame
+    test: DataFrame
+
+
+class _Preparations:
+    """The distinct beginnings of a grid's pipelines, each fitted and applied when first asked for."""
+
+    def __init__(self, train, test, label, key, columns, configs, seed):
+        self.label, self.columns, self.test = label, columns, test
+        sizes = sorted({c.get("valid_size", VALID_SIZE) for c in configs if c.get("model_type") in BOOSTED})
+        #: column that marks the validation rows, per share
+        self.marks = {size: f"__validation{i}" for i, size in enumerate(sizes)}
+        for size, mark in self.marks.items():
+            train = mark_test(train, label, key, size, f"{seed}|validation", out=mark)
+        self.train = train
+        self.made: dict[tuple, _Prepared] = {}
+
+    def get(self, use_pca: bool, k: int) -> _Prepared:
+        name = (True, k) if use_pca else (False,)
+        if name not in self.made:
+            stages = [label_indexer(self.label, LABEL_CODE), *preprocessing(self.columns, use_pca, k).getStages()]
+            model = fit_spread(Pipeline(stages=stages), self.train, [*self.columns, self.label])
+            parts = [self._written(model.transform(rows), marks) for rows, marks in ((self.train, self.marks.values()), (self.test, []))]
+            self.made[name] = _Prepared(len(self.made) + 1, model, *parts)
+        return self.made[name]
+
+    def _written(self, rows: DataFrame, marks) -> DataFrame:
+        path = scratch_path(rows.sparkSession, "prepared")
+        narrow = rows.select(FEATURES, LABEL_CODE, *marks)
+        narrow.write.parquet(path)
+        return rows.sparkSession.read.schema(narrow.schema).parquet(path)
+
+
 def run_grid(
     train: DataFrame,
     test: DataFrame,
@@ -302,9 +344,14 @@ def run_grid(
     Returns run rows: run_id, run_name, params, metrics of train and test rows, tags
     (``runs.append_runs`` keeps them). Boosting stops
     early on part of the training rows, never on the test rows.
+
+    Label codes, scaler and PCA are fitted once for all configurations that share
+    them (tag ``preparation``); their output is written once, and the classifiers
+    are trained and tested on that table.
     """
     ensure_checkpoint_dir(train.sparkSession)
     columns = list(columns or numeric_columns(train, [label, *key]))
+    shared = _Preparations(train, test, label, key, columns, configs, seed)
     rows = []
     for number, config in enumerate(configs, 1):
         params = {**{k: str(v) for k, v in config.items()}, "random_state": str(seed)}
@@ -312,18 +359,22 @@ def run_grid(
         scores: dict[str, float] = {}
         try:
             options = dict(config)
-            kind = options.pop("model_type")
-            if kind in ("gbt", "softmax"):
-                model = fit_with_validation(train, label, key, columns, seed=seed, model_type=kind, **options)
-            else:
-                estimator = full_pipeline(columns, label, kind, seed=seed, **options)
-                model = fit_spread(estimator, train, [*columns, label])
+            kind, size = options.pop("model_type"), options.pop("valid_size", VALID_SIZE)
+            use_pca, k = options.pop("use_pca", False), options.pop("k", 50)
+            if kind in BOOSTED:
+                options["validation_col"] = shared.marks[size]
+            stage = model_stage(kind, seed=seed, **options)
+            ready = shared.get(use_pca, k)
+            tags["preparation"] = str(ready.number)
+            fitted = fit_spread(stage, ready.train, [FEATURES, LABEL_CODE, *shared.marks.values()])
+            model = PipelineModel([*ready.model.stages, fitted])
             if pca_stage(model) is not None:
                 total = explained_variance(model, train.sparkSession).agg(F.max("cumulative")).first()[0]
                 params["pca_explained_variance"] = str(total)
-            for part, rows_of in (("train", train), ("test", test)):
-                found = metrics(pair_counts(model.transform(rows_of), LABEL_CODE, "prediction")).first().asDict()
+            for part, rows_of in (("train", ready.train), ("test", ready.test)):
+                found = metrics(pair_counts(fitted.transform(rows_of), LABEL_CODE, "prediction")).first().asDict()
                 scores |= {f"{part}_{k}": float(v) for k, v in found.items() if k != "n" and v is not None}
+                params[f"n_{part}"] = str(found["n"] or 0)
             tags["status"] = "completed"
             if on_model is not None:
                 on_model(number, config, model)

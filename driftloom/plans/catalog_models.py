@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 from ..streaming.scoring import read_stream
 from ..streaming.scoring import score_stream as start_scoring
+from ..streaming.scoring import score_stream_checked
 from .jobs import performance_runs, pipeline_job, predict_table, reproducibility_job, track_training, train_model
 from .registry import LINE_KEY, MEASURES, query, rounded, table
 
@@ -403,6 +404,71 @@ def run_grid_learns_class(spark, sf_dir):
     )
 
 
+_TEST_ROWS = f"SELECT {LINE_CLASS} AS c, count(*) AS n, floor(count(*) * 0.2 + 0.5)::BIGINT AS test FROM lineitem GROUP BY 1"
+
+# the default grid in small: its eleven configurations share three preparations
+_SMALL_GRID = [{**c, **({"k": {50: 2, 30: 1}[c["k"]]} if "k" in c else {}), **({"n_trees": 5} if "n_trees" in c else {"n_rounds": 2})} for c in tr.DEFAULT_GRID]
+
+
+@query(
+    "run_grid_shares_preparations",
+    sql=f"""WITH r AS ({_TEST_ROWS}), g AS (SELECT unnest([1, 1, 1, 2, 3, 1, 1, 1, 2, 1, 1])::VARCHAR AS preparation, unnest(range(1, 12)) AS i)
+    SELECT 'run' || lpad(i::VARCHAR, 3, '0') AS run_id, preparation, 'completed' AS status, sum(n - test)::VARCHAR AS n_train, sum(test)::VARCHAR AS n_test
+    FROM g, r GROUP BY ALL""",
+)
+def run_grid_shares_preparations(spark, sf_dir):
+    runs = tr.run_grid(*class_parts(spark, sf_dir), "line_class", LINE_KEY, _SMALL_GRID, LINE_FEATURES)
+    tag, param = (lambda m: lambda n: F.col(m)[n].alias(n))("tags"), (lambda m: lambda n: F.col(m)[n].alias(n))("params")
+    return runs.select("run_id", tag("preparation"), tag("status"), param("n_train"), param("n_test"))
+
+
+# every seventh line arrives without its vector, every sixth with one value too few
+_ARRIVING = "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN array(l_linenumber) ELSE array(l_linenumber, l_quantity) END"
+_PROBLEM = "CASE WHEN l_linenumber = 7 THEN 'empty' WHEN l_linenumber = 6 THEN 'expected 2 values, got 1' END"
+
+
+@query(
+    "score_stream_quarantine",
+    sql=f"""SELECT {_PROBLEM} AS problem, CASE WHEN l_linenumber < 6 THEN {LINE_CLASS} END AS prediction_label, count(*) AS n,
+            sum(l_orderkey)::BIGINT AS orders FROM lineitem GROUP BY ALL""",
+)
+def score_stream_quarantine(spark, sf_dir):
+    """Scored and quarantined rows of a stream whose batches all came twice, as after a lost checkpoint."""
+    out, bad = scratch_path(spark, "scored"), scratch_path(spark, "quarantine")
+    schema = table(spark, sf_dir, "lineitem").schema
+    for _ in range(2):
+        arriving = read_stream(spark, f"{sf_dir}/lineitem.parque[t]", schema).select(*LINE_KEY, F.expr(_ARRIVING).alias("vector"))
+        running = score_stream_checked(
+            full_forest(spark, sf_dir), arriving, out, bad, scratch_path(spark, "stream-checkpoint"), "vector", LINE_FEATURES, LINE_KEY
+        )
+        running.awaitTermination()
+    nothing = F.lit(None).cast("string")
+    scored = read_table(spark, out).select(nothing.alias("problem"), "prediction_label", "l_orderkey")
+    held = read_table(spark, bad).select("problem", nothing.alias("prediction_label"), "l_orderkey")
+    return scored.unionByName(held).groupBy("problem", "prediction_label").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("orders"))
+
+
+@query(
+    "track_learned_training",
+    sql=f"""WITH r AS ({_TEST_ROWS})
+    SELECT 'completed' AS status, sum(n - test)::VARCHAR AS n_train, sum(test)::VARCHAR AS n_test, '1' AS n_features, '3' AS n_classes,
+           CAST(1 AS DOUBLE) AS train_accuracy, CAST(1 AS DOUBLE) AS test_f1_macro, 1::BIGINT AS n_runs FROM r""",
+)
+def track_learned_training(spark, sf_dir):
+    """One tracked training of the learnable class; sizes come from the table."""
+    train, test = class_parts(spark, sf_dir)
+    runs = scratch_path(spark, "tracked")
+    track_training(spark, runs, full_forest(spark, sf_dir), train, test, "line_class", LINE_KEY, {"n_trees": 200}, "line_class", "random_forest")
+    found = rn.read_runs(spark, runs)
+    return found.select(
+        F.col("tags")["status"].alias("status"),
+        *[F.col("params")[f"n_{long}"].alias(f"n_{short}") for long, short in (("train_samples", "train"), ("test_samples", "test"), ("features", "features"), ("classes", "classes"))],
+        F.round(F.col("metrics")["train_accuracy"], 6).alias("train_accuracy"),
+        F.round(F.col("metrics")["test_f1_macro"], 6).alias("test_f1_macro"),
+        F.lit(found.count()).cast("long").alias("n_runs"),
+    )
+
+
 _PERFECT = [f"test_{m}" for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted")]
 _PERFECT += [f"test_{m}_{c}" for m in ("precision", "recall", "f1") for c in ("early", "middle", "late")]
 _PERFECT_SQL = " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(1 AS DOUBLE) AS value" for m in _PERFECT)

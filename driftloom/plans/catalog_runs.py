@@ -76,6 +76,25 @@ def runs_append(spark, sf_dir):
     )
 
 
+@query(
+    "runs_append_repeated",
+    sql=RUNS + " SELECT model_type, count(*) AS n, count(DISTINCT run_id) AS n_ids, true AS few_files FROM runs GROUP BY model_type",
+)
+def runs_append_repeated(spark, sf_dir):
+    """Every batch is appended twice, and once more with all others."""
+    path = scratch_path(spark, "runs")
+    runs = raw_runs(spark, sf_dir)
+    for part in ("< '3'", ">= '3'"):
+        for _ in range(2):
+            rn.append_runs(runs.where(f"params['model_type'] {part}"), path)
+    rn.append_runs(runs, path)
+    found = rn.read_runs(spark, path)
+    few = len(found.inputFiles()) <= 2
+    return found.groupBy(F.col("params")["model_type"].alias("model_type")).agg(
+        F.count("*").alias("n"), F.countDistinct("run_id").alias("n_ids"), F.lit(few).alias("few_files")
+    )
+
+
 @query(
     "runs_params",
     sql=RUNS

@@ -223,3 +223,15 @@ def test_drift_of_transformed_columns(spark):
     projected = [np.array([list(r) for r in ft.transform_columns(model, d).collect()]) for d in (ref, prod)]
     for i, r in enumerate(detail):
         assert r["drift_score"] == pytest.approx(psi_by_hand(projected[0][:, i], projected[1][:, i]))
+
+
+def test_the_law_of_the_p_value_is_an_argument(spark):
+    a = spark.createDataFrame([(float(v),) for v in range(40)], "v double")
+    b = spark.createDataFrame([(v * 0.8 + 3.3,) for v in range(50)], "v double")
+    rows = {law: dr.ks_statistic(a, b, ["v"], law=law).first() for law in ("auto", "exact", "limit")}
+    d = rows["auto"].d
+    assert rows["auto"].p_value == rows["exact"].p_value == exact_law(d, 40, 50) != rows["limit"].p_value == limit_law(d, 40, 50)
+    score = dr.drift(a, b, ["v"], method="ks", law="limit").first().drift_score
+    assert score == pytest.approx(1 - limit_law(d, 40, 50))
+    with pytest.raises(ValueError, match="law"):
+        dr.ks_statistic(a, b, ["v"], law="other")

@@ -7,7 +7,7 @@ from driftloom.operators.features import preprocessing
 from driftloom.operators.split import stratified_split
 from driftloom.plans import jobs
 from driftloom.operators import runs as rn
-from driftloom.streaming.scoring import read_stream, score_stream
+from driftloom.streaming.scoring import read_stream, score_batch_checked, score_stream, score_stream_checked
 
 
 @pytest.fixture(scope="module")
@@ -207,3 +207,51 @@ def test_jobs_end_to_end(spark, table, tmp_path):
     tags = rn.read_runs(spark, runs).where(F.col("run_id") == drift_id).first()["tags"]
     assert tags["drift_status"] in ("detected", "no_drift") and "drift_severity" in tags
     assert spark.read.text(str(tmp_path / "d" / "summary")).first()[0].startswith('{"method":"psi"')
+
+
+def test_stream_quarantines_bad_vectors_and_repeats_add_nothing(spark, forest, table, tmp_path):
+    source, out, bad = (str(tmp_path / d) for d in ("in", "out", "bad"))
+    vector = F.array(*[F.col(c).cast("double") for c in COLUMNS])
+    rows = table.select("id", F.when(F.col("id") % 10 == 0, F.array().cast("array<double>")).when(F.col("id") % 10 == 1, F.slice(vector, 1, 1)).when(F.col("id") % 10 == 2, F.lit(None)).otherwise(vector).alias("v"))
+    rows.repartition(3).write.parquet(source)
+
+    def run(mark):
+        q = score_stream_checked(forest, read_stream(spark, source, rows.schema, files_per_batch=1), out, bad, str(tmp_path / mark), "v", COLUMNS, ["id"])
+        q.awaitTermination()
+
+    def check():
+        good, held = spark.read.parquet(out), spark.read.parquet(bad)
+        assert good.count() == good.select("id").distinct().count() == rows.where("id % 10 > 2").count()
+        assert held.count() == held.select("id").distinct().count() == rows.where("id % 10 <= 2").count()
+        assert {r.problem for r in held.select("problem").distinct().collect()} == {"empty", f"expected {len(COLUMNS)} values, got 1"}
+        assert good.select("batch_id").distinct().count() == 3
+
+    run("mark")
+    check()
+    run("mark")  # nothing new arrived
+    check()
+    run("other mark")  # every batch comes again
+    check()
+    score_batch_checked(forest, rows.where("id = 5"), 9, out, bad, "v", COLUMNS, ["id"])
+    plain = sc.score(forest, table.where("id = 5"), ["id"], model_name="random_forest").first()
+    assert spark.read.parquet(out).where("batch_id = 9").drop("batch_id").first() == plain
+
+
+def test_grid_fits_each_preparation_once(split, monkeypatch):
+    fits, plain = [], tr.preprocessing
+    monkeypatch.setattr(tr, "preprocessing", lambda columns, use_pca, k: (fits.append((use_pca, k)), plain(columns, use_pca, k))[1])
+    small = {"n_trees": 2, "max_depth": 2}
+    configs = [{"model_type": "random_forest", "use_pca": True, "k": 2, **small}, {"model_type": "random_forest", **small}]
+    configs += [{"model_type": "gbt", "n_rounds": 1, "use_pca": True, "k": 2}, {"model_type": "softmax", "n_rounds": 1, "valid_size": 0.3}]
+    configs += [{"model_type": "other"}, {"model_type": "random_forest", "use_pca": True, "k": 99, **small}]
+    models = {}
+    runs = tr.run_grid(*split, "Class", ["id"], configs, COLUMNS, on_model=lambda n, c, m: models.update({n: m}))
+    got = {r.run_id: r for r in runs.collect()}
+    assert [got[f"run{i:03d}"].tags["status"] for i in range(1, 7)] == ["completed"] * 4 + ["failed"] * 2
+    assert fits == [(True, 2), (False, 50), (True, 99)]
+    assert [got[f"run{i:03d}"].tags["preparation"] for i in range(1, 5)] == ["1", "2", "1", "2"]
+    assert got["run001"].params["n_test"] == str(split[1].count())
+    # the models handed out are whole pipelines
+    for n, m in models.items():
+        found = m.transform(split[1])
+        assert ev.metrics(ev.pair_counts(found, tr.LABEL_CODE, "prediction")).first().accuracy == got[f"run{n:03d}"].metrics["test_accuracy"]
