@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -34,16 +35,20 @@ IMPLIED_END = {
 }
 #: never part of the main text
 DROPPED_TAGS = frozenset(
-    "nav header footer aside form script style noscript iframe head template svg canvas object embed button select "
+    "nav header footer aside script style noscript iframe head template svg canvas object embed button select "
     "input textarea dialog menu search title noembed noframes math audio video".split()
 )
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
     "menu menus breadcrumb breadcrumbs header masthead footer sidebar aside rail widget widgets related recommended share "
     "sharing social cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup "
     "login search comment comments respond reply replies disqus discussion pager pagination skip toolbar".split()
 )
+#: what readers wrote; a class or id of such words and plain ones for its shape goes, whatever its size
+COMMENT_WORDS = frozenset("comment comments commentlist commentary respond reply replies disqus ugc".split())
+SHAPE_WORDS = frozenset("list section area thread threads block box wrap wrapper container user users reader readers all body item the".split())
+FORM = "#form"  # noted like a name: forms go unless they wrap the page
 SMALL = 0.2  # share of a page's text, below which a partly telling name suffices
 ENOUGH = 500  # characters that make a main text by themselves
 _MAIN = frozenset(("article", "main"))
@@ -55,6 +60,9 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:\A|[\s\"'])hidden(?=[\s=/]|\Z)", re.I)
+_COOKIES = re.compile(r"\bcookies?\b", re.I)
 _SPACES = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
@@ -86,15 +94,24 @@ def _boilerplate(node: Node, source: str) -> bool:
     own = node.parent.in_main
     if tag in DROPPED_TAGS and not (tag == "header" and own):
         return True
-    if not source or tag in ("html", "body", "main", "article"):
+    if tag == "form":
+        node.names[FORM] = True
+    if not source or tag in ("html", "body"):
         return False
     got = _attributes(source)
-    if got.get("role", "").lower() in DROPPED_ROLES or "hidden" in source.lower().split() or got.get("aria-hidden") == "true":
+    named = [_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) for name in f"{got.get('class', '')} {got.get('id', '')}".split()]
+    if any(COMMENT_WORDS.intersection(words) and COMMENT_WORDS.union(SHAPE_WORDS).issuperset(w for w in words if not w.isdigit()) for words in named):
+        return True
+    if tag in _MAIN:
+        return False
+    role = got.get("role", "").lower()
+    if role == "form":
+        node.names[FORM] = True
+    if role in DROPPED_ROLES or _HIDDEN.search(_QUOTED.sub("''", source)) or got.get("aria-hidden") == "true":
         return True
     if re.search(r"display\s*:\s*none", got.get("style", "")):
         return True
-    for name in f"{got.get('class', '')} {got.get('id', '')}".split():
-        words = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    for words in named:
         for word in words:
             if word in DROPPED_WORDS and not (own and word == "header"):  # a headline stands in the header of an article
                 node.names[word] = node.names.get(word, False) or all(w in DROPPED_WORDS for w in words)
@@ -107,6 +124,7 @@ def drop_named(root: Node) -> None:
     Text outside of links counts, of all elements with the same word together. Those where the word is part of a
     name (has-sidebar, widget-container) go if they hold less than ``SMALL`` of it. Those named by such words alone go
     if the rest has a quarter as much text as they, or ``ENOUGH`` characters. The rest must have as much after all drops too.
+    Forms are judged like those, but always go where an article or main element outside of them has text.
     """
     nodes = list(_post_order(root))
     if not any(n.names for n in nodes):
@@ -123,67 +141,98 @@ def drop_named(root: Node) -> None:
         for key in own - outer:
             held[key] = held.get(key, 0) + plain(node)
     gone = {k for k, n in held.items() if (enough(page - n, n) if k[1] else n < SMALL * page)}
+    form = (FORM, True)
+    if form in held and any(n.tag in _MAIN and n.chars and form not in above[id(n)] for n in nodes):
+        gone.add(form)
+        held.pop(form)
     named = [n for n in nodes if not gone.isdisjoint(n.names.items())]
     for node in named:
         node.drop = True
     rest = plain(measure(root)[-1])
     if not enough(rest, page - rest):
         for node in named:
-            node.drop = False
+            node.drop = form in gone and form not in held and FORM in node.names
+
+
+_CELL = frozenset(("td", "th", "table", "body"))
+
+
+class _Open:
+    """The open elements, outermost first, and where those of each kind are among them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.nodes) > place:
+            tag = self.nodes.pop().tag
+            self.at[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def first_after(self, tags, place: int) -> int:
+        """Place of the outermost open element of these tags within the one at a place; 0 if there is none."""
+        found = []
+        for t in tags:
+            places = self.at.get(t, [])
+            i = bisect.bisect_right(places, place)
+            if i < len(places):
+                found.append(places[i])
+        return min(found, default=0)
 
 
 def parse(source: str) -> Node:
-    """The element tree; unclosed and misplaced tags are mended the way browsers do for common cases."""
+    """The element tree; unclosed and misplaced tags are mended the way browsers do for common cases.
+
+    No step walks up the open elements but to close them, so the time grows with the page, however deep it nests.
+    """
     root = Node("#root", None)
-    here, at = root, 0
-    end = len(source)
+    opened, at, end = _Open(root), 0, len(source)
     while at < end:
         found = _TOKEN.search(source, at)
         if found is None:
-            here.children.append(source[at:])
+            opened.nodes[-1].children.append(source[at:])
             break
         if found.start() > at:
-            here.children.append(source[at : found.start()])
+            opened.nodes[-1].children.append(source[at : found.start()])
         at = found.end()
         tag = found[2]
         if tag is None or found[4] != ">":  # a comment, a declaration, or a tag cut off by the end of the page
             continue
         tag = tag.lower()
         if found[1]:
-            node = here
-            while node is not root and node.tag != tag:
-                if node.tag in ("td", "th", "table", "body") and tag not in BLOCKS:
-                    node = root  # an inline end tag does not reach out of a cell
-                    break
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            place = opened.last((tag,))
+            # an inline end tag does not reach out of a cell
+            if place and (tag in BLOCKS or opened.last(_CELL) <= place):
+                opened.close(place)
             continue
-        if tag in CLOSES_P:
-            node = here
-            while node is not root and node.tag != "p" and node.tag not in BLOCKS:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
+        if tag in CLOSES_P and opened.blocks and opened.nodes[opened.blocks[-1]].tag == "p":
+            opened.close(opened.blocks[-1])
         if tag in IMPLIED_END:
             ends, within = IMPLIED_END[tag]
-            node, last = here, None
-            while node is not root and node.tag not in within:
-                if node.tag in ends:
-                    last = node
-                node = node.parent
-            if last is not None:
-                here = last.parent
-        node = Node(tag, here)
+            if place := opened.first_after(ends, opened.last(within)):
+                opened.close(place)
+        node = Node(tag, opened.nodes[-1])
         node.drop = _boilerplate(node, found[3])
-        here.children.append(node)
+        opened.nodes[-1].children.append(node)
         if tag in RAW_TEXT:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = close.end() if close else end
-        elif tag not in VOID and not found[3].endswith("/"):
-            here = node
-        elif tag not in VOID:
-            here = node  # browsers ignore the slash of an ordinary element
+        elif tag not in VOID:  # browsers ignore the slash of an ordinary element
+            opened.push(node)
     return root
 
 
@@ -331,7 +380,7 @@ def blocks_of(node: Node) -> list[str]:
     run: list[str] = []
 
     def close() -> None:
-        text = _SPACES.sub(" ", html.unescape("".join(run))).strip()
+        text = _SPACES.sub(" ", "".join(run)).strip()
         run.clear()
         if text:
             out.append(text)
@@ -342,7 +391,7 @@ def blocks_of(node: Node) -> list[str]:
         if item is None:
             close()
         elif isinstance(item, str):
-            run.append(item)
+            run.append(html.unescape(item))  # a reference lies within one text node
         elif not item.drop:
             block = item.tag in BLOCKS or item.parent is None
             if block:
@@ -355,13 +404,20 @@ def blocks_of(node: Node) -> list[str]:
     return out
 
 
+def _is_notice(node: Node, blocks: list[str], page: int) -> bool:
+    """Whether a small subtree outside of article and main speaks of cookies."""
+    return not node.in_main and sum(map(len, blocks)) < SMALL * page and any(_COOKIES.search(b) for b in blocks)
+
+
 def main_text(source: str | None) -> str:
     """The main text of a page, one line per block; empty if there is none."""
     if not source:
         return ""
     root = parse(source)
     drop_named(root)
-    return "\n".join(b for node in select(root) for b in blocks_of(node))
+    chosen = [(node, blocks_of(node)) for node in select(root)]
+    page = sum(len(b) for _, blocks in chosen for b in blocks)
+    return "\n".join(b for node, blocks in chosen if not _is_notice(node, blocks, page) for b in blocks)
 
 
 def _extractor(html_at: int):

@@ -1,5 +1,7 @@
 import html
+import math
 import re
+import time
 
 import pytest
 
@@ -78,6 +80,122 @@ def test_names_of_many_small_wrappers_and_of_true_boilerplate():
     assert got == "\n".join(f"Part {i} of a text that is dealt to many small wrappers." for i in range(12))
 
 
+WORDS = "Plain words of an article that go on for a while, as they do."
+
+
+def test_hidden_is_an_attribute_not_a_word():
+    assert html_text.main_text(f'<body><div class="x hidden y">{PARA}</div></body>') == WORDS
+    assert html_text.main_text(f"<body><div class=hidden title='a hidden b'>{PARA}</div></body>") == WORDS
+    for hidden in ("hidden", 'class="a" hidden', 'hidden=""', "HIDDEN", "id='x'hidden"):
+        assert html_text.main_text(f"<body><div {hidden}><p>Not shown to anyone who reads.</p></div><div>{PARA}</div></body>") == WORDS
+
+
+def test_forms_go_unless_they_wrap_the_page():
+    fields = "<form><p>Tell us your name and your address and whatever else there is to tell.</p><input></form>"
+    assert html_text.main_text(f'<body><form id="aspnetForm"><div>{PARA * 3}</div></form></body>') == "\n".join([WORDS] * 3)
+    assert html_text.main_text(f'<body><form id="aspnetForm"><nav>N</nav><article>{PARA}</article></form></body>') == WORDS
+    assert html_text.main_text(f"<body><article>{PARA * 2}{fields}</article></body>") == "\n".join([WORDS] * 2)
+    assert html_text.main_text(f"<body><article><p>One short sentence.</p></article>{fields * 3}</body>") == "One short sentence."
+    assert html_text.main_text(f"<body><div>{PARA * 4}</div>{fields}</body>") == "\n".join([WORDS] * 4)
+
+
+@pytest.mark.parametrize("name", ['class="comments"', 'id="comments"', 'class="comment-list"', 'class="ugc"', 'id="disqus_thread"', 'class="user-comments"', 'class="x" id="respond"'])
+@pytest.mark.parametrize("tag", ["div", "section", "ul", "article"])
+def test_reader_comments_go_whatever_their_size(name, tag):
+    many = "<p>I have read this and think that it is very good indeed, thank you.</p>" * 8
+    assert html_text.main_text(f"<body><article><p>One short sentence.</p></article><{tag} {name}>{many}</{tag}></body>") == "One short sentence."
+    assert html_text.main_text(f"<body><article><p>One short sentence.</p><{tag} {name}>{many}</{tag}></article></body>") == "One short sentence."
+
+
+def test_wrappers_named_after_comments_stay():
+    for name in ('class="has-comments"', 'class="no-comments layout"', 'id="comments-open"'):
+        assert html_text.main_text(f"<body><div {name}>{PARA * 3}</div></body>") == "\n".join([WORDS] * 3)
+
+
+def test_cookie_notices_without_a_name():
+    notice = "<div><p>We use cookies to give you the best of this site.</p></div>"
+    assert html_text.main_text(f"<body>{notice}<div>{PARA * 9}</div></body>") == "\n".join([WORDS] * 9)
+    baked = "<article><p>Two cookies a day are enough.</p></article>"
+    assert html_text.main_text(f"<body>{baked}</body>") == "Two cookies a day are enough."
+
+
+def test_references_are_decoded_within_a_text_node():
+    assert html_text.main_text("<article><p>&am<b>p;</b> &amp;lt; &lt;b&gt; &#x41;&eacute;</p></article>") == "&amp; &lt; <b> Aé"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><p>x</p>" + "<b>" * 20_000 + "</i>" * 20_000,
+        "<article><p>x</p><i><table><tr><td>" + "<b>" * 20_000 + "</i>" * 20_000,
+        "<article><p>x</p>" + "<b><li>" * 20_000,
+        "<article><p>x</p>" + "<span>" * 20_000 + "<div><span>" * 20_000,
+        "<b>" * 300_000 + "x",
+        "<table>" + "<tr><td>x" * 50_000,
+    ],
+)
+def test_time_grows_with_the_page(page):
+    began = time.process_time()
+    assert "x" in html_text.main_text(page)
+    assert time.process_time() - began < 6
+
+
+def plain_densities(root):
+    """Composite text density and sums, each node from its own subtree alone."""
+    out = {}
+
+    def parts(node):
+        kids = [c for c in node.children if isinstance(c, html_text.Node) and not c.drop]
+        chars = sum(len(c) for c in node.children if isinstance(c, str) and not c.isspace())
+        tags = links = link_tags = 0
+        for kid in kids:
+            c, t, x, y = parts(kid)
+            chars, tags, links, link_tags = chars + c, tags + t + 1, links + x, link_tags + y + (kid.tag in ("a", "button"))
+        return chars, tags, chars if node.tag == "a" else links, link_tags
+
+    whole = parts(root)
+    share = whole[2] / max(whole[0], 1)
+
+    def density(node):
+        chars, tags, links, link_tags = parts(node)
+        tags = max(tags, 1)
+        if not links:
+            return chars / tags
+        base = math.log(chars / max(chars - links, 1) * links + share * chars + math.e)
+        value = chars / links * tags / max(link_tags, 1)
+        return chars / tags * (math.log(value) / math.log(base) if value > 0 and base > 1 + 1e-9 else 1.0)
+
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        kids = [c for c in node.children if isinstance(c, html_text.Node) and not c.drop]
+        out[id(node)] = (density(node), sum(density(k) for k in kids) + sum(len(c) for c in node.children if isinstance(c, str) and not c.isspace()))
+        stack += kids
+    return out
+
+
+def test_densities_of_pages_against_plain_ones(spark):
+    """Every page of the smallest table: densities, sums, core and threshold from their definition."""
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        root = html_text.parse(r.html or "")
+        html_text.drop_named(root)
+        nodes, want = html_text.measure(root), plain_densities(root)
+        assert len(nodes) == len(want)
+        for node in nodes:
+            assert (node.density, node.density_sum) == pytest.approx(want[id(node)], rel=1e-9, abs=1e-9)
+        core = max((n for n in nodes if n.chars), key=lambda n: n.density_sum)
+        low, node = core.density, core
+        while node is not None and node.tag not in ("html", "#root"):
+            low, node = min(low, want[id(node)][0]), node.parent
+        # all text of the core is in the result, and what is chosen outside of article and main reaches the threshold
+        chosen = html_text.select(root)
+        kept = {id(n) for c in chosen for n in html_text._post_order(c)}
+        assert id(core) in kept
+        for node in chosen:
+            if not node.in_main and node.tag != "#run":
+                assert any(want[id(n)][0] >= low for n in html_text._post_order(node) if id(n) in want)
+
+
 def test_all_pages(spark):
     """The pages of the table keep their text in one article element; any text outside of it is not the article's."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
