@@ -16,6 +16,7 @@ BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
 TRUSTED_ROWS = 20_000
 THRESHOLD = -0.25
+RATIO_BITS = 32
 MIN_WORDS = 10
 MAX_REPEATED = 20  # percent of the words
 REPEAT_WIDTH = 5
@@ -80,15 +81,20 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
 
 
 def ratio_scores(texts: Texts, table: np.ndarray) -> np.ndarray:
-    """Mean log ratio over all n-grams of each text; 0 for an empty one."""
-    total, count = np.zeros(len(texts)), np.zeros(len(texts))
+    """Mean log ratio over all n-grams of each text; 0 for an empty one.
+
+    Ratios are added as whole multiples of 2 ** -``RATIO_BITS``, so a text scores the same to the last bit
+    whatever texts stand beside it.
+    """
+    whole = np.rint(table * 2.0**RATIO_BITS).astype(np.int64)
+    total, count = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     for order in ORDERS:
         bucket, where = _grams(texts, order)
-        sums = np.concatenate([[0.0], np.cumsum(table[bucket])])
+        sums = np.concatenate([[0], np.cumsum(whole[bucket])])
         span = np.searchsorted(where, texts.bounds)
         total += sums[span[1:]] - sums[span[:-1]]
         count += np.diff(span)
-    return total / np.maximum(count, 1)
+    return total / 2.0**RATIO_BITS / np.maximum(count, 1)
 
 
 def base_counts(texts: Texts) -> dict[str, np.ndarray]:

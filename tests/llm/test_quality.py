@@ -55,6 +55,16 @@ def test_labelled_documents(spark):
     assert bad.where("kept").count() <= 0.02 * bad.count()
 
 
+def test_scores_do_not_depend_on_the_texts_beside(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1")
+    pick = lambda df: sorted((r.doc_id, r.llr.hex(), r.kept) for r in quality.judge_quality(df, good, keep_columns=False).collect())
+    once = pick(table.repartition(3, "source"))
+    assert once == pick(table.repartition(11)) == pick(table.orderBy("n_chars").coalesce(1))
+    alone = quality.judge_quality(table, good, keep_columns=False).where("doc_id = 5").first()
+    assert (5, alone.llr.hex(), alone.kept) in once
+
+
 def test_awkward_rows(spark):
     trusted = spark.createDataFrame([(7,), (None,)], "doc_id long")
     table = docs(spark, AWKWARD, clash=True)
