@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from .scratch import cut, in_arrow
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCK = 4096
+LANDING = 14
 SEED = 7
 _EPS = 1e-9
 
@@ -95,23 +96,34 @@ class _Flight:
         yield from ((u[0], u[1]) for u in self.open)
         self.open = []
 
-    def land(self) -> Iterator[tuple]:
-        """Take of the last units those that leave the least error in size, then in number."""
-        units, best = self.open, None
-        want = sum(u[1] * u[2] for u in units)
-        for mask in range(1 << len(units)):
-            took = [float(mask >> i & 1) for i in range(len(units))]
-            error = (abs(sum(t * u[2] for t, u in zip(took, units)) - want), abs(sum(took) - sum(u[1] for u in units)), mask)
-            if best is None or error < best[0]:
-                best = (error, took)
+    def land(self, held: list[list]) -> Iterator[tuple]:
+        """Take of the last units, the undecided and those held back, what leaves the least error in size and at most two in number."""
+        units = [*self.open, *held]
         self.open = []
-        yield from ((u[0], t) for u, t in zip(units, best[1]))
+        if not units:
+            return
+        took = (np.arange(1 << len(units))[:, None] >> np.arange(len(units))) & 1
+        chance, size = np.array([u[1] for u in units]), np.array([u[2] for u in units])
+        number = np.abs(took.sum(axis=1) - chance.sum())
+        error = np.where(number <= 2 - _EPS, np.abs(took @ size - chance @ size), np.inf)
+        best = np.lexsort((number, error))[0]  # of equal ones the first subset
+        yield from ((u[0], float(t)) for u, t in zip(units, took[best]))
 
 
 def _flown(last: bool):
     def fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Columns: block key, size, draw, probability, then whatever is carried along. Rows come sorted by block."""
-        flight, block, held = _Flight(), None, None
+        flight, block = _Flight(), None
+        waiting: list[list] = []  # of the last flight, which has no more rows than a block
+
+        def end() -> list[tuple]:
+            if not last:
+                return list(flight.rest())
+            back = set(np.linspace(0, len(waiting) - 1, min(LANDING, len(waiting))).round().astype(int).tolist())
+            done = [d for i, unit in enumerate(waiting) if i not in back for d in flight.add(*unit)]
+            done += flight.land([waiting[i] for i in sorted(back)])
+            waiting.clear()
+            return done
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*(r for r, _ in rows))) if rows else [[]] * len(schema)
@@ -126,25 +138,33 @@ def _flown(last: bool):
             columns = [c.to_pylist() for c in batch.columns]
             for row in zip(*columns):
                 if row[0] != block:
-                    done += flight.land() if last else flight.rest()
+                    done += end()
                     block = row[0]
-                if 0.0 < row[3] < 1.0:
-                    done += flight.add(row, row[3], float(row[1]), row[2])
-                else:
+                if not 0.0 < row[3] < 1.0:
                     done.append((row, row[3]))
+                    continue
+                unit = [row, row[3], float(row[1]), row[2]]
+                if last:
+                    waiting.append(unit)
+                else:
+                    done += flight.add(*unit)
             yield out(done)
         if schema is not None:
-            yield out(list(flight.land() if last else flight.rest()))
+            yield out(end())
 
     return fly
 
 
 def _fly(units: DataFrame, blocks, last: bool) -> DataFrame:
-    """One flight over (size, draw, p, source_key, ...); ``blocks``: how many streams each source is dealt to."""
+    """One flight over (size, draw, p, source_key, ...); ``blocks``: how many streams each source is dealt to.
+
+    Large documents fly first. The last flight of a source holds ``LANDING`` documents of all sizes back:
+    the landing problem is to make up with them for what the undecided ones leave open.
+    """
     keyed = units.withColumn("block", F.concat_ws(":", F.col("source_key"), F.pmod(F.xxhash64("row_hash", F.lit("block")), blocks).cast("string")))
     rest = [c for c in units.columns if c not in ("size", "draw", "p")]
     keyed = keyed.select("block", "size", "draw", "p", *rest)
-    sorted_ = keyed.repartition("block").sortWithinPartitions("block", "row_hash", "size")
+    sorted_ = keyed.repartition("block").sortWithinPartitions(F.col("block"), F.col("size") > 0, F.col("size").desc(), F.col("row_hash"))
     return in_arrow(sorted_, _flown(last), keyed.schema).select(units.columns)
 
 
@@ -169,7 +189,7 @@ def mix_sources(
     Plan: words are counted where the texts are; only ids, sizes and hashes are
     shuffled. Each source is dealt to blocks of about ``BLOCK`` rows by row hash; a
     flight over a sorted block holds three rows in memory and leaves two undecided at most. Those
-    fly again together until one block per source is left, which lands.
+    fly again together until one block per source is left, which lands with a few documents of all its sizes.
 
     Everything random is a hash of seed, id, source and text: reruns agree for any
     partitioning. Null text has size 0, a null source is a source of its own (the last), null ids

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from samples import AWKWARD, docs
 
 from driftloom.llm import mixing
@@ -87,3 +88,14 @@ def test_documents_come_as_often_as_taken(spark):
     for r in out.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_sources_come_near_their_targets_in_small_tables(spark):
+    """Within one and a half per cent: the number of documents is balanced too, which leaves few subsets where nearly all are taken."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = mixing.mix_sources(table).join(table.select("doc_id", "source"), "doc_id")
+    sums = found.groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("taken").alias("taken"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")
+    )
+    for r in sums.collect():
+        assert abs(r.taken - r.target) <= max(0.015 * r.target, 3 * r.least), r
