@@ -139,9 +139,24 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _terms(words: tuple[str, ...]) -> str:
-    inside = ", ".join(f"'{w}'" for w in words)
-    return f"len(list_filter([{inside}], lambda w: regexp_matches(low, '(^|[^a-z0-9])' || w || '($|[^a-z0-9])')))"
+def _form_owners() -> dict[str, tuple[str, bool]]:
+    """Each form of the vocabulary with its stem: shorter stems go before longer ones, strict ones before all."""
+    owners: dict[str, tuple[str, bool]] = {}
+    for stems, strict in ((urls.STRICT, True), (urls.SOFT, False)):
+        for stem in sorted(stems, key=len):
+            for ending in urls.ENDINGS:
+                owners.setdefault(stem + ending, (stem, strict))
+    return owners
+
+
+def _terms(strict: bool) -> str:
+    """How many different stems have a form in the url."""
+    forms: dict[str, list[str]] = {}
+    for form, (stem, is_strict) in _form_owners().items():
+        if is_strict == strict:
+            forms.setdefault(stem, []).append(form)
+    inside = ", ".join(f"'{'|'.join(f)}'" for f in forms.values())
+    return f"len(list_filter([{inside}], lambda w: regexp_matches(low, '(^|[^a-z0-9])(' || w || ')($|[^a-z0-9])')))"
 
 
 def _rule_cases(what: int) -> str:
@@ -160,7 +175,7 @@ WITH split AS (
     FROM pages
 )
 SELECT page_id, host, path, {_rule_cases(0)} AS rule,
-       coalesce({_rule_cases(1)}, CASE WHEN {_terms(urls.STRICT)} > 0 OR {_terms(urls.SOFT)} >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce({_rule_cases(1)}, CASE WHEN {_terms(True)} > 0 OR {_terms(False)} >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM split
 """
 

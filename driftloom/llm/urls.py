@@ -19,14 +19,25 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
+# Stems in English, German, French and Spanish; each stands for itself and with the endings below.
 #: One of these as a whole word rejects a url.
-STRICT = ("porn", "porno", "xxx", "hentai", "camgirls", "escorts", "warez", "keygen", "malware", "phishing")
+STRICT = (
+    "adult-x", "adultx", "blowjob", "camgirl", "camsex", "cracked", "escort", "erotik", "fetisch", "fetish", "gangbang", "hardcore", "hentai",
+    "hure", "keygen", "livesex", "malware", "milf", "nsfw", "nudist", "phishing", "porn", "porno", "pornografia", "pornographie", "prostituta",
+    "puta", "pute", "ransomware", "serialz", "sexcam", "sexo", "sexshop", "spyware", "stripper", "swinger", "viagra", "cialis", "warez",
+    "x-rated", "xxx",
+)
 #: So many different ones of these reject it.
 SOFT = (
-    "adult", "bet", "bonus", "buy", "casino", "cheap", "click", "coupon", "crack", "dating", "download", "free",
-    "gambling", "hot", "jackpot", "loan", "lottery", "nude", "pills", "poker", "promo", "sale", "sex", "slots",
-    "torrent", "viagra", "win",
+    "ad", "adult", "affiliate", "apuesta", "barato", "bet", "betting", "billig", "bingo", "blackjack", "bonus", "buy", "casino", "cheap", "click",
+    "comprar", "coupon", "crack", "credit", "crypto", "cupon", "dating", "descarga", "diet", "download", "earn", "erotic", "erotique", "flirt",
+    "free", "gambling", "gamble", "geld", "generic", "gewinn", "gewinnspiel", "girl", "gluecksspiel", "gratis", "gratuit", "hack", "hot", "jackpot",
+    "kasino", "kaufen", "kostenlos", "kredit", "loan", "lotterie", "lottery", "loteria", "loterie", "lotto", "mature", "nackt", "nude", "offer",
+    "pari", "payday", "pharmacy", "pill", "pillen", "pilule", "pirate", "poker", "popup", "prestamo", "pret", "prize", "promo", "rabatt",
+    "replica", "roulette", "sale", "serial", "sex", "sexy", "singles", "slot", "soldes", "spam", "spiel", "steroid", "stream", "teen", "torrent",
+    "track", "tracker", "tracking", "tragamonedas", "weightloss", "wette", "win", "winner",
 )
+ENDINGS = ("", "s", "es", "e", "n", "en")
 SOFT_LIMIT = 2
 
 
@@ -56,12 +67,13 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def automaton(strict=STRICT, soft=SOFT) -> ahocorasick.Automaton:
+def automaton(strict=STRICT, soft=SOFT, endings=ENDINGS) -> ahocorasick.Automaton:
+    """Every stem with every ending; a form that two stems share belongs to the strict one, else to the shorter one."""
     machine = ahocorasick.Automaton()
-    for word in soft:
-        machine.add_word(word, (word, False))
-    for word in strict:
-        machine.add_word(word, (word, True))
+    for stems, is_strict in ((soft, False), (strict, True)):
+        for stem in sorted(stems, key=len, reverse=True):
+            for ending in sorted(endings, key=len, reverse=True):
+                machine.add_word(stem + ending, (len(stem + ending), stem, is_strict))
     if len(machine):
         machine.make_automaton()
     return machine
@@ -77,13 +89,13 @@ def _bare(text: str, at: int) -> bool:
 
 
 def term_hits(machine: ahocorasick.Automaton, url: str) -> tuple[int, int]:
-    """Different strict and different soft terms that stand as words of their own."""
+    """Different strict and different soft stems, a form of which stands as a word of its own."""
     if not len(machine):
         return 0, 0
     text, strict, soft = _ascii_lower(url), set(), set()
-    for last, (word, is_strict) in machine.iter(text):
-        if _bare(text, last + 1) and _bare(text, last - len(word)):
-            (strict if is_strict else soft).add(word)
+    for last, (length, stem, is_strict) in machine.iter(text):
+        if _bare(text, last + 1) and _bare(text, last - length):
+            (strict if is_strict else soft).add(stem)
     return len(strict), len(soft)
 
 
@@ -109,7 +121,7 @@ def judge_urls(
     """All columns of ``pages``, then host, path, rule, n_strict, n_soft and verdict (allow or block).
 
     The longest fitting rule decides. Without one, a url is blocked if it holds one strict term or
-    ``soft_limit`` different soft terms; a term counts where neither side
+    ``soft_limit`` different soft terms; a term counts, bare or with one of ``ENDINGS``, where neither side
     has an ASCII letter or digit. One scan, no shuffle; vocabulary and rules are parameters
     and travel with the tasks.
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from driftloom.llm import urls
@@ -44,3 +46,24 @@ def test_overlapping_terms_count_once_each():
     machine = urls.automaton(("ab-cd",), ("ab", "cd", "ab-c"))
     assert urls.term_hits(machine, "x/AB-cd/ab") == (1, 2)
     assert urls.term_hits(urls.automaton((), ()), "ab") == (0, 0)
+
+
+def test_planted_hosts_are_blocked_and_others_left_alone(spark):
+    """Without a rule: hosts of bets, adult pages, casinos and pills go, all invented ones stay."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    rows = [r for r in urls.judge_urls(pages).collect() if r.rule is None]
+    bad = [r for r in rows if re.search(r"free-bets|adult-x|casino-win|cheap-pills", r.host)]
+    others = [r for r in rows if "-" not in r.host]
+    assert len(bad) > 30 and len(others) > 300
+    assert all(r.verdict == "block" for r in bad)
+    assert all(r.verdict == "allow" for r in others)
+    assert any(r.n_strict for r in bad)
+
+
+def test_forms_of_a_stem_count_once():
+    machine = urls.automaton()
+    assert urls.term_hits(machine, "http://x.net/bet/bets") == (0, 1)
+    assert urls.term_hits(machine, "http://x.net/billige-pillen") == (0, 2)
+    assert urls.term_hits(machine, "http://x.net/apuestas?cupones=1") == (0, 2)
+    assert urls.term_hits(machine, "http://x.net/Escorts") == (1, 0)
+    assert urls.term_hits(machine, "http://x.net/alphabets/therapists/analysis/freedom/winning") == (0, 0)
