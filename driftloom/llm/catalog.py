@@ -60,41 +60,56 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations 2k (chosen) and 2k + 1 (rejected) form pair k."""
-    turns = table(spark, sf_dir, "conversations")
-    paired = turns.select(
-        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "conv_id", "turn", "role", "text"
-    )
-    made = chat.format_preferences(paired)
-    trained = lambda c: F.aggregate(F.filter(c, lambda s: s["train"]), F.lit(0).cast("long"), lambda n, s: n + F.length(s["text"]))
+    """Pair k: conversation 2k, and the same with the last answer of conversation 2k + 1 in place of its own; masks as start:end of trained parts."""
+    made = chat.format_preferences(chat.answer_pairs(table(spark, sf_dir, "conversations")))
+    mask = lambda c: F.array_join(F.transform(chat.spans(F.col(c)), lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return made.select(
         "pair_id", "chosen_id", "rejected_id", "n_common", "prompt", "chosen", "rejected",
-        trained("chosen_segments").alias("chosen_trained"), trained("rejected_segments").alias("rejected_trained"),
+        mask("chosen_segments").alias("chosen_mask"), mask("rejected_segments").alias("rejected_mask"),
     )
 
 
 ORACLES["op3_preferences"] = """
-WITH turns AS (
-    SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+WITH base AS (
+    SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS odd, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
     FROM conversations WHERE conv_id IS NOT NULL
+), answers AS (
+    SELECT pair_id, odd, turn, text FROM base WHERE role = 'assistant'
+    QUALIFY row_number() OVER (PARTITION BY pair_id, odd ORDER BY turn DESC NULLS LAST, text DESC) = 1
+), ends AS (
+    SELECT pair_id, o.pair_id IS NOT NULL AS answered, o.turn AS own_turn, o.text AS own_text, a.text AS other_text, a.turn AS other_turn,
+           (SELECT max(turn) FROM base WHERE odd = 0 AND base.pair_id = a.pair_id) AS last_turn
+    FROM (SELECT * FROM answers WHERE odd = 1) a LEFT JOIN (SELECT * FROM answers WHERE odd = 0) o USING (pair_id)
+), turns AS (
+    SELECT pair_id, 0 AS side, pair_id * 2 AS conv_id, turn, role, text FROM base WHERE odd = 0
+    UNION ALL
+    SELECT pair_id, 1, pair_id * 2 + 1, turn, role, text FROM base JOIN ends USING (pair_id)
+    WHERE odd = 0 AND (NOT answered OR turn < own_turn OR (turn = own_turn AND (role < 'assistant' OR (role = 'assistant' AND text < own_text))))
+    UNION ALL
+    SELECT pair_id, 1, pair_id * 2 + 1, CASE WHEN answered THEN own_turn ELSE coalesce(last_turn + 1, other_turn) END, 'assistant', other_text FROM ends
 ), placed AS (
     SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS pos,
            '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
-    FROM turns
+    FROM (SELECT DISTINCT * FROM turns)
 ), met AS (
     SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos,
            coalesce(a.role = b.role AND a.text = b.text, false) AS same
     FROM (SELECT * FROM placed WHERE side = 0) a FULL JOIN (SELECT * FROM placed WHERE side = 1) b ON a.pair_id = b.pair_id AND a.pos = b.pos
 ), common AS (
     SELECT pair_id, coalesce(min(pos) FILTER (NOT same) - 1, count(*)) AS n_common FROM met GROUP BY 1
+), rest AS (
+    SELECT *, sum(CASE WHEN pos > n_common THEN length(shown) ELSE 0 END) OVER (PARTITION BY pair_id, side ORDER BY pos) AS ends_at
+    FROM placed JOIN common USING (pair_id)
+), marked AS (
+    SELECT *, pos > n_common AS own, pos > n_common AND role = 'assistant' AS train, (ends_at - length(shown)) || ':' || ends_at AS span FROM rest
 )
 SELECT pair_id, min(conv_id) FILTER (side = 0) AS chosen_id, min(conv_id) FILTER (side = 1) AS rejected_id, n_common,
-       coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos <= n_common), '') AS prompt,
-       CASE WHEN count(*) FILTER (side = 0) > 0 THEN coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos > n_common), '') END AS chosen,
-       CASE WHEN count(*) FILTER (side = 1) > 0 THEN coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 1 AND pos > n_common), '') END AS rejected,
-       CASE WHEN count(*) FILTER (side = 0) > 0 THEN coalesce(sum(length(shown)) FILTER (side = 0 AND pos > n_common AND role = 'assistant'), 0)::BIGINT END AS chosen_trained,
-       CASE WHEN count(*) FILTER (side = 1) > 0 THEN coalesce(sum(length(shown)) FILTER (side = 1 AND pos > n_common AND role = 'assistant'), 0)::BIGINT END AS rejected_trained
-FROM placed JOIN common USING (pair_id) GROUP BY pair_id, n_common
+       coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND NOT own), '') AS prompt,
+       CASE WHEN count(*) FILTER (side = 0) > 0 THEN coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND own), '') END AS chosen,
+       CASE WHEN count(*) FILTER (side = 1) > 0 THEN coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 1 AND own), '') END AS rejected,
+       CASE WHEN count(*) FILTER (side = 0) > 0 THEN coalesce(string_agg(span, ',' ORDER BY pos) FILTER (side = 0 AND train), '') END AS chosen_mask,
+       CASE WHEN count(*) FILTER (side = 1) > 0 THEN coalesce(string_agg(span, ',' ORDER BY pos) FILTER (side = 1 AND train), '') END AS rejected_mask
+FROM marked GROUP BY pair_id, n_common
 """
 
 

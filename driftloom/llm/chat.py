@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,55 @@ def _segments(turns: Column, trained_role: str) -> Column:
     return F.transform(turns, lambda t: F.struct(render(t).alias("text"), (t["role"] == trained_role).alias("train")))
 
 
+def spans(segments: Column) -> Column:
+    """The trained parts of a completion: an array of (start, end) in code points, end exclusive."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("found"))
+
+    def add(s: Column, x: Column) -> Column:
+        end = s["at"] + F.length(x["text"])
+        here = F.array(F.struct(s["at"].alias("start"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(x["train"], F.concat(s["found"], here)).otherwise(s["found"]).alias("found"))
+
+    return F.aggregate(segments, start, add, lambda s: s["found"])
+
+
+def answer_pairs(turns: DataFrame, answer_role: str = "assistant") -> DataFrame:
+    """Turns (pair_id, chosen, conv_id, turn, role, text) of pairs that differ in their last answer, from (conv_id, turn, role, text).
+
+    Pair k: the chosen side is conversation 2k; the rejected side has its turns before its last answer, then the last
+    answer of conversation 2k + 1, whose id it carries. Turns go by number (null first), then role, then text; null role and text are empty. Where 2k + 1 has no
+    answer the rejected side has no turns; where 2k has none, the answer follows its last turn. Rows with a
+    null conv_id are left out, further columns ignored.
+
+    Windows by pair_id, so that the pairing and ``format_preferences`` share one shuffle.
+    """
+    t = F.struct(F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.where("conv_id is not null").select(
+        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("first"), "conv_id", t.alias("t")
+    )
+    pair = Window.partitionBy("pair_id")
+    answer = F.col("t.role") == answer_role
+    seen = rows.select(
+        "*",
+        F.max(F.when(F.col("first") & answer, F.col("t"))).over(pair).alias("own"),
+        F.max(F.when(~F.col("first") & answer, F.col("t"))).over(pair).alias("other"),
+        F.max(F.when(F.col("first"), F.col("t.turn"))).over(pair).alias("last"),
+    )
+
+    def side(chosen: bool, conv_id: Column, turn: Column) -> Column:
+        return F.struct(F.lit(chosen).alias("chosen"), conv_id.alias("conv_id"), turn.alias("turn"))
+
+    place = F.when(F.col("own").isNotNull(), F.col("own.turn")).otherwise(F.coalesce(F.col("last") + 1, F.col("t.turn")))
+    before = F.col("other").isNotNull() & (F.col("own").isNull() | (F.col("t") < F.col("own")))
+    kept = side(True, F.col("conv_id"), F.col("t.turn"))
+    sides = (
+        F.when(F.col("first") & before, F.array(kept, side(False, F.col("conv_id") + 1, F.col("t.turn"))))
+        .when(F.col("first"), F.array(kept))
+        .when(F.col("t") == F.col("other"), F.array(side(False, F.col("conv_id"), place)))
+    )
+    return seen.select("pair_id", "t", F.explode(sides).alias("s")).select("pair_id", "s.chosen", "s.conv_id", "s.turn", "t.role", "t.text")
+
+
 def format_preferences(turns: DataFrame, trained_role: str = "assistant") -> DataFrame:
     """One row per pair from turns (pair_id, chosen, conv_id, turn, role, text).
 

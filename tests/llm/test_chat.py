@@ -1,4 +1,6 @@
-from driftloom.llm import chat
+from pyspark.sql import functions as F
+
+from driftloom.llm import catalog, chat
 
 SCHEMA = "pair_id long, chosen boolean, conv_id long, turn long, role string, text string, a string, n_common string"
 
@@ -41,6 +43,42 @@ def test_awkward_rows(spark):
     assert chat.format_preferences(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+TURNS = "conv_id long, turn long, role string, text string, chosen string, t string"
+
+
+def paired(spark, rows):
+    return chat.answer_pairs(spark.createDataFrame([(*r, "x", "y") for r in rows], TURNS))
+
+
+def test_pairs_share_their_turns_up_to_the_last_answer(spark):
+    talk = [("system", "be kind"), ("user", "hi"), ("assistant", "hello"), ("user", "more"), ("assistant", "good"), ("user", "bye")]
+    rows = [(2, i, *t) for i, t in enumerate(talk)]
+    rows += [(3, 0, "user", "other"), (3, 1, "assistant", "bad")]
+    rows += [(4, 0, "user", "q"), (5, 0, "assistant", "a")]  # no own answer: the other one follows
+    rows += [(6, 0, "user", "q"), (6, 1, "assistant", "a"), (7, 0, "user", "no answer"), (9, 4, "assistant", "alone"), (None, 0, "user", "x")]
+    rows += [(10, 0, "user", "q"), (10, 1, "assistant", "same"), (11, 1, "assistant", "same")]
+    rows += [(12, 0, "assistant", None), (13, None, "assistant", "n"), (13, None, "assistant", "n")]
+    pairs = paired(spark, rows)
+    got = {r.pair_id: r for r in chat.format_preferences(pairs).withColumn("mask", chat.spans(F.col("chosen_segments"))).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+    r = got[1]
+    assert (r.chosen_id, r.rejected_id, r.n_common) == (2, 3, 4)
+    assert r.prompt == "".join(show(*t) for t in talk[:4])
+    assert r.chosen == show("assistant", "good") + show("user", "bye") and r.rejected == show("assistant", "bad")
+    assert [r.chosen[a:b] for a, b in r["mask"]] == [show("assistant", "good")]
+    assert (got[2].prompt, got[2].chosen, got[2].rejected) == (show("user", "q"), "", show("assistant", "a"))
+    assert (got[3].rejected_id, got[3].rejected, got[3].n_common) == (None, None, 0)
+    assert (got[4].chosen, got[4].rejected) == (None, show("assistant", "alone"))
+    assert (got[5].n_common, got[5].chosen, got[5].rejected) == (2, "", "")
+    assert (got[6].chosen, got[6].rejected) == (show("assistant", ""), show("assistant", "n"))
+    assert paired(spark, []).count() == 0
+
+
+def test_whole_table_shares_prompts(spark):
+    made = catalog.op3_preferences(spark, "/root/testdata/sf0.1")
+    assert made.where("n_common > 0 and rejected_mask <> ''").count() > 0.8 * made.count()
+
+
 def test_no_python_runs(spark):
-    plan = chat.format_preferences(spark.createDataFrame([], SCHEMA))._jdf.queryExecution().toString()
+    plan = chat.format_preferences(paired(spark, []))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
