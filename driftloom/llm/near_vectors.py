@@ -19,6 +19,10 @@ WIDTH = 2.0  # of a quantisation cell, for vectors of length 1
 MISS = 0.02  # odds that no table joins a pair at the threshold
 EXTRA_PROJECTIONS = 3
 SEED = 5
+STRAYS_PER_BLOCK = 512
+MEMBERS_PER_PART = 8192  # so many members of a bucket go past a block in one group
+STILL_TIGHT = 4  # pivots are taken anew while they place one in so many of the open vectors
+_SLAB = 128
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -99,8 +103,8 @@ def _hasher(k: int, tables: int, width: float, seed: int):
             if out:
                 keys = np.concatenate(out).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(ids, pa.int64())), pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.ravel()))],
-                    ["id", "keys"],
+                    [*batch.take(pa.array(ids, pa.int64())).columns, pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.ravel()))],
+                    ["id", "size", "v", "keys"],
                 )
 
     return hash_
@@ -118,6 +122,151 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dots, pa.float64())], ["a", "b", "cosine"])
 
 
+class _Block:
+    """The strays of one block of a bucket, their links so far, and which of them are joined."""
+
+    def __init__(self, ids: list, clusters: list, vectors: list, keys: list, key: int, threshold: float):
+        self.ids, self.clusters = np.concatenate(ids), np.concatenate(clusters)
+        self.vectors, self.keys, self.key, self.threshold = np.concatenate(vectors), np.concatenate(keys), key, threshold
+        self.links = np.zeros(len(self.ids), np.int64)
+        self.tree = np.arange(len(self.ids))
+
+    def _met(self, clusters: np.ndarray, vectors: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of linked pairs (row, stray) of different clusters that meet in this table first."""
+        row, stray = np.nonzero(vectors @ self.vectors.T >= self.threshold)
+        apart = clusters[row] != self.clusters[stray]
+        row, stray = row[apart], stray[apart]
+        if not len(row):
+            return row, stray
+        first = (keys[row] == self.keys[stray]).argmax(axis=1)
+        here = keys[row, first] == self.key
+        return row[here], stray[here]
+
+    def _join(self, strays: np.ndarray) -> np.ndarray:
+        """One stray of each tree among these, which are one tree from now on."""
+        roots, at = np.unique(self.tree[strays], return_index=True)
+        if len(roots) > 1:
+            self.tree[np.isin(self.tree, roots)] = roots[0]
+        return strays[at]
+
+    def _edges(self, ids: np.ndarray, row: np.ndarray, stray: np.ndarray, out: tuple[list, list, list]) -> None:
+        """Of the links of each row those that join trees, and one at least."""
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        for a, b in zip(starts, np.append(starts[1:], len(row))):
+            for k in self._join(stray[a:b]):
+                out[0].append(ids[row[a]])
+                out[1].append(self.ids[k])
+                out[2].append(0)
+
+    def among_strays(self, out: tuple[list, list, list]) -> None:
+        for at in range(0, len(self.ids), _SLAB):
+            part = slice(at, at + _SLAB)
+            row, stray = self._met(self.clusters[part], self.vectors[part], self.keys[part])
+            row += at
+            row, stray = row[row < stray], stray[row < stray]
+            self.links += np.bincount(row, minlength=len(self.ids)) + np.bincount(stray, minlength=len(self.ids))
+            self._edges(self.ids, row, stray, out)
+
+    def past(self, ids: np.ndarray, clusters: np.ndarray, vectors: np.ndarray, keys: np.ndarray, out: tuple[list, list, list]) -> None:
+        for at in range(0, len(ids), _SLAB):
+            part = slice(at, at + _SLAB)
+            row, stray = self._met(clusters[part], vectors[part], keys[part])
+            row += at
+            self.links += np.bincount(stray, minlength=len(self.ids))
+            many = np.bincount(row, minlength=len(ids))
+            for i in np.flatnonzero(many):
+                out[0].append(ids[i])
+                out[1].append(None)
+                out[2].append(int(many[i]))
+            self._edges(ids, row, stray, out)
+
+    def close(self, out: tuple[list, list, list]) -> None:
+        for i in np.flatnonzero(self.links):
+            out[0].append(self.ids[i])
+            out[1].append(None)
+            out[2].append(int(self.links[i]))
+
+
+def _across(threshold: float):
+    """Counts (id, null, n) and joining links (a, b, 0) from rows sorted by (key, size, block, part, role), strays (role 0) first."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, loading, block = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            out: tuple[list, list, list] = ([], [], [])
+            places = np.stack([np.asarray(batch.column(c), np.int64) for c in range(4)])
+            role = np.asarray(batch.column(4))
+            ids, clusters = (batch.column(c).to_numpy(zero_copy_only=False) for c in (5, 6))
+            flat, keys = batch.column(7).flatten().to_numpy(), batch.column(8).flatten().to_numpy().reshape(batch.num_rows, -1)
+            ends = np.concatenate([[0], np.cumsum(places[1])])
+            changed = np.any(np.diff(places, axis=1) != 0, axis=0) | (np.diff(role) != 0)
+            starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
+            for a, b in zip(starts, np.append(starts[1:], batch.num_rows)):
+                here = tuple(places[:, a])
+                if here != group:
+                    if loading:
+                        block = _Block(*loading, group[0], threshold)
+                        if group[3] == 0:
+                            block.among_strays(out)
+                    if block:
+                        block.close(out)
+                    group, loading, block = here, None, None
+                vectors = flat[ends[a] : ends[b]].reshape(b - a, -1)
+                if role[a] == 0:
+                    loading = loading or ([], [], [], [])
+                    for held, fresh in zip(loading, (ids[a:b], clusters[a:b], vectors, keys[a:b])):
+                        held.append(fresh)
+                    continue
+                if loading:
+                    block, loading = _Block(*loading, group[0], threshold), None
+                    if group[3] == 0:
+                        block.among_strays(out)
+                if block:
+                    block.past(ids[a:b], clusters[a:b], vectors, keys[a:b], out)
+            yield _found(out, batch.schema.field(5).type)
+        if loading or block:
+            out = ([], [], [])
+            if loading:
+                block = _Block(*loading, group[0], threshold)
+                if group[3] == 0:
+                    block.among_strays(out)
+            block.close(out)
+            yield _found(out, batch.schema.field(5).type)
+
+    return compare
+
+
+def _found(out: tuple[list, list, list], kind: pa.DataType) -> pa.RecordBatch:
+    plain = lambda ids: [i.item() if isinstance(i, np.generic) else i for i in ids]
+    return pa.RecordBatch.from_arrays([pa.array(plain(out[0]), kind), pa.array(plain(out[1]), kind), pa.array(out[2], pa.int64())], ["a", "b", "n"])
+
+
+def _across_rows(placed: DataFrame, hashed: DataFrame) -> DataFrame:
+    """What is to be compared across the clusters of a bucket, as rows of groups.
+
+    The members of its largest cluster apart, the members of a bucket are strays, dealt to blocks. Past each block go the members of the largest
+    cluster and the strays of later blocks, in parts that each carry the block along; so every
+    pair meets once, rows grow with members times blocks and no group with the bucket.
+    """
+    counts = placed.groupBy("key", "cluster").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "cluster")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("clusters")).where("clusters > 1")
+    blocks = F.ceil((F.col("all") - F.col("main.n")) / STRAYS_PER_BLOCK).cast("int")
+    parts = F.ceil(F.col("all") / MEMBERS_PER_PART).cast("int")
+    mixed = placed.join(largest.select("key", F.col("main.cluster").alias("main"), blocks.alias("blocks"), parts.alias("parts")), "key")
+    hashes = F.xxhash64("id"), F.xxhash64("id", F.lit(1))
+    mixed = mixed.withColumn("own", F.when(F.col("cluster") != F.col("main"), F.pmod(hashes[0], F.col("blocks")).cast("int")))
+    mixed = cut(mixed.withColumn("part", F.pmod(hashes[1], F.col("parts")).cast("int")), "mixed")
+    strays = mixed.where("own is not null").select(
+        "key", F.col("own").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "id", "cluster"
+    )
+    past = F.when(F.col("own").isNull(), F.sequence(F.lit(0), F.col("blocks") - 1)).when(F.col("own") > 0, F.sequence(F.lit(0), F.col("own") - 1))
+    stream = mixed.select("key", F.explode(past).alias("block"), "part", F.lit(1).alias("role"), "id", "cluster")
+    rows = strays.union(stream).join(hashed, "id").select("key", "size", "block", "part", "role", "id", "cluster", "v", "keys")
+    return rows.repartition("key", "block", "part").sortWithinPartitions("key", "size", "block", "part", "role")
+
+
 def near_vectors(
     rows: DataFrame,
     id_col: str = "vec_id",
@@ -138,8 +287,10 @@ def near_vectors(
 
     In each bucket all members are first held against the smallest id. Vectors within half the threshold's angle of such a pivot
     are surely linked with one another (angles add up at most); they form a tight
-    cluster whose links are counted without a pair being made, however large it is.
-    Only pairs of a bucket from different clusters are made and checked.
+    cluster whose links are counted without a pair being made, however large it is. Members left open get new pivots
+    while these still place a good part of them. The rest of a bucket goes block by block past its members: pairs of different
+    clusters are compared in memory, in the first table that joins them, and only counts per vector and the links that join
+    components come out. A loose group, whose vectors are similar but not within half the angle, thus costs products of its square, but neither rows nor a task of that size.
 
     Null, empty and zero vectors, and those with null or non-finite components, link with nothing, nor do
     vectors of different length. Rows that share an id count as one vector (the
@@ -151,26 +302,33 @@ def near_vectors(
     single = own.where("id is not null and v is not null").groupBy("id").agg(F.max("v").alias("v"))
     vectors = cut(in_arrow(single, _cleaner, f"id {kind}, size int, v array<double>"), "vectors")
     k, tables = plan(vectors.count(), threshold)
-    keyed = in_arrow(vectors, _hasher(k, tables, WIDTH, seed), f"id {kind}, keys array<long>").select("id", F.explode("keys").alias("key"))
-    pivots = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = cut(keyed.join(pivots, "key").select("key", "id", "pivot"), "members")
+    hashed = cut(in_arrow(vectors, _hasher(k, tables, WIDTH, seed), f"id {kind}, size int, v array<double>, keys array<long>"), "hashed")
+    keyed = hashed.select("id", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = cut(keyed.join(shared, "key").select("key", "id"), "members")
 
     def checked(pairs: DataFrame) -> DataFrame:
         side = lambda c: vectors.select(F.col("id").alias(c), F.col("v").alias(f"v_{c}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "v_a", "v_b")
         return in_arrow(both, _cosines, f"a {kind}, b {kind}, cosine double")
 
-    to_pivot = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     # a little under half the angle, so that rounding never makes an unsure pair sure
     half = math.cos(math.acos(threshold) / 2) + 1e-6
-    tight = cut(checked(to_pivot).where(F.col("cosine") >= half).groupBy(F.col("b").alias("id")).agg(F.min("a").alias("cluster")), "tight")
+    tight, open_ = None, members
+    while True:
+        pivots = open_.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
+        others = open_.join(pivots, "key").where("id <> pivot")
+        to_pivot = others.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        near = cut(checked(to_pivot).where(F.col("cosine") >= half).groupBy(F.col("b").alias("id")).agg(F.min("a").alias("cluster")), "tight")
+        tight = near if tight is None else tight.union(near)
+        settled = near.select("id").union(near.select("cluster")).distinct()
+        open_ = cut(others.select("key", "id").join(settled, "id", "left_anti").select("key", "id"), "open")
+        if near.count() * STILL_TIGHT < open_.select("id").distinct().count() or open_.isEmpty():
+            break
+    tight = cut(tight, "tight")
     placed = cut(members.join(tight, "id", "left").select("key", "id", F.coalesce("cluster", "id").alias("cluster")), "placed")
-    several = placed.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("key")
-    open_ = placed.join(several, "key")
-    left = open_.select("key", F.col("id").alias("a"), F.col("cluster").alias("cluster_a"))
-    right = open_.select("key", F.col("id").alias("b"), F.col("cluster").alias("cluster_b"))
-    across = left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("cluster_a") != F.col("cluster_b")))
-    links = cut(checked(across.select("a", "b").distinct()).where(F.col("cosine") >= threshold).select("a", "b"), "links")
+    met = cut(in_arrow(_across_rows(placed, hashed), _across(threshold), f"a {kind}, b {kind}, n long"), "across")
+    links = met.where("b is not null").select("a", "b")
 
     # a pivot belongs to its own cluster unless a smaller pivot took it
     named = tight.select("id", "cluster").union(
@@ -179,7 +337,7 @@ def near_vectors(
     named = cut(named, "clusters")
     sizes = named.groupBy("cluster").agg(F.count("*").alias("size"))
     inside = named.join(sizes, "cluster").select("id", (F.col("size") - 1).alias("n"))
-    outside = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n"))
+    outside = met.where("b is null").select(F.col("a").alias("id"), "n")
     counts = inside.union(outside).groupBy("id").agg(F.sum("n").alias("n_links"))
     found = components(named.select(F.col("id").alias("a"), F.col("cluster").alias("b")).union(links))
     out = own.select("id").join(counts, "id", "left").join(found.withColumnRenamed("node", "id"), "id", "left")

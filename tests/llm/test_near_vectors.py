@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from test_near_text import groups
 
 from driftloom.llm import near_vectors
@@ -36,6 +37,68 @@ def test_links_against_brute_force(spark):
     assert found >= 0.97 * there
 
 
+def loose(n=1500, dim=64, seed=3):
+    """A group around one direction in which pairs are similar but no vector is within half the angle of many."""
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal(dim)
+    return [(i, (base + 0.19 * rng.standard_normal(dim)).astype(np.float32).astype(float).tolist()) for i in range(n)]
+
+
+def test_loose_group_is_counted_in_blocks_and_parts(spark, monkeypatch):
+    """Every link once, whatever the blocks and parts; what comes out of a block grows with its rows, not with pairs."""
+    rows = loose()
+    units = near_vectors.unit(np.array([v for _, v in rows]))
+    want = (units @ units.T >= 0.95).sum(axis=1) - 1
+    results = []
+    for strays, members in ((512, 8192), (100, 300)):
+        monkeypatch.setattr(near_vectors, "STRAYS_PER_BLOCK", strays)
+        monkeypatch.setattr(near_vectors, "MEMBERS_PER_PART", members)
+        results.append(run(spark, rows))
+    assert results[0] == results[1]
+    found, there = sum(n for n, _ in results[0].values()), int(want.sum())
+    assert there > 500_000 and 0.97 * there <= found <= there
+    assert all(n <= want[i] for i, (n, _) in results[0].items())
+    assert {c for _, c in results[0].values()} == {0}
+
+
+def test_blocks_give_every_pair_once():
+    """Rows of one bucket in several blocks and parts against plain loops."""
+    rows = loose(300, 16, 5)
+    units = near_vectors.unit(np.array([v for _, v in rows]))
+    blocks, parts = 3, 2
+    own = [None if i % 4 == 0 else i % blocks for i in range(300)]  # a quarter is the main cluster
+    cluster = [0 if o is None else i for i, o in enumerate(own)]
+    table = []
+    for i, o in enumerate(own):
+        if o is not None:
+            table += [(7, 16, o, part, 0, i, cluster[i]) for part in range(parts)]
+        table += [(7, 16, block, i % parts, 1, i, cluster[i]) for block in range(blocks if o is None else o)]
+    table.sort(key=lambda r: r[:5])
+    keys = [[1 + (r[5] % 2), 7] for r in table]  # pairs of equal parity met in an earlier table
+    columns = [pa.array(c, pa.int64()) for c in zip(*table)]
+    batch = pa.RecordBatch.from_arrays(
+        [*columns, pa.array([units[r[5]].tolist() for r in table]), pa.array(keys, pa.list_(pa.int64()))],
+        ["key", "size", "block", "part", "role", "id", "cluster", "v", "keys"],
+    )
+    want = [0] * 300
+    edges = []
+    for i in range(300):
+        for j in range(i):
+            if cluster[i] != cluster[j] and (i - j) % 2 and units[i] @ units[j] >= 0.95:
+                want[i] += 1
+                want[j] += 1
+                edges.append((j, i))
+    for size in (len(table), 37):
+        got, joined = [0] * 300, []
+        for out in near_vectors._across(0.95)(iter(batch.slice(at, size) for at in range(0, len(table), size))):
+            for a, b, n in zip(*(c.to_pylist() for c in out.columns)):
+                got[a] += n
+                joined += [] if b is None else [(a, b)]
+        assert got == want and sum(want) > 1000
+        assert groups(range(300), joined) == groups(range(300), edges)
+        assert {tuple(sorted(e)) for e in joined} <= set(edges)
+
+
 def test_whole_table_against_brute_force(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r.vec_id, list(r.embedding)) for r in table.collect()]
