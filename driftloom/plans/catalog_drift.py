@@ -9,6 +9,7 @@ from ..operators import drift as dr
 from ..operators import features as ft
 from ..operators import perturb
 from ..operators import runs as rn
+from ..operators import stored_profiles as sp
 from ..session import scratch_path
 from .catalog_features import normal_sql
 from .jobs import drift_job
@@ -378,3 +379,44 @@ def drift_empty_production(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*MEASURES)
     detail = dr.drift(li, li.where("l_quantity < 0"), MEASURES, method="psi")
     return rounded(detail.select("feature", "drift_score", "drift_detected", "reference_mean", "production_mean"))
+
+
+def _kept_profiles(spark, sf_dir, columns):
+    """Profiles of the lines before and from the cut, the former kept by year and merged."""
+    li = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "profiles")
+    early = li.where("l_shipdate < TIMESTAMP_NTZ '1998-06-01 00:00:00'").withColumn("year", F.year("l_shipdate"))
+    for year in sorted(r[0] for r in early.select("year").distinct().collect()):  # a handful
+        sp.save_profile(sp.stored_profile(early.where(F.col("year") == year), columns), path, str(year))
+    return sp.load_profile(spark, path), sp.stored_profile(halves(spark, sf_dir, columns)[1], columns)
+
+
+FEW_VALUES = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query(
+    "drift_of_profiles",
+    sql=detail_ctes(FEW_VALUES)
+    + """ SELECT s.feature, round(psi, 8) AS drift_score, round(psi, 8) AS score_low, round(psi, 8) AS score_high, n AS reference_n, m AS production_n,
+          round(reference_mean, 8) AS reference_mean, round(production_mean, 8) AS production_mean,
+          round(reference_std, 8) AS reference_std, round(production_std, 8) AS production_std
+          FROM s JOIN p ON s.feature = p.feature""",
+)
+def drift_of_profiles(spark, sf_dir):
+    """Columns of few values: a profile loses nothing."""
+    return rounded(sp.drift_of_profiles(*_kept_profiles(spark, sf_dir, FEW_VALUES)).drop("drift_detected"), 8)
+
+
+@query(
+    "drift_profile_bounds",
+    sql=detail_ctes()
+    + """ SELECT s.feature, round(psi, 8) AS exact, true AS held, true AS narrow, n AS reference_n, m AS production_n
+          FROM s JOIN p ON s.feature = p.feature""",
+)
+def drift_profile_bounds(spark, sf_dir):
+    """The bounds hold the PSI of the rows, and lie within 0.05 of it."""
+    kept = sp.drift_of_profiles(*_kept_profiles(spark, sf_dir, MEASURES))
+    exact = dr.drift(*halves(spark, sf_dir), method="psi").select("feature", F.col("drift_score").alias("exact"))
+    held = (F.col("score_low") <= F.col("exact") + 1e-9) & (F.col("exact") <= F.col("score_high") + 1e-9)
+    narrow = F.greatest(F.col("score_high") - F.col("exact"), F.col("exact") - F.col("score_low")) < 0.05
+    return rounded(kept.join(exact, "feature").select("feature", "exact", held.alias("held"), narrow.alias("narrow"), "reference_n", "production_n"), 8)
