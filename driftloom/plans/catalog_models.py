@@ -187,29 +187,6 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
-@query(
-    "train_job",
-    sql=f"SELECT {KEYS}, c_mktsegment AS true_label FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
-    "JOIN customer ON o_custkey = c_custkey",
-)
-def train_job(spark, sf_dir):
-    source = scratch_path(spark, "segments")
-    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY, *MEASURES)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    joined = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        customers, F.col("o_custkey") == F.col("c_custkey")
-    )
-    joined.drop("o_orderkey", "c_custkey").write.parquet(source)
-    model_path, out = scratch_path(spark, "model"), scratch_path(spark, "predictions")
-    train_model(
-        spark, source, model_path, "c_mktsegment", LINE_KEY, "random_forest",
-        [*MEASURES, "o_totalprice", "c_acctbal"], n_trees=3, max_depth=4,
-    )
-    predict_table(spark, source, model_path, out, LINE_KEY, target="c_mktsegment")
-    return read_table(spark, out).select(*LINE_KEY, "true_label")
-
-
 def _streamed(spark, sf_dir):
     """The files of the table arrive as a stream and are scored into another."""
     out = scratch_path(spark, "scored")
@@ -371,15 +348,18 @@ def softmax_stops_early(spark, sf_dir):
     )
 
 
-@query("tune_learns_class", sql="SELECT CAST(unnest(range(2)) AS INTEGER) AS trial, CAST(1 AS DOUBLE) AS f1_macro")
+@query("tune_learns_class", sql=f"SELECT *, 2 AS trials, CAST(1 AS DOUBLE) AS f1_macro FROM ({_LEARNED_SQL})")
 def tune_learns_class(spark, sf_dir):
+    """Every line scored by the model that the search refits on all training rows."""
     train, _ = class_parts(spark, sf_dir)
-    ready = preprocessing(LINE_FEATURES, use_pca=False).fit(train).transform(train)
+    prep = preprocessing(LINE_FEATURES, use_pca=False).fit(train)
     space = {"stepSize": ("log", 0.1, 0.3), "maxDepth": ("int", 3, 5), "featureSubsetStrategy": ("share", 1.0, 1.0)}
-    _, _, trials = tr.tune(
-        ready, "line_class", LINE_KEY, tr.gbt_one_vs_rest(n_rounds=4), space, n_trials=2, folds=2, final_rounds=4
+    best, _, trials = tr.tune(
+        prep.transform(train), "line_class", LINE_KEY, tr.gbt_one_vs_rest(n_rounds=4), space, n_trials=2, folds=2, final_rounds=4
     )
-    return spark.createDataFrame([(t, v) for t, _, v in trials], "trial int, f1_macro double")
+    model = PipelineModel([tr.label_indexer("line_class", tr.LABEL_CODE).fit(train), *prep.stages, best])
+    scored = _learned(sc.score(model, classed(spark, sf_dir), LINE_KEY, "line_class"))
+    return scored.withColumns({"trials": F.lit(len(trials)), "f1_macro": F.lit(min(v for _, _, v in trials))})
 
 
 @query(
@@ -480,10 +460,22 @@ def _class_source(spark, sf_dir) -> str:
     return path
 
 
-@query("pipeline_job", sql=_PERFECT_SQL)
+@query(
+    "pipeline_job",
+    sql=f"""WITH r AS ({_TEST_ROWS}) {_PERFECT_SQL}
+    UNION ALL SELECT 'test_rows_' || c, test::DOUBLE FROM r UNION ALL SELECT 'train_rows_' || c, (n - test)::DOUBLE FROM r
+    UNION ALL SELECT 'orders', sum(l_orderkey)::DOUBLE FROM lineitem""",
+)
 def pipeline_job_query(spark, sf_dir):
+    """The metrics of the test rows, and how many rows of each class were trained on and scored."""
     out = scratch_path(spark, "pipeline")
-    return pipeline_job(spark, _class_source(spark, sf_dir), out, "line_class", LINE_KEY, LINE_FEATURES, n_trees=20)
+    metrics = pipeline_job(spark, _class_source(spark, sf_dir), out, "line_class", LINE_KEY, LINE_FEATURES, n_trees=20)
+    value = F.count(F.lit(1)).cast("double").alias("value")
+    tested = read_table(spark, f"{out}/predictions").groupBy(F.concat(F.lit("test_rows_"), "true_label").alias("metric")).agg(value)
+    marked = read_table(spark, f"{out}/marked")
+    trained = marked.where("not is_test").groupBy(F.concat(F.lit("train_rows_"), "line_class").alias("metric")).agg(value)
+    orders = marked.agg(F.sum("l_orderkey").cast("double").alias("value")).select(F.lit("orders").alias("metric"), "value")
+    return metrics.union(tested).union(trained).union(orders)
 
 
 @query(
@@ -496,3 +488,28 @@ def pipeline_job_query(spark, sf_dir):
 def reproducibility_job_query(spark, sf_dir):
     known = {"test_accuracy": 1.0, "test_f1_macro": 1.0}
     return reproducibility_job(spark, _class_source(spark, sf_dir), "line_class", LINE_KEY, LINE_FEATURES, known, n_trees=20)
+
+
+@query(
+    "train_job",
+    sql=f"""SELECT c_mktsegment, {LINE_CLASS} AS true_label, {LINE_CLASS} AS prediction_label, count(*) AS n, sum(l_orderkey) AS orders
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+)
+def train_job(spark, sf_dir):
+    """Fit, save, load and score over a join of three tables: only a model that has learned gives every line its class."""
+    source = scratch_path(spark, "segments")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    joined = classed(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        customers, F.col("o_custkey") == F.col("c_custkey")
+    )
+    # the line number is part of the key and a feature
+    joined.withColumn("line", F.col("l_linenumber")).drop("o_orderkey", "c_custkey").write.parquet(source)
+    model_path, out = scratch_path(spark, "model"), scratch_path(spark, "predictions")
+    train_model(
+        spark, source, model_path, "line_class", LINE_KEY, "random_forest",
+        ["line", "l_quantity", "o_totalprice"], n_trees=20, max_depth=10,
+    )
+    predict_table(spark, source, model_path, out, [*LINE_KEY, "c_mktsegment"], target="line_class")
+    scored = read_table(spark, out).groupBy("c_mktsegment", "true_label", "prediction_label")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders"))
