@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_DIRS: dict[str, str] = {}  # of local sessions without a shared folder
+
 
 def local_session(cores: int | str = 8, app: str = "driftloom", **conf: str) -> SparkSession:
     builder = (
@@ -38,14 +40,30 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="driftloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # the setting cannot be changed in a running session
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="driftloom-")
+    return _LOCAL_DIRS[app]
+
+
+def _scratch_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/driftloom/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/driftloom/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in the folder of this application."""
+    return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application; for when its results are written.
+
+    A DataFrame that an operator returned may still read such tables, so write it first. Those of
+    other applications stay.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -1,5 +1,7 @@
 """Ordinary inputs that once gave wrong answers or ended a job."""
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml.feature import VectorAssembler
@@ -144,3 +146,31 @@ def test_metric_history(spark):
     assert [(r.step, r.value) for r in metric_history(spark, path, "r1").orderBy("step").collect()] == [(0, 3.0), (1, 1.0), (2, 2.0)]
     got = {r.run_id: (r.value, r.step) for r in latest_metrics(metric_history(spark, path)).collect()}
     assert got == {"r1": (2.0, 2), "r2": (9.0, None)}
+
+
+def test_scratch_of_this_application_can_be_removed(tmp_path, spark, monkeypatch):
+    from driftloom import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    (tmp_path / "driftloom" / "app-of-another").mkdir(parents=True)
+    mine = session.scratch_path(spark, "rows")
+    spark.range(3).write.parquet(mine)
+    assert spark.read.parquet(mine).count() == 3
+    session.remove_scratch(spark)
+    session.remove_scratch(spark)  # nothing left is no error
+    assert [p.name for p in (tmp_path / "driftloom").iterdir()] == ["app-of-another"]
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from driftloom.session import shared_dir
+
+    def unset(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master, applicationId="app-1")
+        )
+
+    assert os.path.isdir(shared_dir(unset("local[2]"))) and shared_dir(unset("local[2]")) == shared_dir(unset("local[2]"))
+    with pytest.raises(ValueError, match="shared|share"):
+        shared_dir(unset("spark://host:7077"))
