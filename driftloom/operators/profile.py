@@ -214,6 +214,31 @@ _MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 _NO_SPREAD = 1e-12  # of the squares; what is left of a sum that cancels out
 
 
+def _batch_values(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """The arrays of a batch as a matrix of k columns; what is missing is NaN."""
+    return batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, k)
+
+
+def _fact_rows(k: int):
+    """Count, sum, least and largest known value per column over the rows of a task."""
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, low, high = np.zeros(k), np.zeros(k), np.full(k, np.inf), np.full(k, -np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                x = _batch_values(batch, k)
+                known = ~np.isnan(x)
+                n += known.sum(axis=0)
+                total += np.where(known, x, 0.0).sum(axis=0)
+                low = np.minimum(low, np.where(known, x, np.inf).min(axis=0))
+                high = np.maximum(high, np.where(known, x, -np.inf).max(axis=0))
+        kept = np.flatnonzero(n)
+        columns = [pa.array(kept.astype(np.int32)), *[pa.array(v[kept]) for v in (n, total, low, high)]]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "n", "total", "low", "high"])
+
+    return facts
+
+
 def _moment_rows(shift: Sequence[float]):
     """Sums over the rows of a task where both columns of a pair are known, by matrix products of whole batches."""
     k = len(shift)
@@ -222,7 +247,7 @@ def _moment_rows(shift: Sequence[float]):
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {m: np.zeros((k, k)) for m in _MOMENTS}
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for c in batch.columns]) - np.array(shift)
+            x = _batch_values(batch, k) - np.array(shift)
             known = ~np.isnan(x)
             x, mask = np.where(known, x, 0.0), known.astype(np.float64)
             total["n"] += mask.T @ mask
@@ -239,13 +264,19 @@ def _moment_rows(shift: Sequence[float]):
 def _correlation_of_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairs from one pass, missing values or not: each task sends one row per pair.
 
-    Values are shifted by the mean of their column first, so that sums of squares do not cancel out.
+    Values are shifted by the mean of their column first, so that sums of squares do not cancel out. Means and ranges
+    come from batches too: aggregates of so many columns are one method too long for the JVM to compile.
     """
-    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    facts = numbers.agg(*[f(F.col(c)).alias(f"{c}{name}") for c in numbers.columns for name, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
-    # a column that never varies is shifted by its value: nothing but zeros is left
-    shift = [facts[f"{c}lo"] if facts[f"{c}lo"] == facts[f"{c}hi"] else facts[f"{c}m"] for c in numbers.columns]
-    rows = numbers.mapInArrow(_moment_rows([x if x is not None else 0.0 for x in shift]), "a int, b int, " + ", ".join(f"{m} double" for m in _MOMENTS))
+    k = len(columns)
+    # NaN counts as missing in the batches. Spark compiles no ``transform``, so the columns do not become one long method either
+    numbers = df.select(F.transform(F.array(*[col(c).cast("double") for c in columns]), lambda x: x + F.lit(0.0)).alias("values"))
+    facts = numbers.mapInArrow(_fact_rows(k), "i int, n double, total double, low double, high double")
+    facts = facts.groupBy("i").agg((F.sum("total") / F.sum("n")).alias("mean"), F.min("low").alias("low"), F.max("high").alias("high"))
+    shift = [0.0] * k
+    for r in facts.collect():
+        # a column that never varies is shifted by its value: nothing but zeros is left
+        shift[r["i"]] = r["low"] if r["low"] == r["high"] else r["mean"]
+    rows = numbers.mapInArrow(_moment_rows(shift), "a int, b int, " + ", ".join(f"{m} double" for m in _MOMENTS))
     summed = rows.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
 
     def spread(square: str, plain: str) -> Column:

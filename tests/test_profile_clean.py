@@ -219,3 +219,23 @@ def test_approximate_quantiles(frame):
     df = frame("v double", v=[float(i) for i in range(101)])
     got = {r["prob"]: r["value"] for r in profile.quantile_table(df, ["v"], exact=False).collect()}
     assert got == {0.25: 25.0, 0.5: 50.0, 0.75: 75.0}
+
+
+def test_wide_correlation_is_no_long_method(spark):
+    wide = spark.range(40).select(*[F.expr(f"CASE WHEN id % {i + 2} > 0 THEN id * {i + 1} + id * id END").alias(f"c{i}") for i in range(70)])
+    plan = profile.correlation(wide)._jdf.queryExecution().sparkPlan().toString()
+    # the passes over the rows: arrays into batches, no aggregate of 210 functions and no separate columns
+    batches = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(batches) == 1 and "values" in batches[0]
+
+
+def test_wide_correlation_of_odd_columns(spark):
+    odd = {0: "CASE WHEN id % 3 = 0 THEN double('NaN') ELSE id END", 1: "CAST(NULL AS DOUBLE)", 2: "7", 3: "CASE WHEN id > 5 THEN id * 1e9 END"}
+    df = spark.range(30).select(*[F.expr(odd.get(i, f"id * id + {i}")).alias(f"c{i}") for i in range(64)])
+    found = {(r["column_a"], r["column_b"]): r["corr"] for r in profile.correlation(df).collect()}
+    assert len(found) == 64 * 64
+    plain = {(r["column_a"], r["column_b"]): r["corr"] for r in profile.correlation(df, ["c0", "c1", "c2", "c3", "c4"]).collect()}
+    for pair, r in plain.items():
+        assert (found[pair] is None) == (r is None) and (r is None or abs(found[pair] - r) < 1e-9)
+    nothing = profile.correlation(df.where("id < 0")).collect()
+    assert len(nothing) == 64 * 64 and all(r["corr"] is None for r in nothing)
