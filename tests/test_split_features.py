@@ -238,3 +238,11 @@ def test_required_column(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 3
     with pytest.raises(ValueError, match="Class"):
         tables.read_table(spark, path, required=["Class"])
+
+
+def test_table_of_large_strata_is_scanned_for_them_alone(spark):
+    df = skewed(spark).where("y = 'hot'")
+    marked = split.mark_test(df, "y", ["id"], hot_rows=10)
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert ids(marked.where("is_test")) == ids(split.mark_test(df, "y", ["id"]).where("is_test"))
+    assert marked.schema["is_test"].dataType.simpleString() == "boolean"
