@@ -155,3 +155,22 @@ def test_many_strata_are_ranked_as_a_whole(stored, monkeypatch):
     monkeypatch.setattr(ranks, "MAX_HOT", 2)
     assert split.stratified_folds(stored, "y", ["id"], 3).select("id", "fold").orderBy("id").collect() == few
     assert split.stratified_folds(stored, "y", ["id"], 3, hot_rows=10).select("id", "fold").orderBy("id").collect() == few
+
+
+def test_split_of_lines_is_ranked_and_written_once(spark, tmp_path):
+    from driftloom.operators.split import stratified_split
+    from driftloom.plans import catalog_models as cm
+    from driftloom.session import remove_scratch
+
+    numbers = {"l_orderkey": "id div 4", "l_linenumber": "cast(id % 4 + 1 as int)", "l_partkey": "id % 9", "l_suppkey": "id % 5"}
+    measures = {"l_quantity": "double(id % 50)", "l_extendedprice": "double(id * 997 % 100000)", "l_discount": "0.05D", "l_tax": "IF(id % 3 = 0, NULL, 0.02D)"}
+    lines = spark.range(400).select(*[F.expr(e).alias(c) for c, e in {**numbers, **measures}.items()])
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for made, rows, label in ((cm.parts, cm.banded, "band"), (cm.class_parts, cm.classed, "line_class")):
+        plain = stratified_split(rows(spark, str(tmp_path)), label, cm.LINE_KEY)
+        first, second = made(spark, str(tmp_path)), made(spark, str(tmp_path))
+        for old, new, again in zip(plain, first, second):
+            assert new.columns == old.columns and new.inputFiles() == again.inputFiles()
+            assert sorted(map(str, new.collect())) == sorted(map(str, old.collect()))
+        remove_scratch(spark)
+        assert sorted(map(str, made(spark, str(tmp_path))[1].collect())) == sorted(map(str, plain[1].collect()))
