@@ -214,19 +214,24 @@ _MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 _NO_SPREAD = 1e-12  # of the squares; what is left of a sum that cancels out
 
 
-def _batch_values(batch: pa.RecordBatch, k: int) -> np.ndarray:
-    """The arrays of a batch as a matrix of k columns; what is missing is NaN."""
-    return batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, k)
+def _matrix_of(k: int):
+    """The arrays of a batch as a matrix of k columns; what is missing is NaN. An inner function, which travels to the tasks by value."""
+
+    def matrix(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, k)
+
+    return matrix
 
 
 def _fact_rows(k: int):
     """Count, sum, least and largest known value per column over the rows of a task."""
+    matrix = _matrix_of(k)
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, low, high = np.zeros(k), np.zeros(k), np.full(k, np.inf), np.full(k, -np.inf)
         for batch in batches:
             if batch.num_rows:
-                x = _batch_values(batch, k)
+                x = matrix(batch)
                 known = ~np.isnan(x)
                 n += known.sum(axis=0)
                 total += np.where(known, x, 0.0).sum(axis=0)
@@ -242,12 +247,12 @@ def _fact_rows(k: int):
 def _moment_rows(shift: Sequence[float]):
     """Sums over the rows of a task where both columns of a pair are known, by matrix products of whole batches."""
     k = len(shift)
-    upper = np.triu_indices(k)
+    upper, matrix = np.triu_indices(k), _matrix_of(k)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {m: np.zeros((k, k)) for m in _MOMENTS}
         for batch in batches:
-            x = _batch_values(batch, k) - np.array(shift)
+            x = matrix(batch) - np.array(shift)
             known = ~np.isnan(x)
             x, mask = np.where(known, x, 0.0), known.astype(np.float64)
             total["n"] += mask.T @ mask

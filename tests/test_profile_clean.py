@@ -239,3 +239,15 @@ def test_wide_correlation_of_odd_columns(spark):
         assert (found[pair] is None) == (r is None) and (r is None or abs(found[pair] - r) < 1e-9)
     nothing = profile.correlation(df.where("id < 0")).collect()
     assert len(nothing) == 64 * 64 and all(r["corr"] is None for r in nothing)
+
+
+def test_wide_correlation_tasks_need_no_package():
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    sent = pickle.dumps([cloudpickle.dumps(f) for f in (profile._fact_rows(2), profile._moment_rows([0.0, 0.0]))])
+    load = "import pickle, sys; [pickle.loads(b) for b in pickle.load(sys.stdin.buffer)]; assert 'driftloom' not in sys.modules"
+    subprocess.run([sys.executable, "-c", load], input=sent, check=True, cwd="/")
