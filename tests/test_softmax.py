@@ -132,6 +132,30 @@ def test_edge_rows(spark, rows):
     assert sm.best_so_far([3, 2, 2.5, 1.9]) == 4 and sm.best_so_far([1, float("nan")]) == 1
 
 
+def test_written_out_shares_equal_the_general_ones(spark):
+    margins = [[0.1, -2.0, 3.5], [700.0, -700.0, 0.0], [float("nan"), 1.0, 2.0], [1e308, -1e308, 5.0], [2.0, 2.0, 2.0]]
+    df = spark.createDataFrame([(m,) for m in margins], "m array<double>")
+    for one, two in df.select(sm.probabilities(F.col("m")), sm.probabilities(F.col("m"), 3)).collect():
+        assert np.array_equal(one, two, equal_nan=True)
+    assert "lambda" not in df.select(sm.probabilities(F.col("m"), 3))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_tree_passes_over_one_kept_bag(rows, monkeypatch):
+    """A tree reads its rows several times: gradients are not worked out anew in each pass."""
+    grow, plans = sm.DecisionTreeRegressor.fit, []
+
+    def noted(self, df, params=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return grow(self, df, params)
+
+    monkeypatch.setattr(sm.DecisionTreeRegressor, "fit", noted)
+    sm.SoftmaxBoost(maxIter=2, maxDepth=2, **WHOLE).fit(rows)
+    assert len(plans) == 6
+    for plan in plans:
+        shown = plan.split("InMemoryTableScan")
+        assert len(shown) > 1 and "EXP" not in shown[0].upper() and "UDF" not in shown[0]
+
+
 def test_search_space_has_all_parameters():
     assert set(tr.SOFTMAX_SPACE) == {
         "stepSize", "numLeaves", "maxDepth", "minInstancesPerNode", "featureFraction", "baggingFraction", "baggingFrequency", "l1", "l2",
