@@ -29,7 +29,7 @@ class Encoder:
 
     The tokenizer treats the text between two blanks on its own, so ids are
     kept per such chunk and per pre-token; both caches are emptied when they hold
-    ``CACHE_WORDS`` entries. Chunks with anything beyond letters, digits and
+    ``CACHE_WORDS`` entries, and by ``forget``. Chunks with anything beyond letters, digits and
     common marks of the Latin script go through the tokenizer itself.
     """
 
@@ -46,6 +46,11 @@ class Encoder:
         others = iter(range(256, 512))
         self.alphabet = {b: b if b in printable else next(others) for b in range(256)}
 
+    def forget(self) -> None:
+        """A Python worker lives on after its task; what it kept would stand beside whatever it runs next."""
+        self.chunks.clear()
+        self.pieces.clear()
+
     def _piece(self, piece: str) -> bytes:
         if (got := self.pieces.get(piece)) is None:
             if len(self.pieces) >= CACHE_WORDS:
@@ -85,26 +90,30 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        for batch in batches:
-            row, number, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                data = (encode(text) if text else b"") + end
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    row.append(i)
-                    number.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-            arrays = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(number, pa.int32())]
-            arrays += [pa.array(x, pa.int64()) for x in (start, length, crc)]
-            names = ["id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                arrays, names = [*arrays, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+        coder = encoder(path)
+        encode = coder.encode
+        try:
+            for batch in batches:
+                row, number, start, length, crc, ids = [], [], [], [], [], []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    data = (encode(text) if text else b"") + end
+                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
+                        part = data[at : at + 4 * capacity]
+                        row.append(i)
+                        number.append(k)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+                arrays = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(number, pa.int32())]
+                arrays += [pa.array(x, pa.int64()) for x in (start, length, crc)]
+                names = ["id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    arrays, names = [*arrays, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+        finally:
+            coder.forget()
 
     return pieces
 

@@ -83,6 +83,23 @@ def test_token_ids_come_back(spark, tokenizer):
         assert got[r.sequence_id][r.offset : r.offset + r.length] == want[r.doc_id][r.start : r.start + r.length]
 
 
+def test_a_task_leaves_no_cache_behind():
+    """Python workers live on: kept words would add to the memory of whatever they run next."""
+    import pyarrow as pa
+
+    coder = packing.encoder(tokenizer_path())
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some plain words", "and others"])], ["id", "text"])
+    pieces = packing._cutter(tokenizer_path(), 4096, 1, False)(iter([batch, batch]))
+    first = next(pieces)
+    assert coder.chunks and coder.pieces  # words are kept from batch to batch
+    assert first.equals(next(pieces)) and next(pieces, None) is None
+    assert not coder.chunks and not coder.pieces
+    stopped = packing._cutter(tokenizer_path(), 4096, 1, False)(iter([batch, batch]))
+    next(stopped)
+    stopped.close()  # a task that ends early
+    assert not coder.chunks and not coder.pieces
+
+
 def test_awkward_rows(spark, tokenizer):
     unlike = [r for r in AWKWARD if r[0] not in (5, None)]
     want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in unlike}
